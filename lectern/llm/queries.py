@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lectern.llm import lookalike
+from lectern.llm import lookalike, pieces
 from lectern.session import prepare, spread
 from lectern.sources.tables import table
 
@@ -21,9 +22,30 @@ def p2_clean(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.clean(spread(table(spark, folder, "payloads").select("payload_id", *lookalike.FIELDS)))
 
 
+def _long_texts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "payloads").select("payload_id", "source_text", "seg_start", "seg_end")
+    return spread(rows.filter(F.length("source_text") > pieces.LIMIT))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads that come out in more than one piece."""
+    prepare(spark)
+    return pieces.pieces(_long_texts(spark, folder)).filter("piece_no = 2").select("payload_id")
+
+
+def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ordered pieces of every oversized text."""
+    prepare(spark)
+    return pieces.pieces(_long_texts(spark, folder))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_clean": p2_clean,
+    "p3_found": p3_found,
+    "p3_pieces": p3_pieces,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p3_found": "SELECT payload_id FROM payloads WHERE length(source_text) > 300",
+}
