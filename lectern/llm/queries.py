@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import lookalike, pieces
+from lectern.llm import langid, lookalike, pieces
 from lectern.session import prepare, spread
 from lectern.sources.tables import table
 
@@ -39,11 +39,34 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.pieces(_long_texts(spark, folder))
 
 
+def _languages(spark: SparkSession, folder: str) -> langid.Model:
+    return langid.train(
+        table(spark, folder, "documents").select("text", "lang"),
+        table(spark, folder, "payloads").select(F.col("source_text").alias("text")),
+    )
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of mixed texts and of texts whose locale is missing or wrong."""
+    prepare(spark)
+    rows = spread(table(spark, folder, "payloads").select("payload_id", "source_text", "locale"))
+    return langid.mislabelled(rows, _languages(spark, folder)).select("payload_id", "lang")
+
+
+def p7_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Language and confidence of every segment."""
+    prepare(spark)
+    rows = spread(table(spark, folder, "payloads").select("payload_id", "source_text"))
+    return langid.label(rows, _languages(spark, folder))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_clean": p2_clean,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
+    "p7_found": p7_found,
+    "p7_segments": p7_segments,
 }
 
 SQL: dict[str, str] = {
