@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import langid, lookalike, pieces
+from lectern.llm import langid, lookalike, pieces, turns
 from lectern.session import prepare, spread
 from lectern.sources.tables import table
 
@@ -39,6 +39,20 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.pieces(_long_texts(spark, folder))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Speaker turns: every label starts one, so pauses split nothing here."""
+    prepare(spark)
+    rows = spread(table(spark, folder, "payloads").select("payload_id", "source_text"))
+    return turns.speaker_turns(rows).select("payload_id", "turn_no", "speaker")
+
+
+def p5_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns with their clean speech, split at labels and at calibrated pauses."""
+    prepare(spark)
+    rows = spread(table(spark, folder, "payloads").select("payload_id", "source_text"))
+    return turns.speaker_turns(rows, turns.calibrated_pause(rows))
+
+
 def _languages(spark: SparkSession, folder: str) -> langid.Model:
     return langid.train(
         table(spark, folder, "documents").select("text", "lang"),
@@ -65,6 +79,8 @@ QUERIES = {
     "p2_clean": p2_clean,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
+    "p5_found": p5_found,
+    "p5_turns": p5_turns,
     "p7_found": p7_found,
     "p7_segments": p7_segments,
 }
