@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import langid, lookalike, pieces, turns
+from lectern.llm import langid, lookalike, pieces, sentences, turns
 from lectern.session import prepare, spread
 from lectern.sources.tables import table
 
@@ -39,6 +39,35 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.pieces(_long_texts(spark, folder))
 
 
+def _punctuated(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields whose punctuation is complete, of rows cut at sentence edges."""
+    rows = table(spark, folder, "payloads").filter("seg_start = 'high' AND seg_end = 'high'")
+    source = F.when((F.size("ct_punct.edits") == 0) & F.col("ct_punct").isNotNull(), F.col("source_text"))
+    fields = F.array(
+        F.struct(F.lit("corrected_text").alias("field"), F.col("corrected_text").alias("text")),
+        F.struct(F.lit("source_text").alias("field"), source.alias("text")),
+    )
+    return spread(rows.select("payload_id", F.inline(fields)).filter("text IS NOT NULL"))
+
+
+def _chain(spark: SparkSession, folder: str) -> sentences.Chain:
+    return sentences.train(table(spark, folder, "payloads").select("corrected_text", "ct_punct"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentence ends of the punctuated fields."""
+    prepare(spark)
+    found = sentences.units(_punctuated(spark, folder), _chain(spark, folder))
+    return found.select("payload_id", "field", "sent_end")
+
+
+def p4_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Ordered sentence units of both fields of every payload."""
+    prepare(spark)
+    rows = spread(lookalike.long_form(table(spark, folder, "payloads").select("payload_id", *lookalike.FIELDS)))
+    return sentences.units(rows, _chain(spark, folder))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Speaker turns: every label starts one, so pauses split nothing here."""
     prepare(spark)
@@ -79,6 +108,8 @@ QUERIES = {
     "p2_clean": p2_clean,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
+    "p4_found": p4_found,
+    "p4_units": p4_units,
     "p5_found": p5_found,
     "p5_turns": p5_turns,
     "p7_found": p7_found,
