@@ -24,9 +24,9 @@ import re
 import zlib
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lectern.llm.lookalike import one_form
+from lectern.llm.sample import bounded
 from lectern.operators.arrow import map_columns
 
 # The languages, and names under which a locale may give them.
@@ -255,15 +255,9 @@ def fit(labelled: list[tuple[str, str]], unlabelled: list[str], epochs: int = 12
 def train(documents: DataFrame, texts: DataFrame) -> Model:
     """Fit on bounded samples: ``documents`` (text, lang), ``texts`` (text). The
     samples are picked by the hash of the text, so they do not depend on order."""
-    picked = (
-        documents.filter("lang IS NOT NULL AND text IS NOT NULL AND length(text) BETWEEN 40 AND 4000")
-        .select("lang", "text", F.xxhash64("text").alias("h"))
-        .orderBy("h")
-        .limit(SAMPLE_DOCUMENTS)
-        .collect()
-    )
-    free = texts.filter("text IS NOT NULL AND length(text) BETWEEN 40 AND 4000").select("text", F.xxhash64("text").alias("h"))
-    loose = free.orderBy("h").limit(SAMPLE_TEXTS).collect()
+    known = documents.filter("lang IS NOT NULL AND text IS NOT NULL AND length(text) BETWEEN 40 AND 4000")
+    picked = bounded(known, "text", SAMPLE_DOCUMENTS, "lang", "text")
+    loose = bounded(texts.filter("text IS NOT NULL AND length(text) BETWEEN 40 AND 4000"), "text", SAMPLE_TEXTS, "text")
     return fit([(r.text, r.lang) for r in picked], [r.text for r in loose])
 
 

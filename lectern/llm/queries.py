@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import langid, lookalike, pieces, sentences, turns
+from lectern.llm import langid, lookalike, pairs, pieces, sentences, turns
 from lectern.session import prepare, spread
 from lectern.sources.tables import table
 
@@ -89,6 +89,14 @@ def _languages(spark: SparkSession, folder: str) -> langid.Model:
     )
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Defective answers with their defect."""
+    prepare(spark)
+    rows = table(spark, folder, "payloads").select("payload_id", "source_text", "corrected_text", "translation")
+    judge = pairs.Judge(_languages(spark, folder), _chain(spark, folder), pairs.usual_lengths(rows))
+    return pairs.defects(spread(rows), judge)
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """Languages of mixed texts and of texts whose locale is missing or wrong."""
     prepare(spark)
@@ -112,6 +120,7 @@ QUERIES = {
     "p4_units": p4_units,
     "p5_found": p5_found,
     "p5_turns": p5_turns,
+    "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_segments": p7_segments,
 }

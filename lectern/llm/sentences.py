@@ -23,6 +23,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.sample import bounded
 from lectern.operators.arrow import map_columns
 
 #: Bound of the labelled sample.
@@ -262,14 +263,9 @@ def training_data(rows: list[tuple[str, list]]) -> list[tuple[list, list[bool]]]
 
 def train(df: DataFrame) -> Chain:
     """Fit on a bounded sample of labelled rows, picked by the hash of their text."""
-    rows = (
-        df.filter("corrected_text IS NOT NULL AND size(ct_punct.edits) > 0 AND length(corrected_text) < 4000")
-        .select("corrected_text", F.col("ct_punct.edits").alias("edits"), F.xxhash64("corrected_text").alias("h"))
-        .orderBy("h")
-        .limit(SAMPLE_ROWS)
-        .collect()
-    )
-    return Chain().fit(training_data([(r.corrected_text, r.edits) for r in rows]))
+    rows = df.filter("corrected_text IS NOT NULL AND size(ct_punct.edits) > 0 AND length(corrected_text) < 4000")
+    picked = bounded(rows.select("corrected_text", F.col("ct_punct.edits").alias("edits")), "corrected_text", SAMPLE_ROWS, "corrected_text", "edits")
+    return Chain().fit(training_data([(r.corrected_text, r.edits) for r in picked]))
 
 
 def sentence_ends(text: str | None, chain: Chain) -> list[int]:
