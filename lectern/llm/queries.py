@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import langid, lookalike, pairs, pieces, sentences, turns
+from lectern.llm import langid, lookalike, mojibake, pairs, pieces, sentences, turns
 from lectern.session import prepare, spread
 from lectern.sources.tables import table
 
@@ -111,6 +111,18 @@ def p7_segments(spark: SparkSession, folder: str) -> DataFrame:
     return langid.label(rows, _languages(spark, folder))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a stretch read in the wrong encoding."""
+    prepare(spark)
+    return mojibake.garbled(spread(table(spark, folder, "documents").select("doc_id", "text"))).select("doc_id")
+
+
+def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """The affected documents, restored where nothing was lost."""
+    prepare(spark)
+    return mojibake.garbled(spread(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_clean": p2_clean,
@@ -123,6 +135,8 @@ QUERIES = {
     "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_segments": p7_segments,
+    "p10_found": p10_found,
+    "p10_restored": p10_restored,
 }
 
 SQL: dict[str, str] = {
