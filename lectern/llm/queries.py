@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import langid, lookalike, mojibake, pairs, pieces, sentences, turns
-from lectern.session import prepare, spread
+from lectern.llm import langid, lookalike, mixing, mojibake, packing, pairs, pieces, sentences, tokens, turns
+from lectern.session import cut, prepare, spread
 from lectern.sources.tables import table
 
 
@@ -111,6 +113,39 @@ def p7_segments(spark: SparkSession, folder: str) -> DataFrame:
     return langid.label(rows, _languages(spark, folder))
 
 
+def _counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts, tokenised once and cut from their lineage."""
+    rows = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut(tokens.with_counts(rows))
+
+
+def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers of every capacity."""
+    prepare(spark)
+    counts = _counts(spark, folder)
+    sizes = table(spark, folder, "pack_sizes").orderBy("capacity_tokens").collect()  # a fixed table of three rows
+    return reduce(DataFrame.unionByName, [packing.pack(counts, r.pack_name, r.capacity_tokens) for r in sizes])
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers and fill of every capacity."""
+    return packing.report(p8_packed(spark, folder), table(spark, folder, "pack_sizes"))
+
+
+def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest mixture with every source at its share."""
+    prepare(spark)
+    sources = table(spark, folder, "documents").select("doc_id", "source")
+    counts = cut(_counts(spark, folder).join(sources, "doc_id"))
+    targets = table(spark, folder, "mix_targets").collect()  # a fixed table of eight rows
+    return mixing.mixture(counts, [(r.source, r.target_share, r.max_repeats) for r in targets])
+
+
+def p9_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and reached shares."""
+    return mixing.report(p9_mixture(spark, folder), table(spark, folder, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a stretch read in the wrong encoding."""
     prepare(spark)
@@ -135,6 +170,10 @@ QUERIES = {
     "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_segments": p7_segments,
+    "p8_packed": p8_packed,
+    "p8_report": p8_report,
+    "p9_mixture": p9_mixture,
+    "p9_report": p9_report,
     "p10_found": p10_found,
     "p10_restored": p10_restored,
 }
