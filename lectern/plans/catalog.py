@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and SQL.
-MODULES = ("parsing",)
+MODULES = ("parsing", "textual", "structured")
 
 
 def core_queries() -> dict:
