@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and SQL.
-MODULES = ("parsing", "textual", "structured")
+MODULES = ("parsing", "textual", "structured", "operating")
 
 
 def core_queries() -> dict:
