@@ -12,7 +12,7 @@ from lectern.session import prepare, spread
 from lectern.sources.tables import table
 
 LIMIT = 300
-VERDICT_KEYS = (".,", ",.", "!.", "?.")
+VERDICT_KEYS = ("！！", "……")
 MARKS = r".,;:!?\x{3002}\x{FF0C}\x{FF1B}\x{FF1A}\x{FF01}\x{FF1F}\x{3001}\x{00B7}\x{2026}\x{FF0E}"
 LEGIT = ("!!", "??", "!?", "?!", "..")
 _OTHER = "Cyrillic Arabic Devanagari Han Hiragana Katakana Hangul Thai".split()
