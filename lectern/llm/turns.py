@@ -31,6 +31,7 @@ _MARK = "̀-ͯऀ-ःऺ-ॏัิ-ฺ็-๎ً-ْ"
 _L = rf"(?:[^\W\d_]|[{_MARK}])"
 _COLON = r"\s?[:：]"
 _NUMBERED = rf"{_L}{{2,}}[ _]?(?:\d{{1,3}}|[A-Z])(?!\w)"
+_ANY_NUMBERED = rf"(?:{_L}+[ _]?\d{{1,3}}|{_L}{{2,}}[ _]?[A-Z])(?!\w)"
 _NAME = rf"{_L}+(?:[.'’\-]{_L}+)*(?: {_L}+){{0,2}}"
 _WORD = rf"{_L}+(?:['’\-]{_L}+)*"
 _ROLE = r"(?: ?[(（][^()（）\n:]{1,20}[)）])?"
@@ -38,11 +39,11 @@ _ROLE = r"(?: ?[(（][^()（）\n:]{1,20}[)）])?"
 #: Every form of a label; the groups hold what names the speaker.
 LABEL = re.compile(
     rf"(?<![\w@])(?:"
-    rf"(?:>>\s?)?\*\*\s?(?P<a>{_NUMBERED}|{_NAME}){_ROLE}{_COLON}?\s?\*\*{_COLON}?"
-    rf"|(?:>>\s?)?\[\s?(?P<b>{_NUMBERED}|{_NAME}){_ROLE}\s?\]{_COLON}"
+    rf"(?:>>\s?)?\*\*\s?(?P<a>{_ANY_NUMBERED}|{_NAME}){_ROLE}{_COLON}?\s?\*\*{_COLON}?"
+    rf"|(?:>>\s?)?\[\s?(?P<b>{_ANY_NUMBERED}|{_NAME}){_ROLE}\s?\]{_COLON}"
     rf"|<v[ .](?P<c>[^<>\n]{{1,40}})>"
-    rf"|<(?P<d>{_NUMBERED})>{_COLON}?"
-    rf"|>>\s?(?P<e>{_NUMBERED}|{_NAME}){_ROLE}{_COLON}(?!\d)"
+    rf"|<(?P<d>{_ANY_NUMBERED})>{_COLON}?"
+    rf"|>>\s?(?P<e>{_ANY_NUMBERED}|{_NAME}){_ROLE}{_COLON}(?!\d)"
     rf"|(?P<f>{_NUMBERED}){_ROLE}{_COLON}(?![\d/])"
     rf"|(?P<g>{_WORD}){_ROLE}{_COLON}(?=\s|$|[^\W\d])"
     rf")"
@@ -72,9 +73,11 @@ _CASED = re.compile(r"[a-zß-öø-ÿа-я]")
 def speaker_of(raw: str) -> str:
     """One name per speaker: SPK and number or letter, else the bare name."""
     name = re.sub(r"\s*[(（].*$", "", raw.strip(" >*[]:：")).strip()
-    m = re.fullmatch(rf"({_L}{{2,}})[ _]?(\d{{1,3}}|[A-Z])", name)
-    if m and (m[2].isdigit() or " " in name or "_" in name or m[1].lower() in ("spk", "speaker", "spkr")):
-        return "SPK" + (str(int(m[2])) if m[2].isdigit() else m[2])
+    m = re.fullmatch(rf"({_L}+)[ _]?(\d{{1,3}})|({_L}{{2,}})[ _]?([A-Z])", name)
+    if m and m[2]:
+        return f"SPK{int(m[2])}"
+    if m and (" " in name or "_" in name or m[3].lower() in ("spk", "speaker", "spkr")):
+        return "SPK" + m[4]
     return name.upper()
 
 
