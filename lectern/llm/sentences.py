@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.sample import bounded
+from lectern.llm.turns import FILLER, SOUND, STAMP
 from lectern.operators.arrow import map_columns
 
 #: Bound of the labelled sample.
@@ -41,6 +42,10 @@ _NEXT = re.compile(r"[^\W_]+")
 _DENSE = re.compile("[㐀-鿿぀-ヿ฀-๿]")
 
 
+_WIDE = re.compile("[\xa0\u2000-\u200a\u202f\u3000\uff10-\uff19\uff21-\uff3a\uff41-\uff5a]")
+_PLAIN = {0xA0: " ", 0x202F: " ", 0x3000: " ", **dict.fromkeys(range(0x2000, 0x200B), " "), **{c: chr(c - 0xFEE0) for r in ((0xFF10, 0xFF1A), (0xFF21, 0xFF3B), (0xFF41, 0xFF5B)) for c in range(*r)}}
+
+
 def _token_before(text: str, at: int) -> str:
     k = at
     while k > 0 and at - k < 14 and (text[k - 1].isalnum() or "̀" <= text[k - 1] <= "ͯ" or "ऀ" <= text[k - 1] <= "๿"):
@@ -49,17 +54,37 @@ def _token_before(text: str, at: int) -> str:
     return w[-3:] if w and _DENSE.search(w[-1]) else w
 
 
+_NOT_LABEL = re.compile(r"<v |<speaker|\[[^\]\n]*\]\s?[:：]", re.IGNORECASE)
+
+
+def _skip_noise(text: str, at: int) -> int:
+    """Place of the next word: white space, sounds, time stamps and fillers are passed
+    over, labels are not."""
+    n = len(text)
+    while True:
+        while at < n and text[at].isspace():
+            at += 1
+        if at >= n:
+            return at
+        m = SOUND.match(text, at) if text[at] in "[<(*_♪♫" and not _NOT_LABEL.match(text, at) else None
+        m = m or (STAMP.match(text, at) if text[at] in "[<({0123456789" else None) or FILLER.match(text, at)
+        if not m or m.end() == at:
+            return at
+        at = m.end()
+
+
 def _token_after(text: str, at: int) -> tuple[str, int]:
     n, k = len(text), at
-    while k < n and text[k] in " \t\n\r\xa0 　":
+    while k < n and text[k].isspace():
         k += 1
     begin = k
-    while k < n and k - begin < 12 and (text[k].isalnum() or "ऀ" <= text[k] <= "๿"):
+    k = start = _skip_noise(text, k)
+    while k < n and k - start < 12 and (text[k].isalnum() or "ऀ" <= text[k] <= "๿"):
         k += 1
-    w = text[begin:k]
+    w = text[start:k]
     if w and _DENSE.search(w[0]):
         w = w[:3]
-    return (w or text[begin : begin + 1]), begin
+    return (w or text[start : start + 1]), begin
 
 
 def _kind(ch: str) -> str:
@@ -93,6 +118,8 @@ def places(text: str) -> list[tuple[int, list[str], int]]:
     """(offset after the place, features, words since the last place) per candidate."""
     if not text.strip():
         return []
+    if _WIDE.search(text):
+        text = text.translate(_PLAIN)  # offsets stay: one character for one
     hosts = [(m.start(), m.end()) for m in _HOST.finditer(text)] if "www" in text or "@" in text or "http" in text else []
     quotes = _quotes(text)
     cased = text != text.lower() and text != text.upper()
@@ -247,16 +274,32 @@ def _same_length(text: str, change) -> str:
     return "".join(x if len(x) == 1 else c for c, x in ((c, change(c)) for c in text))
 
 
+def _closed_up(text: str, ends: list[int]) -> tuple[str, list[int]]:
+    """The text without the space after every other sentence, as some sources write."""
+    out, moved, at = [], [], 0
+    for k, end in enumerate(ends):
+        out.append(text[at:end])
+        moved.append(sum(map(len, out)))
+        at = end
+        if k % 2 == 0 and text[end : end + 1] == " " and not _THAI_END.search(text[:end]):
+            at += 1
+    return "".join(out) + text[at:], moved
+
+
+_THAI_END = re.compile(f"[{_THAI}][\"”’)]?$")
+
+
 def training_data(rows: list[tuple[str, list]]) -> list[tuple[list, list[bool]]]:
     data = []
     for text, edits in rows:
         ends = labelled_ends(text, edits)
         if ends is None:
             continue
-        for version in (text, _same_length(text, str.lower), _same_length(text, str.upper)):
+        close, moved = _closed_up(text, ends)
+        for version, ends in ((text, ends), (_same_length(text, str.lower), ends), (_same_length(text, str.upper), ends), (close, moved)):
             cands = places(version)
             known = {c[0] for c in cands}
-            if set(ends) - {len(text.rstrip())} <= known:
+            if set(ends) - {len(version.rstrip())} <= known:
                 data.append((cands, [c[0] in ends for c in cands]))
     return data
 

@@ -64,8 +64,8 @@ FILLERS = (
     "you know|um|uh|uhm|er|hmm|hm|mm|mhm|erm|ah|eh|also äh|ähm|äh|öh|bah euh|euh|heu|este eh|mmm|no yyy|yyy|eee|"
     "no ehm|ehm|éé|anu|ну э-э|э-э|эм|ээ|يعني آآ|آآ|إمم|हम्म|उम्म|अं|呃嗯|呃|嗯|えーと|えっと|あのー|저기 음|음|어|เอ่อ|อืม"
 )
-_FILLER = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(FILLERS.split('|'), key=len, reverse=True))})(?!\w)[,，、。.…]*", re.IGNORECASE)
-_DENSE_FILLER = re.compile("呃嗯|呃|嗯|えーと|えっと|あのー|เอ่อ|อืม")
+FILLER = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(FILLERS.split('|'), key=len, reverse=True))})(?!\w)[,，、。.…]*", re.IGNORECASE)
+DENSE_FILLER = re.compile("呃嗯|呃|嗯|えーと|えっと|あのー|เอ่อ|อืม")
 _SPEECH = re.compile(rf"\d|{_L}")
 _CASED = re.compile(r"[a-zß-öø-ÿа-я]")
 
@@ -107,7 +107,7 @@ def bare(text: str) -> str:
     """Speech without time stamps, sounds and fillers."""
     text = STAMP.sub(" ", text)
     text = SOUND.sub(" ", text)
-    text = _DENSE_FILLER.sub("", _FILLER.sub(" ", text))
+    text = DENSE_FILLER.sub("", FILLER.sub(" ", text))
     return re.sub(r"\s+", " ", text).strip()
 
 
