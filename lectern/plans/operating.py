@@ -170,6 +170,15 @@ def q_response_pipeline(spark, folder):
     return map_columns(_pairs(spark, folder), kernel, "payload_id bigint, ok boolean, kind string")
 
 
+def q_bulk_requests(spark, folder):
+    """Request records of a bulk job: one a segment, numbered by line and segment."""
+    segs = segment.with_context(segment.segments(_texts(spark, folder), "payload_id", "source_text", LIMIT), "payload_id")
+    key = F.concat(F.lit("idx-"), "payload_id", F.lit("_s"), "seg_no")
+    body = F.struct(F.lit(16384).alias("max_tokens"), F.lit(0.0).alias("temperature"), F.concat(F.lit("text: "), "seg_text").alias("prompt"))
+    record = F.to_json(F.struct(key.alias("custom_id"), F.lit("POST").alias("method"), F.lit("/chat/completions").alias("url"), body.alias("body")))
+    return segs.select(key.alias("custom_id"), F.pmod(F.xxhash64("payload_id"), F.lit(64)).cast("int").alias("bulk"), record.alias("record"))
+
+
 def q_patch_fake(spark, folder):
     """All texts through the deterministic client."""
     return model.patch(_texts(spark, folder), "payload_id", "source_text", model.FakeClient, limit=LIMIT)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.functions import prompts as P
 from lectern.functions import steps as S
 from lectern.functions import text as X
 from lectern.plans.textual import lines, payloads, s_newlines, s_sanitize
@@ -101,13 +102,6 @@ def q_chain_resolve(spark, folder):
     return spark.createDataFrame(rows, "selector string, ids string, described string, fields string")
 
 
-def prompt(template: str, values: dict[str, Column]) -> Column:
-    out: Column = F.lit(template)
-    for name, value in values.items():
-        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value, F.lit("")))
-    return out
-
-
 def q_prompts(spark, folder):
     w = Window.partitionBy("custom").orderBy("seg_no", "payload_id")
     rows = payloads(spark, folder).filter("source_text IS NOT NULL").withColumn("custom", F.regexp_extract("custom_id", r"^(idx-\d+)", 1))
@@ -119,7 +113,21 @@ def q_prompts(spark, folder):
         "next_context": F.left(F.lead("source_text").over(w), F.lit(50)),
         "input_transcript": F.col("source_text"),
     }
-    return rows.select("payload_id", F.md5(prompt(TEMPLATE, values)).alias("h"))
+    return rows.select("payload_id", F.md5(P.fill(TEMPLATE, values)).alias("h"))
+
+
+REPAIR = "Fix this: {validation_error} in {previous_output}"
+AUDIT = "Compare {original_text} with {patched_text}"
+
+
+def q_repair_prompts(spark, folder):
+    rows = payloads(spark, folder).withColumn("error", payload_error()).filter("error IS NOT NULL")
+    return rows.select("payload_id", F.md5(P.repair(REPAIR, F.col("error"), F.col("translation"), "payload")).alias("h"))
+
+
+def q_eval_prompts(spark, folder):
+    edits = F.array_join(F.transform("ct_punct.edits", lambda e: F.array_join(e, ">")), ";")
+    return payloads(spark, folder).select("payload_id", F.md5(P.evaluation(AUDIT, F.col("source_text"), F.col("corrected_text"), S.describe("PUNCT"), edits)).alias("h"))
 
 
 def q_retry_hint(spark, folder):
@@ -298,6 +306,8 @@ SQL = {
     "q_chain_resolve": f"SELECT * FROM (VALUES {_RESOLVED}) AS v(selector, ids, described, fields)",
     "q_prompts": f"""WITH p AS (SELECT *, regexp_extract(custom_id, '^(idx-\\d+)', 1) AS custom FROM payloads WHERE source_text IS NOT NULL),
 n AS (SELECT *, lag(source_text) OVER w AS prv, lead(source_text) OVER w AS nxt FROM p WINDOW w AS (PARTITION BY custom ORDER BY seg_no NULLS FIRST, payload_id)) SELECT payload_id, md5({_PROMPT}) AS h FROM n""",
+    "q_repair_prompts": f"WITH e AS (SELECT payload_id, translation, {_ERROR} AS error FROM payloads) SELECT payload_id, md5(replace(replace('{REPAIR}', '{{validation_error}}', error), '{{previous_output}}', coalesce(translation, '')) || chr(10) || chr(10) || 'target_schema:' || chr(10) || 'payload') AS h FROM e WHERE error IS NOT NULL",
+    "q_eval_prompts": f"SELECT payload_id, md5(replace(replace('{AUDIT}', '{{original_text}}', coalesce(source_text, '')), '{{patched_text}}', coalesce(corrected_text, '')) || chr(10) || chr(10) || 'chain_steps:' || chr(10) || '{S.describe('PUNCT')}' || chr(10) || chr(10) || 'extracted_edits:' || chr(10) || coalesce(array_to_string(list_transform(ct_punct.edits, lambda e: array_to_string(e, '>')), ';'), '')) AS h FROM payloads",
     "q_retry_hint": f"SELECT id, try_cast(nullif(regexp_extract(lower(message), 'retry after\\s+(\\d+(?:\\.\\d+)?)\\s+second', 1), '') AS DOUBLE) AS seconds, regexp_matches(lower(message), '429|rate limit|throttl') AS retryable FROM {_spell(FAILURES, 'id, message')}",
     "q_error_kind": f"SELECT id, CASE WHEN starts_with(message, 'NON_REPAIRABLE:') THEN 'non_repairable' WHEN contains(message, 'Long-span preservation check failed:') THEN 'long_span' WHEN starts_with(message, 'JSON parse recursion error:') THEN 'recursion' ELSE 'other' END AS kind FROM {_spell(ERRORS, 'id, message')}",
     "q_model_family": f"SELECT model, starts_with(lower(model), 'claude') AS flag FROM {_spell(MODELS, 'model')}",
