@@ -52,8 +52,8 @@ def _punctuated(spark: SparkSession, folder: str) -> DataFrame:
     return spread(rows.select("payload_id", F.inline(fields)).filter("text IS NOT NULL"))
 
 
-def _chain(spark: SparkSession, folder: str) -> sentences.Chain:
-    return sentences.train(table(spark, folder, "payloads").select("corrected_text", "ct_punct"))
+def _chain(spark: SparkSession, folder: str, bare: bool = False) -> sentences.Chain:
+    return sentences.train(table(spark, folder, "payloads").select("corrected_text", "ct_punct"), bare)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,7 +67,7 @@ def p4_units(spark: SparkSession, folder: str) -> DataFrame:
     """Ordered sentence units of both fields of every payload."""
     prepare(spark)
     rows = spread(lookalike.long_form(table(spark, folder, "payloads").select("payload_id", *lookalike.FIELDS)))
-    return sentences.units(rows, _chain(spark, folder))
+    return sentences.units(rows, _chain(spark, folder, bare=True))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,17 +19,20 @@ Defined results
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.sample import bounded
-from lectern.llm.turns import FILLER, SOUND, STAMP
+from lectern.llm.turns import FILLER, LABEL, SOUND, STAMP, is_label
 from lectern.operators.arrow import map_columns
 
 #: Bound of the labelled sample.
 SAMPLE_ROWS = 2500
 EPOCHS = 5
+#: Rows of the sample that the chain over word gaps sees, without their punctuation.
+BARE_ROWS = 2500
 
 _THAI = "ก-ฺเ-๎"
 _CLOSE = "\"'”’»›)）\\]」』】》〉“"
@@ -190,11 +193,61 @@ def places(text: str) -> list[tuple[int, list[str], int]]:
     return out
 
 
+_NOISE = re.compile(r"[\[<(*_♪♫{]|\d:\d\d")
+_MARKED = re.compile(r"[.!?…。！？｡؟।॥](?=[\s\"'”’»)\]」』）]|$)|[。！？।]|\n")
+_PIECE = re.compile("[㐀-鿿぀-ヿ฀-๿]|[^\\W㐀-鿿぀-ヿ฀-๿]+")
+
+
+def gaps(text: str) -> list[tuple[int, list[str], int]]:
+    """Candidates of a text without end marks: the place after every word (after every
+    character where words have no spaces), with the words on both sides."""
+    noise = sorted(m.span() for p in (STAMP, SOUND) for m in p.finditer(text)) if _NOISE.search(text) else []
+    labels = [m.span() for m in LABEL.finditer(text) if is_label(m, text)] if ":" in text or "：" in text or "<" in text else []
+    plain = text.translate(_PLAIN) if _WIDE.search(text) else text
+    for a, b in (*noise, *labels):
+        plain = plain[:a] + " " * (b - a) + plain[b:]
+    parts = [(m.start(), m.end(), m[0].lower()) for m in _PIECE.finditer(plain)]
+    out, since = [], 0
+    for k in range(len(parts) - 1):
+        (a, b, w), (c, _, n) = parts[k], parts[k + 1]
+        since += 1
+        dense = _DENSE.match(w) is not None
+        if dense and c == b:
+            w, n = "".join(p[2] for p in parts[max(0, k - 2) : k + 1]), "".join(p[2] for p in parts[k + 1 : k + 4])
+            before, after = w[-2:], n[:2]
+        else:
+            before = parts[k - 1][2] + " " + w if k else w
+            after = n + " " + parts[k + 2][2] if k + 2 < len(parts) else n
+        joint = "0" if c == b else "s"
+        size = min(since, 12) // (3 if dense else 1)
+        upper = text[c : c + 1].isupper()
+        feats = ["g" + joint, f"W{w}", f"N{n}", f"B{before}", f"A{after}", f"J{w}|{n}", f"L{size}{dense}", f"E{w[-3:]}|{n[:3]}", f"U{upper}{text[a:b][:1].isupper()}"]
+        out.append((b, feats, min(3, since // 3)))
+    return out
+
+
+def stripped(text: str, ends: list[int]) -> tuple[str, list[int]]:
+    """The text as unpunctuated speech: lower case, without marks outside words; ends
+    move with it."""
+    keep, places, out = [], {}, 0
+    cut = set(ends)
+    for k, c in enumerate(text):
+        if k in cut:
+            places[k] = out
+        inner = c in ".,:'’-" and 0 < k < len(text) - 1 and text[k - 1].isalnum() and text[k + 1].isalnum() and text[k - 1].isascii() and text[k + 1].isascii()
+        if c.isalnum() or c.isspace() or inner or unicodedata.category(c)[0] == "M":
+            keep.append(c.lower() if len(c.lower()) == 1 else c)
+            out += 1
+    places[len(text)] = out
+    return "".join(keep), [places.get(e, out) for e in ends]
+
+
 class Chain:
     """Weights of the chain: emission differences and transitions by distance."""
 
     def __init__(self):
         self.weights: dict[str, float] = {}
+        self.bare: Chain | None = None  # for texts without end marks
 
     def scores(self, cands) -> list[float]:
         w = self.weights
@@ -304,19 +357,44 @@ def training_data(rows: list[tuple[str, list]]) -> list[tuple[list, list[bool]]]
     return data
 
 
-def train(df: DataFrame) -> Chain:
+def bare_data(rows: list[tuple[str, list]]) -> list[tuple[list, list[bool]]]:
+    """Stripped texts with the gaps at which a sentence ended."""
+    data = []
+    for text, edits in rows:
+        ends = labelled_ends(text, edits)
+        if ends is None or len(text) > 1500 or "[" in text:
+            continue
+        plain, moved = stripped(text, ends)
+        cands = gaps(plain)
+        at = {e for e in moved if e < len(plain.rstrip())}
+        snapped = {max((c[0] for c in cands if c[0] <= e), default=0) for e in at}
+        data.append((cands, [c[0] in snapped for c in cands]))
+    return data
+
+
+def train(df: DataFrame, bare: bool = False) -> Chain:
     """Fit on a bounded sample of labelled rows, picked by the hash of their text."""
     rows = df.filter("corrected_text IS NOT NULL AND size(ct_punct.edits) > 0 AND length(corrected_text) < 4000")
     picked = bounded(rows.select("corrected_text", F.col("ct_punct.edits").alias("edits")), "corrected_text", SAMPLE_ROWS, "corrected_text", "edits")
-    return Chain().fit(training_data([(r.corrected_text, r.edits) for r in picked]))
+    rows = [(r.corrected_text, r.edits) for r in picked]
+    chain = Chain().fit(training_data(rows))
+    if bare:
+        chain.bare = Chain().fit(bare_data(rows[:BARE_ROWS]), epochs=16)
+    return chain
 
 
 def sentence_ends(text: str | None, chain: Chain) -> list[int]:
     """Offsets just after every sentence of a text."""
     if not text or not text.strip():
         return []
-    cands = places(text)
-    ends = [c[0] for c, y in zip(cands, chain.decode(cands)) if y]
+    if chain.bare is not None and not _MARKED.search(text.rstrip()[:-1]):
+        cands = gaps(text)
+        ends = [c[0] for c, y in zip(cands, chain.bare.decode(cands)) if y]
+        opens = [m.start() for m in LABEL.finditer(text) if is_label(m, text)]
+        ends = sorted({*ends, *(len(text[:a].rstrip()) for a in opens)} - {0})  # a label opens a sentence
+    else:
+        cands = places(text)
+        ends = [c[0] for c, y in zip(cands, chain.decode(cands)) if y]
     final = len(text.rstrip())
     if not ends or ends[-1] != final:
         ends = [e for e in ends if e < final] + [final]

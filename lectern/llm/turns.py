@@ -81,7 +81,7 @@ def speaker_of(raw: str) -> str:
     return name.upper()
 
 
-def _is_label(m: re.Match, text: str) -> bool:
+def is_label(m: re.Match, text: str) -> bool:
     if m["g"] is not None:
         word = m["g"]
         if word[:1].islower() or word.lower() in ("http", "https"):
@@ -131,7 +131,7 @@ def overlap(before: str, after: str) -> int:
 def parse(text: str) -> tuple[list[tuple], list[str]] | None:
     """Segments (start time or None, end time or None, speaker, label end, raw
     speech) of a text in one form, and its raw labels; None without a label."""
-    found = [m for m in LABEL.finditer(text) if _is_label(m, text)]
+    found = [m for m in LABEL.finditer(text) if is_label(m, text)]
     if not found:
         return None
     edges = []

@@ -32,6 +32,26 @@ def test_held_out(rows):
     assert true > 200 and right / found > 0.97 and right / true > 0.97
 
 
+def test_held_out_without_marks(rows):
+    """Gaps of stripped texts: what the chain over word gaps finds is right."""
+    random.Random(1).shuffle(rows)
+    cut = len(rows) * 3 // 4
+    known = {t for t, _ in rows[:cut]}
+    bare = K.Chain().fit(K.bare_data(rows[:cut]), epochs=16)
+    right = found = true = 0
+    for cands, gold in K.bare_data([x for x in rows[cut:] if x[0] not in known]):
+        got = bare.decode(cands)
+        right, found, true = right + sum(a and b for a, b in zip(got, gold)), found + sum(got), true + sum(gold)
+    assert right / max(1, found) > 0.9 and right / true > 0.4
+
+
+def test_labels_open_sentences():
+    chain = K.Chain()
+    chain.bare = K.Chain()
+    chain.bare.weights = {"gs": -1.0}
+    assert K.sentence_ends("hi there [SPK 2]: yes [noise] ok", chain) == [8, 32]
+
+
 def test_places():
     assert [c[0] for c in K.places("See www.a.example. Pi is 3.14 now.")] == [18, 34]
     chain = K.Chain()
