@@ -51,8 +51,13 @@ def ship(spark: SparkSession) -> None:
         return
     _shipped.add(sc.applicationId)
     root = os.path.dirname(os.path.abspath(__file__))
-    fd, path = tempfile.mkstemp(suffix=".zip", prefix="lectern-")
-    os.close(fd)
+    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
+    shared = shared.removeprefix("file://")
+    if shared.startswith("/"):  # the folder that all executors share
+        os.makedirs(shared, exist_ok=True)
+        path = os.path.join(shared, f"lectern-{sc.applicationId}.zip")
+    else:
+        path = os.path.join(tempfile.gettempdir(), f"lectern-{sc.applicationId}.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _, files in os.walk(root):
             for name in files:
