@@ -293,7 +293,7 @@ def segments(text: str, words: list[tuple], post) -> list[tuple[int, int, str, f
 
 #: A language belongs to a text if a run of it holds so many letters, weighted by script.
 RUN_LETTERS, RUN_LETTERS_DENSE = 8, 4
-RUN_CONFIDENCE = 0.75
+RUN_CONFIDENCE, SHORT_CONFIDENCE = 0.75, 0.95
 
 
 def text_languages(found: list[tuple]) -> list[tuple[str, float]]:
@@ -307,7 +307,7 @@ def text_languages(found: list[tuple]) -> list[tuple[str, float]]:
         weight[lang] = weight.get(lang, 0) + letters
         mass[lang] = mass.get(lang, 0) + conf * letters
         need = RUN_LETTERS_DENSE if lang in ("zh", "ja", "ko", "th") else RUN_LETTERS
-        if letters >= need and conf >= RUN_CONFIDENCE:
+        if letters >= need and conf >= (RUN_CONFIDENCE if letters >= 2 * need else SHORT_CONFIDENCE):
             strong.add(lang)
     main = max(weight, key=lambda x: weight[x])
     return [(x, mass[x] / weight[x]) for x in sorted(strong | {main})]

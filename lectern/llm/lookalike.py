@@ -293,7 +293,11 @@ def examine(df: DataFrame) -> DataFrame:
     """One row per suspect text and one more per doubtful token, tokens marked by
     whether the corpus knows the repaired word."""
     rows = map_columns(long_form(df), _kernel, _SCHEMA)
-    return rows.join(vocabulary(df), F.lower("word") == F.col("known"), "left")
+    # rows without a token get a key of their own that no word equals; as nulls they
+    # would all meet in one partition
+    own = F.concat(F.lit("\n"), F.coalesce(F.col("payload_id").cast("string"), F.lit("")), "field")
+    keyed = rows.withColumn("key", F.coalesce(F.lower("word"), own))
+    return keyed.join(vocabulary(df), F.col("key") == F.col("known"), "left").drop("key")
 
 
 def found(df: DataFrame) -> DataFrame:

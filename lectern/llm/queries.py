@@ -115,7 +115,7 @@ def p7_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 def _counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts, tokenised once and cut from their lineage."""
-    rows = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    rows = spread(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return cut(tokens.with_counts(rows))
 
 
@@ -135,8 +135,7 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
 def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """The largest mixture with every source at its share."""
     prepare(spark)
-    sources = table(spark, folder, "documents").select("doc_id", "source")
-    counts = cut(_counts(spark, folder).join(sources, "doc_id"))
+    counts = _counts(spark, folder)
     targets = table(spark, folder, "mix_targets").collect()  # a fixed table of eight rows
     return mixing.mixture(counts, [(r.source, r.target_share, r.max_repeats) for r in targets])
 

@@ -34,13 +34,14 @@ def cached_encoder(path: str):
 
 
 def with_counts(df: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """(doc_id, n_tokens) of every document; null texts count nothing."""
+    """(doc_id, source, n_tokens) of every document; null texts count nothing."""
 
     def kernel(columns: dict) -> dict:
         enc = cached_encoder(path)
         return {
             "doc_id": columns["doc_id"],
+            "source": columns["source"],
             "n_tokens": [len(enc.encode_ordinary(t)) if t else 0 for t in columns["text"]],
         }
 
-    return map_columns(df.select("doc_id", "text"), kernel, "doc_id bigint, n_tokens bigint")
+    return map_columns(df.select("doc_id", "source", "text"), kernel, "doc_id bigint, source string, n_tokens bigint")
