@@ -239,16 +239,13 @@ def _invert(text: str, wrong: str, true: str) -> str | None:
     return None if out == text or _ODD.search(out) else out
 
 
+#: Characters that a repaired word of a Latin script does not hold.
+_NO_TEXT = re.compile("[\u0080-\u00a0\u00a2-\u00a9\u00ac-\u00ba\u00bc-\u00be\u00d7\u00f7\u0370-\u1dff\u2020-\u2025\u2030\u2100-\uffff]")
 _CJK = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uff61-\uff9f]")
 _HIGH_RUN = re.compile("[^\x00-\x7f](?:[^\n]*[^\x00-\x7f])?")
 _PART = re.compile("[\u0080-\u024f\u02c6\u02dc\u0400-\u04ff\u0192\u2010-\u2122\u2500-\u25a0!-~]{3,}")
 
 
-def _gain(table: Pairs, before: str, after: str, left: str, right: str) -> float:
-    """How much likelier the text becomes, in nats, seen with its neighbours."""
-    return table.log_likelihood(left + after + right) - table.log_likelihood(left + before + right)
-
-
 def restore(run: str, table: Pairs, left: str = "\n", right: str = "\n", odd: float = 1.0) -> tuple[str, str] | None:
     """(restored run, mapping) if an inverse mapping makes the run clearly likelier.
     ``odd`` is the share of improbable pairs: mappings that fit almost any text are
@@ -266,12 +263,15 @@ def restore(run: str, table: Pairs, left: str = "\n", right: str = "\n", odd: fl
 
 def _restore(run: str, table: Pairs, left: str, right: str, odd: float) -> tuple[str, str] | None:
     best: tuple[float, str, str] | None = None
+    base: float | None = None
 
     def offer(out: str | None, mapping: str, need: float) -> None:
-        nonlocal best
+        nonlocal best, base
         if out is None or out == run or _ODD.search(out):
             return
-        gain = 9.0 if out.startswith(_MARKED) and out[1:] in run else _gain(table, run, out, left, right)
+        if base is None:
+            base = table.log_likelihood(left + run + right)
+        gain = 9.0 if out.startswith(_MARKED) and out[1:] in run else table.log_likelihood(left + out + right) - base
         if gain > need and (best is None or gain > best[0]):
             best = (gain, out, mapping)
 
@@ -293,7 +293,9 @@ def _restore(run: str, table: Pairs, left: str, right: str, odd: float) -> tuple
             offer(_invert(run, wrong, true), f"{wrong}>{true}", 8.0 + 1.2 * high)
     if best is None and odd >= 0.3 and high < 0.6 * len(run):
         for wrong, true in SPARSE:
-            offer(_invert(run, wrong, true), f"{wrong}>{true}", 9.0 + 2.0 * high)
+            out = _invert(run, wrong, true)
+            if out is not None and not _NO_TEXT.search(out):
+                offer(out, f"{wrong}>{true}", 9.0 + 2.0 * high)
     return (best[1], best[2]) if best else None
 
 
@@ -357,7 +359,7 @@ def examine(text: str | None, table: Pairs) -> tuple[list[tuple[int, int, str, s
                     got = restore(m[0], table, part[m.start() - 1 : m.start()] or "\n", part[m.end() : m.end() + 1] or "\n", share(x + m.start(), x + m.end()))
                     if got:
                         found.append((lo + x + m.start(), lo + x + m.end(), *got))
-            if not lost and (not found or found[-1][1] <= lo + x) and float(np.max(own[x : y + 1], initial=0)) > 0:
+            if not lost and (not found or found[-1][1] <= lo + x) and share(x, y) >= 0.5:
                 lost = lossy(part, table)
     return found, lost
 
