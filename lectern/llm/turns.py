@@ -103,10 +103,13 @@ def seconds(clock: str) -> float:
     return total
 
 
+_MAY_BE_NOISE = re.compile(r"[\[<(*_{♪♫]|\d:\d\d")
+
+
 def bare(text: str) -> str:
     """Speech without time stamps, sounds and fillers."""
-    text = STAMP.sub(" ", text)
-    text = SOUND.sub(" ", text)
+    if _MAY_BE_NOISE.search(text):
+        text = SOUND.sub(" ", STAMP.sub(" ", text))
     text = DENSE_FILLER.sub("", FILLER.sub(" ", text))
     return re.sub(r"\s+", " ", text).strip()
 
