@@ -28,7 +28,8 @@ FAILURES = (
     (4, "request was throttled"),
 )
 SELECTORS = ("LEXICAL", "PUNCT, CASING, 7", "bogus", "4,1", "ALL", "0,9", "[NUMERAL]", "SPEAKER,DISFLUENCY")
-MODELS = ("claude-x", "gpt-y", "Claude-z", "other")
+FAMILY = "alpha"
+MODELS = ("alpha-x", "beta-y", "Alpha-z", "other")
 LOGS = (
     (1, "start\nSchema error: missing key 'a'\nJSON parse error: bad\nend"),
     (2, "Traceback\nValueError: no value\n"),
@@ -41,7 +42,7 @@ def _spell(rows: tuple, names: str) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(q(v) for v in (r if isinstance(r, tuple) else (r,))) + ")" for r in rows) + f") AS v({names})"
 
 
-def payload_error(df_struct: str = "") -> Column:
+def payload_error() -> Column:
     """First rule that a payload breaks, or null."""
     rules = [
         (F.col("tokenization").isNull() | F.col("tokenization.tokens").isNull(), "tokenization"),
@@ -143,7 +144,7 @@ def q_error_kind(spark, folder):
 
 
 def q_model_family(spark, folder):
-    return spark.createDataFrame([(m,) for m in MODELS], "model string").select("model", F.lower("model").startswith("claude").alias("flag"))
+    return spark.createDataFrame([(m,) for m in MODELS], "model string").select("model", F.lower("model").startswith(FAMILY).alias("flag"))
 
 
 def q_log_error(spark, folder):
@@ -310,7 +311,7 @@ n AS (SELECT *, lag(source_text) OVER w AS prv, lead(source_text) OVER w AS nxt
     "q_eval_prompts": f"SELECT payload_id, md5(replace(replace('{AUDIT}', '{{original_text}}', coalesce(source_text, '')), '{{patched_text}}', coalesce(corrected_text, '')) || chr(10) || chr(10) || 'chain_steps:' || chr(10) || '{S.describe('PUNCT')}' || chr(10) || chr(10) || 'extracted_edits:' || chr(10) || coalesce(array_to_string(list_transform(ct_punct.edits, lambda e: array_to_string(e, '>')), ';'), '')) AS h FROM payloads",
     "q_retry_hint": f"SELECT id, try_cast(nullif(regexp_extract(lower(message), 'retry after\\s+(\\d+(?:\\.\\d+)?)\\s+second', 1), '') AS DOUBLE) AS seconds, regexp_matches(lower(message), '429|rate limit|throttl') AS retryable FROM {_spell(FAILURES, 'id, message')}",
     "q_error_kind": f"SELECT id, CASE WHEN starts_with(message, 'NON_REPAIRABLE:') THEN 'non_repairable' WHEN contains(message, 'Long-span preservation check failed:') THEN 'long_span' WHEN starts_with(message, 'JSON parse recursion error:') THEN 'recursion' ELSE 'other' END AS kind FROM {_spell(ERRORS, 'id, message')}",
-    "q_model_family": f"SELECT model, starts_with(lower(model), 'claude') AS flag FROM {_spell(MODELS, 'model')}",
+    "q_model_family": f"SELECT model, starts_with(lower(model), '{FAMILY}') AS flag FROM {_spell(MODELS, 'model')}",
     "q_log_error": f"SELECT id, coalesce(regexp_extract_all(log, '(JSON parse error: [^\\n]*)', 1)[-1], regexp_extract_all(log, '(Schema error: [^\\n]*)', 1)[-1], regexp_extract_all(log, '(\\w+Error: [^\\n]*)', 1)[-1]) AS message FROM {_spell(LOGS, 'id, log')}",
     "q_partial_codec": "SELECT payload_id, 150 AS lim, ['ok', 'fail', 'filtered'][(payload_id % 3 + 1)::INT] AS s, coalesce(translation, '') AS t FROM payloads",
     "q_batch_results": "SELECT payload_id, CASE payload_id % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'length' WHEN 2 THEN 'filtered' ELSE 'ok' END AS kind FROM payloads",

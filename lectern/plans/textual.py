@@ -293,14 +293,12 @@ def s_needs(a: str, b: str) -> str:
     )
 
 
-_UP, _LOW = r"regexp_matches({x}, '\p{{Lu}}')", ""
 _CHARS = "chars AS (SELECT DISTINCT unnest(str_split(source_text, '')) AS ch FROM payloads WHERE source_text IS NOT NULL)"
 _GRP = "CASE " + " ".join(f"WHEN regexp_matches(ch, '^[{c}]') THEN '{n}'" for n, c in K.GROUPS.items()) + " END"
 _OTH = "[" + "".join(f"\\p{{{s}}}" for s in _OTHER) + "]"
 _FW = X.FIRST_WORD
 _MARK_SQL = r"regexp_extract({x}, '(\p{{P}})[ \t\n\r]*$', 1)"
 _PUNCT = f"found AS (SELECT doc_id, pos, unnest(regexp_extract_all(line, '([{MARKS}])[ \\t]*([{MARKS}])')) AS key FROM lines), kept AS (SELECT * FROM found WHERE replace(replace(key, ' ', ''), chr(9), '') NOT IN ({', '.join(repr(x) for x in LEGIT)}))"
-_HEAD = f"""lower(replace(trim({{x}}), ' ', '_'))"""
 
 SQL = {
     "q_read_cells": f"""WITH {_TAB}, c AS (SELECT doc_id, row, str_split(row, chr(9)) AS c FROM tab)
