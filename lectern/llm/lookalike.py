@@ -202,7 +202,9 @@ def candidates(text: str) -> list[tuple[int, int, str, bool]]:
             counts[s] = counts.get(s, 0) + n
     if len(counts) < 2 and not counts.keys() & {"greek", "armenian", "cherokee"}:
         return []
-    main = "cyrillic" if counts.get("cyrillic", 0) > counts.get("latin", 0) else "latin"
+    # Cyrillic that could all be read as Latin is no Cyrillic text
+    real = any(script_of(ch) == "cyrillic" and ch not in PROTOTYPE for _, _, w in words for ch in w) if "cyrillic" in counts else False
+    main = "cyrillic" if real and counts["cyrillic"] > counts.get("latin", 0) else "latin"
     found: list[tuple[int, int, str, bool]] = []
     doubtful = set()
     alone = []
@@ -226,7 +228,7 @@ def candidates(text: str) -> list[tuple[int, int, str, bool]]:
         left = next((scripts[j] for j in range(k - 1, -1, -1) if j not in doubtful and scripts[j]), None)
         right = next((scripts[j] for j in range(k + 1, len(words)) if j not in doubtful and scripts[j]), None)
         near = [s for s in (left, right) if s]
-        if near and all(main in s for s in near):
+        if all(main in s for s in near) and (near or not real):
             found.append((a, b, fixed, False))
     return sorted(found)
 
