@@ -28,9 +28,10 @@ from lectern.operators.arrow import map_columns
 
 COLUMNS = ("corpus_name", "recorded_at", "line_no", "duration_s", "source_filename", "source_text")
 EXTENSIONS = ("wav", "mp3", "m4a", "flac", "ogg")
-BLOCK = 256
+#: First block size; blocks double while they succeed and shrink after a failure.
+BLOCK, SMALLEST, LARGEST = 64, 32, 4096
 #: A failing block of at most so many lines is read strictly instead of being halved again.
-LEAF = 4
+LEAF = 16
 
 _TIME = re.compile(
     r"(\d{4})-(\d{2})-(\d{2})[T ](\d{2}):(\d{2}):(\d{2})(?:\.(\d+))?(?:(Z)|\+(\d{2}):(\d{2}))?", re.ASCII
@@ -180,27 +181,30 @@ def _fast(lines) -> list | None:
 
 def parse_block(ids: list, lines: list[str], block: int = BLOCK):
     """Yield (id, reason, typed cells) for every data line. Blocks that fail are
-    bisected; single failing lines are diagnosed."""
+    bisected; failing lines are diagnosed."""
     import pyarrow as pa
 
     kept = [(i, x) for i, x in zip(ids, lines) if is_data(x)]
-    stack = [kept[k : k + block] for k in range(0, len(kept), block)]
-    while stack:
-        part = stack.pop()
-        if len(part) == 1:
-            yield part[0][0], *diagnose(part[0][1])
-            continue
-        columns = _fast(pa.array([x.removesuffix("\r") for _, x in part], pa.string()))
-        if columns is None and len(part) <= LEAF:
-            for i, x in part:
-                yield i, *diagnose(x)
-            continue
-        if columns is None:
-            half = len(part) // 2
-            stack += [part[:half], part[half:]]
-            continue
-        for (i, _), *cells in zip(part, *(c.to_pylist() for c in columns)):
-            yield i, None, tuple(cells)
+    at, size = 0, block
+    while at < len(kept):
+        stack = [kept[at : at + size]]
+        at += size
+        whole = True
+        while stack:
+            part = stack.pop()
+            columns = _fast(pa.array([x.removesuffix("\r") for _, x in part], pa.string())) if len(part) > 1 else None
+            if columns is not None:
+                for (i, _), *cells in zip(part, *(c.to_pylist() for c in columns)):
+                    yield i, None, tuple(cells)
+                continue
+            whole = False
+            if len(part) <= LEAF:
+                for i, x in part:
+                    yield i, *diagnose(x)
+            else:
+                half = len(part) // 2
+                stack += [part[half:], part[:half]]
+        size = min(LARGEST, 2 * size) if whole else max(min(block, SMALLEST), size // 2)
 
 
 def _kernel(columns: dict) -> dict:
