@@ -132,7 +132,7 @@ class Pairs:
 
 ASCII_PAIR = -0.4
 #: A pair scores zero at this share of the corpus mutual information (in nats).
-RARE = 1.5e-4
+RARE = 5e-5
 #: Weight of the single character in the probability of a pair.
 SMOOTH = 5.0
 
