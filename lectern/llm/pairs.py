@@ -7,6 +7,9 @@ this order: empty, refusal, copy, wrong_language, truncated.
 * refusals by a grammar of negated ability, task verb and task noun per language,
   unless the answer is covered by the source or the source declines something;
 * copies and left-out content by greedy string tiling of folded tokens;
+* common tokens bound the tiling from above and only spare it where they are few;
+* an answer in the source's language that is not made of it is truncated if it is
+  shorter than what it must cover or left open, else it has no defect;
 * truncation also by a pushdown parser for quotes, brackets, fences, lists and
   markup left open at the end, and by the length an answer has over all rows of its
   language;
@@ -79,12 +82,13 @@ _CLOSED = re.compile(r"[.!?…。！？।؟¿]+[\"'”’»)\]」』）*_]*\s*$
 
 _ACCENTED = re.compile("[\u00c0-\u024f\u0300-\u036f\u1e00-\u1eff]")
 _ACCENT = re.compile("[\u0300-\u036f]+")
+_STROKE = str.maketrans("łøđħŧ", "lodht")  # letters whose stroke is no accent
 
 
 def fold(text: str) -> str:
     """Lower case; Latin letters without accents."""
     low = text.lower()
-    return _ACCENT.sub("", ud.normalize("NFD", low)) if _ACCENTED.search(low) else low
+    return _ACCENT.sub("", ud.normalize("NFD", low)).translate(_STROKE) if _ACCENTED.search(low) else low
 
 
 def speech(text: str) -> str:
@@ -117,16 +121,25 @@ def common(a: list[str], b: list[str]) -> float:
     return sum((Counter(a) & Counter(b)).values()) / len(a) if a else 1.0
 
 
-def tiling(a: list[str], b: list[str], least: int = 2) -> float:
+#: Tokens of either side that a tile may pass over.
+_BRIDGES = ((0, 0), (1, 1), (0, 1), (1, 0), (0, 2), (0, 3))
+
+
+def tiling(a: list[str], b: list[str], least: int = 2, bridge: bool = False) -> float:
     """Share of ``a`` covered by greedy string tiling with ``b``: the longest common
-    runs first, no token used twice, runs of at least ``least`` tokens."""
+    runs first, no token used twice, runs of at least ``least`` tokens. With
+    ``bridge`` a tile goes on behind one corrected token or up to three put in."""
     if not a or not b:
         return 0.0
+    if a == b:
+        return 1.0
+    least = min(least, len(a), len(b))
     places: dict[tuple, list[int]] = {}
     for j in range(len(b) - least + 1):
         places.setdefault(tuple(b[j : j + least]), []).append(j)
     used_a, used_b = [False] * len(a), [False] * len(b)
     covered = 0
+    tiles: list[tuple[int, int, int]] = []
     runs: list[tuple[int, int, int]] = []
     for i in range(len(a) - least + 1):
         for j in places.get(tuple(a[i : i + least]), ()):
@@ -146,12 +159,30 @@ def tiling(a: list[str], b: list[str], least: int = 2) -> float:
                 m += 1
             if m - k >= least:
                 covered += m - k
+                tiles.append((m - k, i + k, j + k))
                 used_a[i + k : i + m] = [True] * (m - k)
                 used_b[j + k : j + m] = [True] * (m - k)
             k = m
+    for n, i, j in tiles if bridge else ():
+        for step, x, y in ((1, i + n, j + n), (-1, i - 1, j - 1)):
+            while True:
+                for da, db in _BRIDGES:
+                    u, v = x + da * step, y + db * step
+                    if 0 <= u < len(a) and 0 <= v < len(b) and a[u] == b[v] and not used_a[u] and not any(used_b[min(y, v) : max(y, v) + 1]):
+                        break
+                else:
+                    break
+                used_a[u] = used_b[v] = True
+                covered, x, y = covered + 1, u + step, v + step
     return covered / len(a)
 
 
+def tiled(a: list[str], b: list[str], least: float) -> float:
+    """The tiling of ``a`` with ``b``, or its upper bound where that is below ``least``."""
+    bound = common(a, b)
+    return bound if bound < least else tiling(a, b, bridge=True)
+
+
 _PAIR = {")": "(", "]": "[", "}": "{", "）": "（", "」": "「", "』": "『", "»": "«", "”": "“", ">": "<"}
 _OPEN = re.compile(r"```|[()\[\]{}（）「」『』«»“”„\"]|</?[a-zA-Z]+>")
 
@@ -235,11 +266,9 @@ class Judge:
             else:
                 said_c = _ANSWER_LABEL.sub(" ", one_form(c))
                 item["ctok"] = ctok = tokens(said_c)
-                item["cover"] = cover = common(src, ctok)
+                cover = tiled(src, ctok, LEFT_OUT)
                 if cover < LEFT_OUT:
-                    item["cover"] = tiling(src, ctok)
-                    item["back"] = common(ctok, src)
-                    if item["back"] < 0.5:
+                    if tiled(ctok, src, 0.5) < 0.5:
                         if is_refusal(c):
                             out[k].append(("corrected_text", "refusal"))
                             item["c_bad"] = True
@@ -249,13 +278,16 @@ class Judge:
                     else:
                         out[k].append(("corrected_text", "truncated"))
                         item["c_bad"] = True
+                elif cover < CLOSED_LENGTH and left_open(c) and not left_open(s):
+                    out[k].append(("corrected_text", "truncated"))
+                    item["c_bad"] = True
             if is_empty(t):
                 out[k].append(("translation", "empty"))
             else:
                 item["ttok"] = ttok = tokens(_PREFIX.sub("", t, count=1))
-                mine = common(ttok, src)
+                mine = tiled(ttok, src, 0.5)
                 if mine < 0.8 and "c_bad" not in item and "c_ask" not in item:
-                    mine = max(mine, common(ttok, item["ctok"]))
+                    mine = max(mine, tiled(ttok, item["ctok"], 0.5))
                 item["mine"] = mine
                 if is_refusal(t) and mine < 0.5 and not is_refusal(said):
                     out[k].append(("translation", "refusal"))
@@ -282,7 +314,7 @@ class Judge:
                 answer = main(item["c_ask"])
                 if answer and own and own.get(answer, 0.0) < 0.15 and theirs[answer] > 0.6:
                     out[k].append(("corrected_text", "wrong_language"))
-                elif tiling(item["ctok"], item["src"]) > 0.5:
+                elif len(item["ctok"]) < LEFT_OUT * len(item["src"]) or (left_open(item["c"]) and not left_open(item["s"])):
                     out[k].append(("corrected_text", "truncated"))
                 item["c_bad"] = True
             if "t_open" not in item:

@@ -77,3 +77,22 @@ def test_frame(spark, judge):
     got = [tuple(r) for r in K.defects(df, judge).collect()]
     assert got.count((1, "corrected_text", "empty")) == 2 and (5, "translation", "copy") in got
     assert K.defects(df.limit(0), judge).count() == 0 and isinstance(K.usual_lengths(df.limit(0)), dict)
+
+
+WORDS = "please send the parcel to marta before friday and tell her where she put the recipe for the meeting".split()
+
+
+@pytest.mark.parametrize(
+    "source, corrected, defect",
+    [
+        (" ".join(WORDS), " ".join(WORDS[:11] + WORDS[:10:-1]), "truncated"),  # all words, but runs of the first eleven only
+        ("อืมก่อนอื่นเราต้องตรวจตั๋วครับ เราทำพัสดุมา518ปีแล้วคุ้มค่ามากครับ เราทำพัสดุมา14ปีแล้วคุ้มค่ามากครับ", "ขออภัยไม่สามารถดำเนินการตามคำขอนี้ได้", "refusal"),
+        ("potrzebny jest kontrakt dwa kable i troche papieru na jutro rano w szkole", 'Potrz', "truncated"),
+        (" ".join(WORDS), 'Please send the parcel to Marta before Friday and tell her "where she put the', "truncated"),
+        ("sprzet kosztowal ok 4,23 zl przy al lipowej", "Sprzęt kosztował ok. 4,23 zł przy al. Lipowej.", None),
+        ("Speaker A: one thing: Do you know where Jiří Pazo put the recipe?", "[SPKA]: Do you know where Jiří Pazo put the recipe?", None),
+    ],
+)
+def test_tiling_decides(judge, source, corrected, defect):
+    got = [d for f, d in judge.batch([source], [corrected], ["The translation does not matter here."])[0] if f == "corrected_text"]
+    assert got == ([defect] if defect else [])
