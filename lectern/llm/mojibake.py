@@ -1,6 +1,7 @@
 """Garbled text from wrong character encoding.
 
-Adjacent character pairs are counted over all documents. A pair's share of the
+Adjacent character pairs are counted over the distinct lines of all documents, so
+copies, of texts or of lines, do not make what they hold probable. A pair's share of the
 corpus mutual information, p(ab) log p(ab)/p(a)p(b), tells how well it fits this
 corpus; pairs with a small share score as improbable, and the maximum-scoring
 segments of a text are its improbable runs. Only there inverse mappings are tried:
@@ -93,7 +94,7 @@ def _buckets(a, b):
 
 
 class Pairs:
-    """Counts of characters and adjacent pairs over the corpus."""
+    """Counts of characters and adjacent pairs over the distinct lines of the corpus."""
 
     def __init__(self, pairs, chars):
         import numpy as np
@@ -138,8 +139,9 @@ SMOOTH = 5.0
 
 
 def count_pairs(df: DataFrame) -> Pairs:
-    """Pair and character counts of all texts: every task fills fixed tables and
-    sends their filled buckets, so the result is bounded by the table size."""
+    """Pair and character counts over all distinct lines: every task fills fixed tables
+    and sends their filled buckets, so the result is bounded by the table size. Copies
+    meet in the tasks first, so a line in many copies does not gather anywhere."""
     import numpy as np
 
     def run(batches):
@@ -165,7 +167,8 @@ def count_pairs(df: DataFrame) -> Pairs:
                     [pa.array(np.full(len(part), kind, np.int32)), pa.array(part), pa.array(t[part])], names=["kind", "bucket", "n"]
                 )
 
-    rows = df.select("text").mapInArrow(run, "kind int, bucket bigint, n bigint").groupBy("kind", "bucket").agg(F.sum("n").alias("n"))
+    lines = df.select(F.explode(F.split("text", "\n")).alias("text")).filter("text <> ''").distinct()
+    rows = lines.mapInArrow(run, "kind int, bucket bigint, n bigint").groupBy("kind", "bucket").agg(F.sum("n").alias("n"))
     got = rows.toArrow()
     kind, bucket, n = (got.column(c).to_numpy() for c in ("kind", "bucket", "n"))
     tables = []

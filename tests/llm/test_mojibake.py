@@ -51,3 +51,13 @@ def test_frame(spark, table):
     got = {r.doc_id: r for r in K.garbled(df).collect()}
     assert got[5].lost and got[5].restored is None and set(got) <= {1, 5, 6}
     assert K.garbled(df.limit(0)).count() == 0
+
+
+def test_copies_do_not_hide(spark, clean):
+    """A garbled text is found though a third of all rows are its copies."""
+    line = next(x for t in clean for x in t.split("\n") if 60 < len(x) < 200 and sum("\u0400" <= c <= "\u04ff" for c in x) > 40)
+    bad = "".join(bytes([b]).decode("cp1252", "replace").replace("\ufffd", chr(b)) for b in line.encode())
+    rows = [(k, t) for k, t in enumerate(clean)] + [(-1, bad)] * (len(clean) // 2)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [r.restored for r in K.garbled(df).filter("doc_id = -1").collect()]
+    assert got == [line] * (len(clean) // 2)
