@@ -76,7 +76,8 @@ REFUSAL_LENGTH = 320
 _TOKEN = re.compile(r"[a-zɐ-ʯ'ªº]+|[À-ɏ]+|[Ѐ-ԯ]+|[؀-ۿ]+|[ऀ-ॿ]+|[가-힯ᄀ-ᇿ]+|\d+|[㐀-鿿぀-ヿ฀-๿]|[^\W\d_]+")
 
 _PREFIX = re.compile(r"^\W*[A-Za-z]{3,14}\s?[:：]\s*")
-_ENGLISH = set("the and was that this you with is we at of for to in on will have what why do does where first please told there i".split())
+# English words that none of the other languages writes.
+_ENGLISH = set("the and that this you with have what why does where please told there".split())
 _CLOSED = re.compile(r"[.!?…。！？।؟¿]+[\"'”’»)\]」』）*_]*\s*$")
 
 
@@ -229,11 +230,15 @@ def is_refusal(text: str) -> bool:
     return len(text) <= REFUSAL_LENGTH and bool(_REFUSAL.search(text))
 
 
+_WORD = re.compile(r"[^\W_]+")
+
+
 def _plain(text: str) -> int:
     return len("".join(text.split()))
 
 
-def _english(words: list[str]) -> bool:
+def _english(text: str) -> bool:
+    words = _WORD.findall(ud.normalize("NFC", text).lower())  # with accents: French "thé" is not "the"
     hits = [w for w in words if w in _ENGLISH]
     return len(set(hits)) >= 2 and len(hits) >= 0.12 * len(words)
 
@@ -293,8 +298,7 @@ class Judge:
                     out[k].append(("translation", "refusal"))
                 else:
                     item["t_open"] = True
-                    english = _english(ttok)
-                    if not english or (mine >= 0.8 and not _english(src)):
+                    if mine >= 0.8 or not _english(t):
                         ask[said] = ask[t] = None
                         item["t_ask"] = True
             work.append(item)

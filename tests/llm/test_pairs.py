@@ -96,3 +96,10 @@ WORDS = "please send the parcel to marta before friday and tell her where she pu
 def test_tiling_decides(judge, source, corrected, defect):
     got = [d for f, d in judge.batch([source], [corrected], ["The translation does not matter here."])[0] if f == "corrected_text"]
     assert got == ([defect] if defect else [])
+
+
+def test_copy_of_polish_is_no_english(judge):
+    """Everyday Polish words that English writes too prove no English."""
+    text = 'Oskar powiedział "to na pewno i tak do mnie należy, możemy iść" i wrócił do domu, on i ja idziemy do szkoły.'
+    assert judge.batch([text], [text], [text]) == [[("translation", "copy")]]
+    assert not K._english(text) and not K._english("Le thé, this") and K._english("Where is the parcel that you told them about?")
