@@ -194,7 +194,7 @@ def places(text: str) -> list[tuple[int, list[str], int]]:
 
 
 _NOISE = re.compile(r"[\[<(*_♪♫{]|\d:\d\d")
-_MARKED = re.compile(r"[.!?…。！？｡؟।॥](?=[\s\"'”’»)\]」』）]|$)|[。！？।]|\n")
+_MARKED = re.compile(r"[.!?…。！？｡؟।॥](?=[\s\"'”’»)\]」』）]|$)|[。！？।]")
 _PIECE = re.compile("[㐀-鿿぀-ヿ฀-๿]|[^\\W㐀-鿿぀-ヿ฀-๿]+")
 
 
@@ -383,18 +383,61 @@ def train(df: DataFrame, bare: bool = False) -> Chain:
     return chain
 
 
+_CLOSING = re.compile(rf"[.!?…。！？｡．؟۔।॥‼⁇⁈⁉][{_CLOSE}]*\s*$")
+
+
+def _bare(text: str, breaks: list[int], bare: Chain) -> set[int]:
+    """Ends inside a stretch without marks: those the chain over word gaps tells, line
+    breaks that were taken for ends, and places where a label opens a sentence. What is
+    no speech gives no sentence of its own."""
+    cands = gaps(text)
+    found = {c[0] for c, y in zip(cands, bare.decode(cands)) if y}
+    plain = text
+    for m in (m for p in (STAMP, SOUND) for m in p.finditer(text)) if _NOISE.search(text) else ():
+        plain = plain[: m.start()] + " " * (m.end() - m.start()) + plain[m.end() :]
+    fixed = set()
+    for a in (m.start() for m in LABEL.finditer(text) if is_label(m, text)):
+        line = text.rfind("\n", len(plain[:a].rstrip()), a)
+        fixed.add(len(text[: line if line >= 0 else a].rstrip()))
+    for end in fixed | set(breaks):
+        found -= set(range(len(plain[:end].rstrip()), end))
+    return found | fixed | set(breaks)
+
+
+def _bare_ends(text: str, ends: list[int], bare: Chain) -> list[int]:
+    """``ends`` and those that word gaps tell: every stretch that no end mark closes, or
+    whose letters are of one case, is read by the chain over word gaps, with its line
+    breaks. Spaces after Thai are marks
+    where the text has marks or lines."""
+    n = len(text.rstrip())
+    written = "\n" in text[:n] or _MARKED.search(text[: n - 1]) is not None
+    out: set[int] = set()
+    start, breaks = 0, []
+    for end in [*(e for e in ends if e < n), n]:
+        thai = _THAI_END.search(text, max(start, end - 2), end) is not None
+        marked = written and thai or _CLOSING.search(text, max(start, end - 12), end) is not None
+        if not marked and end < n:
+            if text[end : len(text) - len(text[end:].lstrip())].count("\n"):
+                breaks.append(end - start)
+            continue
+        part = text[start:end]
+        flat = part.lower() != part.upper() and part in (part.lower(), part.upper())
+        upto = end if not marked or (flat and not thai) else start + breaks[-1] if breaks else start
+        if upto > start:
+            out |= {start + e for e in _bare(text[start:upto], breaks, bare)}
+        out.add(end)
+        start, breaks = end, []
+    return sorted(out - {0})
+
+
 def sentence_ends(text: str | None, chain: Chain) -> list[int]:
     """Offsets just after every sentence of a text."""
     if not text or not text.strip():
         return []
-    if chain.bare is not None and not _MARKED.search(text.rstrip()[:-1]):
-        cands = gaps(text)
-        ends = [c[0] for c, y in zip(cands, chain.bare.decode(cands)) if y]
-        opens = [m.start() for m in LABEL.finditer(text) if is_label(m, text)]
-        ends = sorted({*ends, *(len(text[:a].rstrip()) for a in opens)} - {0})  # a label opens a sentence
-    else:
-        cands = places(text)
-        ends = [c[0] for c, y in zip(cands, chain.decode(cands)) if y]
+    cands = places(text)
+    ends = [c[0] for c, y in zip(cands, chain.decode(cands)) if y]
+    if chain.bare is not None:
+        ends = _bare_ends(text, ends, chain.bare)
     final = len(text.rstrip())
     if not ends or ends[-1] != final:
         ends = [e for e in ends if e < final] + [final]

@@ -72,3 +72,15 @@ def F_lit():
     from pyspark.sql import functions as F
 
     return F.lit(1)
+
+
+def test_stretches_without_marks():
+    """A line break or one mark does not keep the word gaps of the rest from being read."""
+    chain = K.Chain()
+    chain.bare = K.Chain()
+    chain.weights = {"mN": 1.0, "m?": 1.0, "m.": -1.0}
+    chain.bare.weights = {"gs": -1.0, "Nwe": 3.0}
+    assert K.sentence_ends("it was late we went\nwe slept", chain) == [11, 19, 28]
+    assert K.sentence_ends("who came? it was late we went", chain) == [9, 21, 29]
+    assert K.sentence_ends("mr. x was late we went", chain) == [14, 22]
+    assert K.sentence_ends("[0:10] so late\n[0:12] SPK 2: we went", chain)[0] == 14
