@@ -224,12 +224,25 @@ def _align(data: bytes, at: int) -> int:
     return at
 
 
+def _file_anchor(text: str, stops: list[tuple[int, int]], lo: int, bound: int) -> int:
+    """The anchor of the range from ``lo``, at most at ``bound``: its natural one, or in a
+    run without boundaries the first visible character. It hangs on the next HALO
+    characters alone, so both ranges that meet here find the same."""
+    natural = _anchor([b for b in stops if b[0] <= bound], lo)
+    if natural is not None:
+        return natural
+    for at in range(lo, min(lo + HALO, bound) + 1):
+        if not cuts_visible(text, at) and not "\U0001f1e6" <= text[at : at + 1] <= "\U0001f1ff":
+            return at
+    return lo
+
+
 def _range_work(path: str, lo: int, hi: int, total: int, limit: int, overlap: int, halo: int):
     """Pieces that belong to one byte range, as byte offsets and characters before
     them in the range. A range owns what lies between its anchor and the next."""
     left = max(0, lo - 4 * limit)
     right = hi
-    while True:  # the halo grows only where no natural boundary is near
+    while True:  # the halo grows only until it holds HALO characters
         right = min(total, right + halo)
         data = _read(path, left, right)
         a = _align(data, 0) if left else 0
@@ -248,14 +261,12 @@ def _range_work(path: str, lo: int, hi: int, total: int, limit: int, overlap: in
 
         stops = boundaries(text)
         at_lo, at_hi = bisect.bisect_left(places, lo), bisect.bisect_left(places, hi)
-        begin = 0 if lo == 0 else _anchor(stops, at_lo)
-        end = len(text) if right == total and hi == total else _anchor(stops, at_hi)
-        if (begin is not None and end is not None) or right == total:
+        if right == total or len(text) - at_hi > HALO:
             break
-    if begin is None:
-        return []  # no natural place up to the end: an earlier range runs through here
-    if end is None:
-        end = len(text)
+    begin = 0 if lo == 0 else _file_anchor(text, stops, at_lo, at_hi)
+    end = len(text) if hi == total else _file_anchor(text, stops, at_hi, bisect.bisect_left(places, min(total, 2 * hi - lo)))
+    if begin >= end:
+        return []
     start = begin if begin == 0 else _overlap_start(text, begin, dict(stops), overlap, max(0, begin - 4 * limit))
     rows = chain(text, [b for b in stops if begin < b[0] <= end], start, end, limit, overlap, begin)
     return [(places[a], places[b], b - a, k, begin) for k, (a, b, _) in enumerate(rows)]

@@ -60,3 +60,18 @@ def test_frame(spark):
     four = sorted((r for r in got if r.payload_id == 4), key=lambda r: r.piece_no)
     assert four[0].seg_start == "medium" and four[-1].seg_end == "high" and four[0].n_pieces == len(four)
     assert K.pieces(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("run", ["a" * 120_000, "字" * 40_000, "กำ" * 20_000, "🇩🇪" * 3_000])
+def test_files_without_boundaries(tmp_path, run):
+    """A run without boundaries across range starts comes out once, whole and in order."""
+    path = tmp_path / "run.txt"
+    path.write_text("Words before it. " * 1500 + run + " words after it." * 3000, encoding="utf-8")
+    total, size = path.stat().st_size, 20_000
+    data = path.read_bytes()
+    ranges = [K._range_work(str(path), lo, min(total, lo + size), total, 300, 50, 4096) for lo in range(0, total, size)]
+    rows = [r for part in ranges for r in part]
+    assert rows[0][0] == 0 and rows[-1][1] == total
+    assert all(p[0] < q[0] <= p[1] < q[1] for p, q in zip(rows, rows[1:]))
+    assert all(len(data[a:b].decode()) == n <= 300 for a, b, n, _, _ in rows)
+    assert all(part[-1][1] - part[0][0] <= 2 * size for part in ranges if part)
