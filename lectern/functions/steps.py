@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import ast
-import json
+import re
 
 # Chain steps by id, and the payload fields they own.
 STEPS = {
@@ -14,32 +13,34 @@ STEP_FIELDS = {
     "0": "ct_speaker", "1": "ct_combine", "3": "ct_lexical", "4": "ct_disfluency", "5": "ct_format",
     "6": "ct_numeral", "7": "ct_punct", "8": "ct_casing", "9": "ct_remain_fix",
 }
+# Keys of a payload.
 REQUIRED = (
-    "tokenization translation aggressiveness_level speaker_scope seg_start seg_end ct_speaker ct_combine no_touch_tokens ct_lexical "
-    "ct_disfluency ct_format ct_numeral ct_punct ct_casing ct_remain_fix"
-).split()
+    "tokenization", "translation", "aggressiveness_level", "speaker_scope", "seg_start", "seg_end", "ct_speaker", "ct_combine",
+    "no_touch_tokens", "ct_lexical", "ct_disfluency", "ct_format", "ct_numeral", "ct_punct", "ct_casing", "ct_remain_fix",
+)
 OPTIONAL = ("source_filename", "source_text", "corrected_text")
 LEVELS = ("low", "medium", "high")
 SCOPES = ("single", "multi", "unknown")
 _IDS = {v: k for k, v in STEPS.items()}
 
 
+_ITEM = r"""(?:"[^"]*"|'[^']*'|-?[\w.]+)"""
+_LIST = re.compile(rf"\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*,?\s*)?\]")
+_NAME_ONLY = re.compile(r"\[\s*[A-Za-z_]+\s*\]")
+
+
 def expand_selector(selector) -> list[str]:
-    """Values of a selector given as list, list literal, comma list or scalar."""
-    if selector is None:
-        return []
-    if isinstance(selector, (list, tuple, set)):
-        return [str(x).strip() for x in selector if str(x).strip()]
-    text = str(selector).strip()
-    if text[:1] in "[(":
-        for read in (json.loads, ast.literal_eval):
-            try:
-                value = read(text)
-            except (ValueError, SyntaxError):
-                continue
-            if isinstance(value, (list, tuple)):
-                return expand_selector(list(value))
-    return [p.strip() for p in text.split(",") if p.strip()]
+    """Values of a selector: every item of it (or the item that it is) may be a name, a
+    list in brackets or names between commas. A single name in brackets is a name."""
+    out: list[str] = []
+    for item in [selector] if isinstance(selector, str) else selector or ():
+        if not isinstance(item, str):
+            continue
+        text = item.strip()
+        listed = _LIST.fullmatch(text) and not _NAME_ONLY.fullmatch(text)
+        found = (x.strip("\"'") for x in re.findall(_ITEM, text)) if listed else text.split(",")
+        out += filter(None, map(str.strip, found))
+    return out
 
 
 def step_id(token: str) -> str | None:

@@ -11,11 +11,15 @@ BLANK = r"^[ \t\n\r]*$"
 # Fixed values.
 FILE_LABELS = ("filename", "file", "file_name", "corpusname", "corpus", "corpus_name")
 TEXT_LABELS = ("input", "input_segment", "segment", "transcription", "text", "content")
+# Noise annotations, in lower case.
 NOISE_MARKERS = (
-    "_bg noise_|bg noise_|_b.g. noise_|_bg speech|[/cnon]|[cnon]|[/cnps]|[cnps]|[/cspn]|[cspn]|_cspn_|[fill/]|[hmm]|_hmm_|_mouth noise_|"
-    "_mouth_noise_|__mouth noise__|[noise]|_/noise_|_noise_|__noise__|@noise@|[noise/]|[non/]|[non]|[/nps]|[nps]|[s/]|[sn/]|"
-    "[speaker noise]|_speaker noise_|_speaker_noise_|[spn/]|[unin/]|_noise_noise_|_bg_noise_|[_noise_]|_ns_noise_|_/click_"
-).split("|")
+    "_bg noise_", "bg noise_", "_b.g. noise_", "_bg speech", "[/cnon]", "[cnon]", "[/cnps]", "[cnps]",
+    "[/cspn]", "[cspn]", "_cspn_", "[fill/]", "[hmm]", "_hmm_", "_mouth noise_", "_mouth_noise_",
+    "__mouth noise__", "[noise]", "_/noise_", "_noise_", "__noise__", "@noise@", "[noise/]", "[non/]",
+    "[non]", "[/nps]", "[nps]", "[s/]", "[sn/]", "[speaker noise]", "_speaker noise_", "_speaker_noise_",
+    "[spn/]", "[unin/]", "_noise_noise_", "_bg_noise_", "[_noise_]", "_ns_noise_", "_/click_",
+)
+# Pairs of quotes.
 QUOTE_PAIRS = (('"', '"'), ("“", "”"), ("‘", "’"), ("«", "»"), ("‹", "›"), ("「", "」"), ("『", "』"), ("„", "”"))
 
 

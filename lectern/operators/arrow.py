@@ -27,3 +27,20 @@ def map_columns(df: DataFrame, kernel: Callable, schema: str | T.StructType, set
                 yield pa.RecordBatch.from_arrays([pa.array(result[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out)
+
+
+def map_partition(df: DataFrame, kernel: Callable, schema: str | T.StructType) -> DataFrame:
+    """Apply ``kernel(iterator of columns)``, which yields mappings of output columns, once
+    per task: for work that is summed up over a task's batches."""
+    out = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(out)
+        read = ({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)} for b in batches)
+        for result in kernel(read):
+            yield pa.RecordBatch.from_arrays([pa.array(result[f.name], type=f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, out)

@@ -1,26 +1,23 @@
-"""Model clients and the call, repair and retry policy. A client is any object with
-``complete(prompt, temperature) -> str``; it is made once per task."""
+"""The call, repair and retry policy, and lines through a client with bounded
+concurrency inside every task."""
 
 from __future__ import annotations
 
 import hashlib
-import json
-from collections.abc import Callable
-from dataclasses import dataclass
+import threading
+import time
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from lectern.operators import answers
 from lectern.operators.arrow import map_columns
+from lectern.operators.clients import FakeClient, RateLimited, WrongModel
 from lectern.operators.segment import split
 
-
-class RateLimited(Exception):
-    """The service asks to wait; ``seconds`` is its hint."""
-
-    def __init__(self, seconds: float | None = None):
-        super().__init__(f"429 retry after {seconds} seconds")
-        self.seconds = seconds
+__all__ = ["FakeClient", "Policy", "RateLimited", "WrongModel", "call", "corrected", "each", "no_wait", "patch", "patch_line", "seeded"]
 
 
 def seeded(*parts) -> float:
@@ -28,56 +25,81 @@ def seeded(*parts) -> float:
     return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=6).digest(), "big") / 2**48
 
 
-class FakeClient:
-    """Deterministic client: echoes the text as a payload, with scripted faults."""
+class Gate:
+    """Holds back all threads of a task while the service asks to wait. It is made anew
+    where a policy is unpickled, so every worker has its own."""
+
+    def __init__(self):
+        self.lock, self.until = threading.Lock(), 0.0
+
+    def __reduce__(self):
+        return Gate, ()
 
-    def __init__(self, faults: dict[int, str] | None = None):
-        self.faults, self.calls = faults or {}, 0
+    def hold(self, seconds: float) -> None:
+        with self.lock:
+            self.until = max(self.until, time.monotonic() + seconds)
 
-    def complete(self, prompt: str, temperature: float = 0.0) -> str:
-        fault = self.faults.get(self.calls)
-        self.calls += 1
-        if fault == "timeout":
-            raise TimeoutError("timed out")
-        if fault == "limit":
-            raise RateLimited(0.0)
-        if fault == "empty":
-            return ""
-        if fault == "prose":
-            return "I would rather not."
-        text = prompt.rsplit("text: ", 1)[-1]
-        payload = answers.empty_payload()
-        payload["ct_punct"] = {"edits": [], "result": text if fault != "short" else text[: len(text) // 4]}
-        body = json.dumps(payload, ensure_ascii=False)
-        return body[:-9] if fault == "broken" else f"```json\n{body}\n```"
+    def rest(self) -> float:
+        with self.lock:
+            return max(0.0, self.until - time.monotonic())
 
 
 @dataclass(frozen=True)
 class Policy:
-    """Retry limits and waits. ``sleep`` is a parameter so tests need not wait."""
+    """Retry limits, waits and the number of questions a task has under way at once.
+    ``sleep`` is a parameter so tests need not wait."""
 
     timeout_retries: int = 1
     empty_retries: int = 1
+    mismatch_retries: int = 1
     temperature: float = 0.0
     jitter: float = 0.08
-    sleep: Callable[[float], None] | None = None
+    concurrency: int = 5
+    unit: float = 10.0
+    sleep: Callable[[float], None] = time.sleep
+    gate: Gate = field(default_factory=Gate, compare=False)
 
-    def wait(self, attempt: int, hint: float | None) -> None:
-        if self.sleep:
-            self.sleep((hint if hint is not None else 2**attempt) * 10)
+    def pause(self, attempt: int, hint: float | None = None) -> float:
+        """Seconds to wait before the next attempt."""
+        return (hint if hint and hint > 0 else 2**attempt) * self.unit
 
 
 def call(client, prompt: str, policy: Policy, key) -> str | None:
-    """One answer, or None when time outs and limits used up the attempts."""
-    for attempt in range(policy.timeout_retries + 1):
+    """One answer, or None when faults used up the attempts. Time outs, transport errors
+    and rate limits share one count; a wrong model has its own."""
+    attempt = mismatches = 0
+    while True:
+        if rest := policy.gate.rest():
+            policy.sleep(rest)
         heat = policy.temperature + (policy.jitter * seeded(key, attempt) if attempt else 0.0)
         try:
             return client.complete(prompt, heat)
-        except (TimeoutError, OSError):
-            policy.wait(attempt, None)
+        except WrongModel:
+            if mismatches == policy.mismatch_retries:
+                return None
+            policy.sleep(policy.pause(mismatches))
+            mismatches += 1
+            continue
         except RateLimited as e:
-            policy.wait(attempt, e.seconds)
-    return None
+            wait = policy.pause(attempt, e.seconds)
+            if attempt < policy.timeout_retries and e.seconds:
+                policy.gate.hold(wait)  # the others of this task wait as well
+                wait = 0.0
+        except OSError:  # TimeoutError is one
+            wait = policy.pause(attempt)
+        if attempt == policy.timeout_retries:
+            return None
+        if wait:
+            policy.sleep(wait)
+        attempt += 1
+
+
+def each(work: Callable, items: Iterable, concurrency: int) -> list:
+    """``work`` of every item in order, with at most ``concurrency`` under way."""
+    if concurrency <= 1:
+        return [work(x) for x in items]
+    with ThreadPoolExecutor(concurrency) as pool:
+        return list(pool.map(work, items))
 
 
 def corrected(client, text: str, policy: Policy, key) -> tuple[dict | None, str, int]:
@@ -126,11 +148,17 @@ def patch_line(client, text: str, policy: Policy, key, limit: int = 300) -> tupl
 
 
 def patch(df: DataFrame, id_col: str, text_col: str, make_client: Callable, policy: Policy | None = None, limit: int = 300) -> DataFrame:
-    """(id, text, state): every line through a client; one client per task."""
+    """(id, text, state): every line through a client; one client per task, as many lines
+    under way in it as the policy allows."""
     rules = policy or Policy()
 
     def kernel(columns: dict, client) -> dict:
-        got = [patch_line(client, t or "", rules, i, limit) for i, t in zip(columns[id_col], columns[text_col])]
+        rows = list(zip(columns[id_col], columns[text_col]))
+        got = each(lambda r: patch_line(client, r[1] or "", rules, r[0], limit), rows, rules.concurrency)
         return {id_col: columns[id_col], "text": [g[0] for g in got], "state": [g[1] for g in got]}
 
     return map_columns(df.select(id_col, text_col), kernel, f"{id_col} bigint, text string, state string", make_client)
+
+
+def no_wait(seconds: float) -> None:
+    """A ``sleep`` for clients that need no rest."""

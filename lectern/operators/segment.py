@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata as ud
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators.arrow import map_columns
@@ -106,24 +106,20 @@ def split(text: str, limit: int) -> list[tuple[int, int]]:
 
 
 def segments(df: DataFrame, id_col: str, text_col: str, limit: int = 300) -> DataFrame:
-    """(id, seg_no, seg_text, start_off, end_off) of every line."""
+    """(id, seg_no, seg_text, start_off, end_off, prev_context, next_context) of every
+    line; the contexts are the last and first characters beside the segment."""
+    names = (id_col, "seg_no", "seg_text", "start_off", "end_off", "prev_context", "next_context")
 
     def kernel(columns: dict) -> dict:
-        out = {n: [] for n in (id_col, "seg_no", "seg_text", "start_off", "end_off")}
+        out = {n: [] for n in names}
         for i, text in zip(columns[id_col], columns[text_col]):
-            for k, (a, b) in enumerate(split(text, limit)):
-                for n, v in zip(out, (i, k, text[a:b], a, b)):
+            cuts = [(0, 0), *split(text, limit), (len(text), len(text))]
+            for k in range(1, len(cuts) - 1):
+                (x, a), (_, b), (_, y) = cuts[k - 1], cuts[k], cuts[k + 1]
+                for n, v in zip(names, (i, k - 1, text[a:b], a, b, text[max(x, a - CONTEXT) : a], text[b : min(y, b + CONTEXT)])):
                     out[n].append(v)
         return out
 
     rows = df.select(id_col, text_col).filter(F.col(text_col).isNotNull())
-    return map_columns(rows, kernel, f"{id_col} bigint, seg_no int, seg_text string, start_off int, end_off int")
-
-
-def with_context(segs: DataFrame, id_col: str) -> DataFrame:
-    """Neighbouring text of every segment: last and first characters beside it."""
-    w = Window.partitionBy(id_col).orderBy("seg_no")
-    prev, nxt = F.lag("seg_text").over(w), F.lead("seg_text").over(w)
-    return segs.withColumn("prev_context", F.coalesce(F.right(prev, F.lit(CONTEXT)), F.lit(""))).withColumn(
-        "next_context", F.coalesce(F.left(nxt, F.lit(CONTEXT)), F.lit(""))
-    )
+    schema = f"{id_col} bigint, seg_no int, seg_text string, start_off int, end_off int, prev_context string, next_context string"
+    return map_columns(rows, kernel, schema)

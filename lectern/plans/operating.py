@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as X
 from lectern.functions import tokens as K
-from lectern.operators import aligned, answers, guards, mining, model, segment
+from lectern.operators import aligned, answers, bulk, evaluation, guards, mining, model, pairing, segment
 from lectern.operators.arrow import map_columns
+from lectern.operators.lookup import salted
 from lectern.plans.textual import VERDICT_KEYS, documents, lines, payloads
-from lectern.session import prepare, spread
+from lectern.session import cut, prepare, spread
 from lectern.sources import files
+from lectern.sources.tables import table
 from lectern.streaming import ingest as stream
 
 #: Segments keep comparisons short: their cost grows faster than the text.
 LIMIT = 300
+#: Retries without waiting, for the deterministic clients.
+QUICK = model.Policy(sleep=model.no_wait)
+
+
+def payload_results(spark, folder):
+    return table(spark, folder, "line_results").select("evaluator", "result_file", "line", "passed", "edit_error_rate")
 
 
 def _texts(spark, folder):
@@ -57,13 +65,18 @@ def q_span_tests(spark, folder):
     """Repeated and converted spans among the words a correction removed."""
 
     def kernel(c):
-        out = {"payload_id": [], "repeats": [], "stutters": [], "conversions": []}
-        for i, s, t in zip(c["payload_id"], c["source_text"], c["corrected_text"]):
-            a, b = K.diff_words(s), K.diff_words(t)
-            gone = [(x, y) for tag, x, y, _, _ in guards.opcodes(a, b) if tag in ("delete", "replace")]
-            new = [b[x:y] for tag, _, _, x, y in guards.opcodes(a, b) if tag == "replace"]
-            for n, v in zip(out, (i, sum(K.repeats_context(a, x, y) for x, y in gone), sum(K.is_stutter(a, x, y) for x, y in gone), sum(map(K.is_conversion, new)))):
-                out[n].append(v)
+        out = {"payload_id": c["payload_id"], "repeats": [], "stutters": [], "conversions": []}
+        for s, t in zip(c["source_text"], c["corrected_text"]):
+            counts = [0, 0, 0]
+            for x, y in pairing.parts(s, t, LIMIT):
+                a, b = K.diff_words(s[slice(*x)]), K.diff_words(t[slice(*y)])
+                for change in guards.changes(a, b):
+                    gone = change.i2 > change.i1
+                    counts[0] += gone and K.repeats_context(a, change.i1, change.i2)
+                    counts[1] += gone and K.is_stutter(a, change.i1, change.i2)
+                    counts[2] += change.kind == "replace" and K.is_conversion(b[change.j1 : change.j2])
+            for name, n in zip(("repeats", "stutters", "conversions"), counts):
+                out[name].append(n)
         return out
 
     return map_columns(_pairs(spark, folder), kernel, "payload_id bigint, repeats int, stutters int, conversions int")
@@ -75,12 +88,12 @@ def _segments(spark, folder):
 
 
 def q_segments(spark, folder):
-    return _segments(spark, folder)
+    return _segments(spark, folder).select("doc_id", "seg_no", "seg_text", "start_off", "end_off")
 
 
 def q_context(spark, folder):
     """Segments with the text beside them."""
-    return segment.with_context(_segments(spark, folder), "doc_id").select("doc_id", "seg_no", "prev_context", "next_context")
+    return _segments(spark, folder).select("doc_id", "seg_no", "prev_context", "next_context")
 
 
 def q_segment_roundtrip(spark, folder):
@@ -101,32 +114,33 @@ def q_merge_text(spark, folder):
 
 def q_guards(spark, folder):
     def kernel(c):
-        got = [guards.check(s, t) for s, t in zip(c["source_text"], c["corrected_text"])]
+        got = [guards.check_parts(s, t, LIMIT) for s, t in zip(c["source_text"], c["corrected_text"])]
         return {"payload_id": c["payload_id"], "ok": [g[0] for g in got], "category": [g[2] for g in got], "error": [g[1] for g in got]}
 
     return map_columns(_pairs(spark, folder), kernel, "payload_id bigint, ok boolean, category string, error string")
 
 
 def q_guards_alone(spark, folder):
-    kinds = ("long_span", "hallucination", "long_span_ns", "hallucination_ns")
+    kinds = [g.category for g in guards.WORD_GUARDS + guards.CHARACTER_GUARDS]
 
     def kernel(c):
-        return {"payload_id": c["payload_id"], **{k: [guards.guard_alone(k, s, t) for s, t in zip(c["source_text"], c["corrected_text"])] for k in kinds}}
+        got = [guards.guards_alone_parts(s, t, LIMIT) for s, t in zip(c["source_text"], c["corrected_text"])]
+        return {"payload_id": c["payload_id"], **{k: [g[k] for g in got] for k in kinds}}
 
     return map_columns(_pairs(spark, folder), kernel, "payload_id bigint, " + ", ".join(f"{k} boolean" for k in kinds))
 
 
 def q_safe_edits(spark, folder):
-    """Corrections reduced to punctuation and case, line by line."""
-    a = payloads(spark, folder).filter("source_text IS NOT NULL AND corrected_text IS NOT NULL")
-    prepare(spark)
-    pair = F.arrays_zip(F.split("source_text", "\n").alias("s"), F.split("corrected_text", "\n").alias("c"))
-    rows = a.select("payload_id", F.posexplode(pair).alias("pos", "p")).select("payload_id", "pos", F.coalesce("p.s", F.lit("")).alias("s"), F.coalesce("p.c", F.lit("")).alias("c"))
+    """Corrections reduced to punctuation and case, with the number of edits followed,
+    cleaned and rejected. Pairs are cut at common words and not at line breaks, which
+    both sides need not share."""
 
     def kernel(c):
-        return {"payload_id": c["payload_id"], "pos": c["pos"], "t": [guards.safe_edits(s, t) for s, t in zip(c["s"], c["c"])]}
+        got = [guards.safe_report(s, t, LIMIT) for s, t in zip(c["source_text"], c["corrected_text"])]
+        count = lambda kind: [sum(x[0] == kind for x in log) for _, log in got]
+        return {"payload_id": c["payload_id"], "t": [g[0] for g in got], **{k: count(k) for k in ("kept", "cleaned", "rejected")}}
 
-    return map_columns(spread(rows), kernel, "payload_id bigint, pos int, t string")
+    return map_columns(_pairs(spark, folder), kernel, "payload_id bigint, t string, kept int, cleaned int, rejected int")
 
 
 def q_aligned_edits(spark, folder):
@@ -170,29 +184,37 @@ def q_response_pipeline(spark, folder):
     return map_columns(_pairs(spark, folder), kernel, "payload_id bigint, ok boolean, kind string")
 
 
+def _requests(spark, folder):
+    segs = segment.segments(_texts(spark, folder), "payload_id", "source_text", LIMIT)
+    key = F.concat("payload_id", F.lit("_s"), "seg_no")
+    prompt = F.concat(F.lit("before: "), "prev_context", F.lit("; after: "), "next_context", F.lit("; text: "), "seg_text")
+    return segs.select(key.alias("key"), bulk.request_record(key, prompt).alias("record"))
+
+
 def q_bulk_requests(spark, folder):
-    """Request records of a bulk job: one a segment, numbered by line and segment."""
-    segs = segment.with_context(segment.segments(_texts(spark, folder), "payload_id", "source_text", LIMIT), "payload_id")
-    key = F.concat(F.lit("idx-"), "payload_id", F.lit("_s"), "seg_no")
-    body = F.struct(F.lit(16384).alias("max_tokens"), F.lit(0.0).alias("temperature"), F.concat(F.lit("text: "), "seg_text").alias("prompt"))
-    record = F.to_json(F.struct(key.alias("custom_id"), F.lit("POST").alias("method"), F.lit("/chat/completions").alias("url"), body.alias("body")))
-    return segs.select(key.alias("custom_id"), F.pmod(F.xxhash64("payload_id"), F.lit(64)).cast("int").alias("bulk"), record.alias("record"))
+    """Request records of a bulk job, one a segment, in files of a set size."""
+    return bulk.in_files(_requests(spark, folder), size=2000)
+
+
+def q_bulk_run(spark, folder):
+    """All segments through a deterministic bulk service: outcomes and texts."""
+    return bulk.run(_requests(spark, folder), bulk.FakeBulk, pause=0.0, size=2000).select("key", "outcome", F.md5("text").alias("h"))
 
 
 def q_patch_fake(spark, folder):
     """All texts through the deterministic client."""
-    return model.patch(_texts(spark, folder), "payload_id", "source_text", model.FakeClient, limit=LIMIT)
+    return model.patch(_texts(spark, folder), "payload_id", "source_text", model.FakeClient, QUICK, limit=LIMIT)
 
 
 def q_retry_states(spark, folder):
     """Outcome and attempts for every fault, on every text."""
-    faults = ({}, {0: "timeout"}, {0: "timeout", 1: "timeout"}, {0: "limit"}, {0: "broken"}, {0: "prose"}, {0: "empty", 1: "empty"}, {0: "short"})
+    faults = ({}, {0: "timeout"}, {0: "timeout", 1: "timeout"}, {0: "limit"}, {0: "broken"}, {0: "prose"}, {0: "empty", 1: "empty"}, {0: "short"}, {0: "model"}, {0: "model", 1: "model"})
 
     def kernel(c):
         out = {"payload_id": [], "fault": [], "outcome": [], "attempts": []}
         for i, t in zip(c["payload_id"], c["source_text"]):
             k = i % len(faults)
-            _, outcome, tries = model.corrected(model.FakeClient(dict(faults[k])), t, model.Policy(), i)
+            _, outcome, tries = model.corrected(model.FakeClient(dict(faults[k])), t, QUICK, i)
             for n, v in zip(out, (i, k, outcome, tries)):
                 out[n].append(v)
         return out
@@ -201,24 +223,24 @@ def q_retry_states(spark, folder):
 
 
 def q_double_punct_apply(spark, folder):
-    verdicts = {k: k[0] for k in VERDICT_KEYS}
-
-    def kernel(c):
-        return {"line_id": c["line_id"], "fixes": [mining.replace_pairs(t, verdicts)[1] for t in c["line"]]}
-
-    return map_columns(_lines(spark, folder), kernel, "line_id bigint, fixes int").filter("fixes > 0")
+    """Pairs of marks replaced by their first mark, for the keys with a verdict."""
+    verdicts = spark.createDataFrame([(k, k[0]) for k in VERDICT_KEYS], "key string, verdict string")
+    return mining.apply_joined(_lines(spark, folder), "line_id", "line", "double_mark", verdicts).select("line_id", "fixes")
 
 
 def _extract(spark, folder, kind):
-    found = mining.patterns(mining.candidates(_lines(spark, folder), "line_id", "line", kind), "line_id")
-    return found.select("key", "n", F.col("first.line_id").alias("first_line"), F.col("first.pos").alias("first_pos"))
+    """Keys by falling count with their first three examples."""
+    found = mining.ranked(mining.patterns(_lines(spark, folder), "line_id", "line", kind))
+    first = F.col("examples")[0]
+    shown = F.array_join(F.transform("examples", lambda e: F.concat(e["left"], F.lit("▸"), e["mark"], F.lit("◂"), e["right"])), "\n")
+    return found.select("key", "n", first["id"].alias("first_line"), first["pos"].alias("first_pos"), shown.alias("examples"))
 
 
 def _apply(spark, folder, kind):
     """Keys seen twice or more count as judged positive."""
     rows = _lines(spark, folder)
-    good = mining.patterns(mining.candidates(rows, "line_id", "line", kind), "line_id").filter("n >= 2")
-    return mining.apply_joined(rows, "line_id", "line", kind, good).filter("fixes > 0").select("line_id", "fixes")
+    good = mining.patterns(rows, "line_id", "line", kind).filter("n >= 2")
+    return mining.apply_joined(rows, "line_id", "line", kind, good.select("key", F.lit(mining.KINDS[kind].yes).alias("verdict"))).select("line_id", "fixes")
 
 
 def q_missing_space_extract(spark, folder):
@@ -245,53 +267,74 @@ def q_digit_letter_apply(spark, folder):
     return _apply(spark, folder, "digit_letter")
 
 
+def _judged(spark, folder, kind, known=None):
+    found = mining.patterns(_lines(spark, folder), "line_id", "line", kind)
+    return mining.judge(found, kind, lambda: mining.SeededJudge(kind), known)
+
+
 def q_judge_fake(spark, folder):
-    """Mined keys judged by a deterministic client, one question a key."""
-    keys = mining.patterns(mining.candidates(_lines(spark, folder), "line_id", "line", "digit_letter"), "line_id").select("key", "n")
+    """Mined keys of every kind put to a deterministic client in questions of fifty."""
+    out = None
+    for kind in mining.KINDS:
+        mine = _judged(spark, folder, kind).select(F.lit(kind).alias("kind"), "key", "verdict")
+        out = mine if out is None else out.unionByName(mine)
+    return out
+
+
+def q_judge_resume(spark, folder):
+    """Verdicts written, read back and completed: none that is known is asked again."""
+    path = files.scratch(spark, "verdicts")
+    mining.write_verdicts(_judged(spark, folder, "missing_space"), path)
+    known = mining.load_verdicts(spark, path).filter(F.pmod(F.xxhash64("key"), F.lit(2)) == 0).withColumn("verdict", F.lit("KNOWN"))
+    done = _judged(spark, folder, "missing_space", cut(known))
+    return done.groupBy((F.col("verdict") == "KNOWN").alias("known")).agg(F.count("*").alias("n"))
 
-    def kernel(c):
-        return {"key": c["key"], "n": c["n"], "verdict": ["REMOVE" if model.seeded(k) < 0.5 else "KEEP" for k in c["key"]]}
 
-    return map_columns(keys, kernel, "key string, n bigint, verdict string")
+def q_verdict_apply(spark, folder):
+    """Lines mended by the verdicts of the deterministic client."""
+    verdicts = cut(_judged(spark, folder, "missing_space"))
+    return mining.apply_joined(_lines(spark, folder), "line_id", "line", "missing_space", verdicts).select("line_id", F.md5("text").alias("h"), "fixes")
 
 
 def q_speaker_fix(spark, folder):
-    """Labels of corrected text in the form the sources use: the last form seen in the
-    corpus counts, found by an aggregation and joined by label."""
+    """Labels of corrected texts in the form the sources use: the last form seen in the
+    corpus counts. A label that no source has loses its space, a text without labels
+    stays."""
     rows = _pairs(spark, folder)
 
     def forms(c):
-        out = {"payload_id": [], "label": [], "form": []}
-        for i, s in zip(c["payload_id"], c["source_text"]):
-            for k, v in mining.label_forms(s).items():
-                for n, x in zip(out, (i, k, v)):
-                    out[n].append(x)
-        return out
-
-    corpus = map_columns(rows, forms, "payload_id bigint, label string, form string").groupBy("label").agg(F.max_by("form", "payload_id").alias("form"))
-    own = map_columns(rows.select("payload_id", F.col("corrected_text").alias("source_text")), forms, "payload_id bigint, label string, form string")
-    mine = own.select("payload_id", "label").join(corpus, "label").groupBy("payload_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "form"))).alias("forms"))
+        found = [(i, k, v) for i, s in zip(c["payload_id"], c["text"]) for k, v in mining.label_forms(s).items()]
+        return dict(zip(("payload_id", "label", "form"), map(list, zip(*found)))) if found else {"payload_id": [], "label": [], "form": []}
+
+    schema = "payload_id bigint, label string, form string"
+    corpus = map_columns(rows.select("payload_id", F.col("source_text").alias("text")), forms, schema)
+    corpus = corpus.groupBy("label").agg(F.max_by("form", "payload_id").alias("form"))
+    own = map_columns(rows.select("payload_id", F.col("corrected_text").alias("text")), forms, schema).select("payload_id", "label")
+    mine = salted(own, corpus, "label", ("payload_id",)).groupBy("payload_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "form"))).alias("forms"))
+    # only texts with a label are shuffled; the others stay as they are
+    labelled = F.col("corrected_text").rlike(r"\[[^\[\]\n]*\w ?\d")
+    with_label = rows.filter(labelled).select("payload_id", "corrected_text").join(mine, "payload_id", "left")
 
     def fix(c):
         got = [mining.unspace_labels(t, dict(f or {})) for t, f in zip(c["corrected_text"], c["forms"])]
         return {"payload_id": c["payload_id"], "t": got, "changed": [a != b for a, b in zip(got, c["corrected_text"])]}
 
-    return map_columns(rows.select("payload_id", "corrected_text").join(mine, "payload_id"), fix, "payload_id bigint, t string, changed boolean")
+    fixed = map_columns(with_label, fix, "payload_id bigint, t string, changed boolean")
+    return fixed.unionByName(rows.filter(~labelled).select("payload_id", F.col("corrected_text").alias("t"), F.lit(False).alias("changed")))
 
 
 def q_eval_fake(spark, folder):
-    """Pairs judged by a deterministic evaluator: every third edit is invalid."""
+    """Pairs judged by a deterministic evaluator: prompt, answer, repair and score."""
+    got = evaluation.judged(_pairs(spark, folder), "payload_id", "source_text", "corrected_text", evaluation.SeededEvaluator, QUICK)
+    return got.select("payload_id", "passed", "rate", F.array_join("summary", "; ").alias("summary"), F.size("reasons").alias("reasons"))
 
-    def kernel(c):
-        out = {"payload_id": [], "passed": [], "rate": []}
-        for i, s, t in zip(c["payload_id"], c["source_text"], c["corrected_text"]):
-            n = len(aligned.edits(s, t))
-            bad = sum(model.seeded(i, k) < 1 / 3 for k in range(n))
-            for name, v in zip(out, (i, bad == 0, bad / n if n else 0.0)):
-                out[name].append(v)
-        return out
 
-    return map_columns(_pairs(spark, folder), kernel, "payload_id bigint, passed boolean, rate double")
+def q_eval_outputs(spark, folder):
+    """Score and summary files written for the recorded results and read back."""
+    path = files.scratch(spark, "eval")
+    evaluation.write_outputs(payload_results(spark, folder), path)
+    per_file = spark.read.option("header", True).schema("evaluator string, result_file string, line_count bigint, passed_lines bigint, failed_lines bigint, pass_rate_percent double").csv(f"{path}/scores")
+    return per_file.join(spark.read.option("header", True).schema("evaluator string, runs bigint, average double, overall double").csv(f"{path}/summary"), "evaluator")
 
 
 def q_decode(spark, folder):

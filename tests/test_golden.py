@@ -9,6 +9,8 @@ from lectern.functions import tokens as K
 from lectern.operators import aligned, answers, guards, mining, model, segment
 from lectern.sources import files
 
+QUICK = model.Policy(sleep=model.no_wait)
+
 
 @pytest.mark.parametrize(
     "source, corrected, ok, kind",
@@ -20,6 +22,10 @@ from lectern.sources import files
         ("今天天气很好啊", "今天啊", False, "long_span"),
         ("二零二零年", "2020年", True, None),
         ("", "", True, None),
+        ("abc " * 36 + "我家买了两千三百多个苹果", "abc " * 36 + "我家买了2300个苹果", True, None),
+        ("我家买了两千三百多个苹果", "我家买了2300个苹果", True, None),
+        ("abc", "abc今天天气很好", False, "hallucination_ns"),
+        ("abc", "abc 的的的的的", False, "hallucination"),
     ],
 )
 def test_guards(source, corrected, ok, kind):
@@ -41,6 +47,10 @@ def test_safe_edits():
     assert guards.safe_edits("hello world", "Hello, world.") == "Hello, world."
     assert guards.safe_edits("good cat", "good dog") == "good cat"
     assert guards.safe_edits("[noise] hello", "hello") == "hello"
+    assert guards.safe_edits("U.S.A. won", "usa won") == "usa won" and guards.undot("the N. A. S. A. plan", "the plan") == "the N.A.S.A. plan"
+    assert guards.undot("A.B.C.D.", "ab, cd") == "AB CD" and guards.undot("A.B.C.D.", "abc d") == "A.B.C.D."
+    assert guards.safe_edits("costs $a+b now", "costs xyz now").startswith("costs ab") and guards.unquote("“a”") == "a" and guards.unquote("„a”") == "a"
+    assert [x[0] for x in guards.safe_report("good cat", "Good dog")[1]] == ["kept", "rejected"]
 
 
 def test_aligned():
@@ -70,11 +80,15 @@ def test_answers():
     assert answers.first_object('x {"a":"}"} y') == '{"a":"}"}'
     assert answers.first_object('{"a":') is None and answers.first_object("none") is None
     assert json.loads('"' + answers.fix_escapes(r"p\u000159\u0000edli\u000161") + '"') == "příliš"
-    assert answers.fix_escapes(r"\u000159edn\u0000edc") == "ředníc"
+    assert answers.fix_escapes(r"\u000159edn\u0000edc") == r"\u0159edn\u00edc"
+    assert json.loads(answers.fix_escapes(r'"a\u000022b\u00005c"')) == 'a"b\\'
+    assert answers.fix_escapes(r"\u0000000 \ud83d\ude00 \u00d8000") == r"\u0000000 \ud83d\ude00 \u00d8000".replace(r"\u00d8000", r"\u00d8000")
+    assert answers.unfence('~~~json\n{"a":1}\n~~~') == '{"a":1}' == answers.unfence('<pre><code class="x">{"a":1}</code></pre>')
     assert answers.parse("[1]")[1] == "JSON parse error" or answers.parse("[1]")[1].startswith(("Schema", answers.NON_REPAIRABLE))
     loop: list = []
     loop.append(loop)
     assert answers.text_of(loop) == "" and answers.text_of([{"text": "a"}, "b"]) == "ab"
+    assert answers.text_of({"message": {"content": [{"text": "a"}, {"delta_content": "b"}]}}) == "ab" and answers.text_of(None) == ""
 
 
 @pytest.mark.parametrize(
@@ -82,12 +96,12 @@ def test_answers():
     [({}, "ok"), ({0: "timeout"}, "ok"), ({0: "timeout", 1: "timeout"}, "timeout"), ({0: "limit"}, "ok"), ({0: "broken"}, "ok"), ({0: "short"}, "long_span"), ({0: "empty", 1: "empty"}, "invalid")],
 )
 def test_faults(faults, outcome):
-    assert model.corrected(model.FakeClient(faults), "hello there my friend how are you doing", model.Policy(), 1)[1] == outcome
+    assert model.corrected(model.FakeClient(faults), "hello there my friend how are you doing", QUICK, 1)[1] == outcome
 
 
 def test_patch_shortens_after_a_lost_span():
     text = "hello there my friend how are you doing today " * 8
-    assert model.patch_line(model.FakeClient({0: "short"}), text, model.Policy(), 1) == (text, "ok")
+    assert model.patch_line(model.FakeClient({0: "short"}), text, QUICK, 1) == (text, "ok")
 
 
 def test_mining():
@@ -100,7 +114,8 @@ def test_mining():
     assert mining.apply_text("Hello.World", "missing_space", {"hello.world": True}) == ("Hello. World", 1)
     assert mining.apply_text("augusztus29", "letter_digit", {"augusztus|29": True}) == ("augusztus 29", 1)
     assert mining.apply_text("Hello.World", "missing_space", {}) == ("Hello.World", 0)
-    assert mining.replace_pairs("Wait., ok", {".,": "."}) == ("Wait. ok", 1)
+    assert mining.apply_text("Wait., ok", "double_mark", {".,": "."}) == ("Wait. ok", 1)
+    assert mining.apply_text("Wait., ok", "double_mark", {".,": ".,"}) == ("Wait., ok", 0) and not mining.double_marks("What?!")
     assert mining.unspace_labels("[SPK 1]: a", mining.label_forms("[SPK1]: a")) == "[SPK1]: a"
     assert mining.unspace_labels("[SPK 1]: a", mining.label_forms("[SPK 1]: a")) == "[SPK 1]: a"
     assert mining.unspace_labels("[SPK 1]: a", {}) == "[SPK1]: a"
