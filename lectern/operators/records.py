@@ -1,9 +1,13 @@
 """Rows that fail to parse.
 
-Lines are six tab-separated cells. Blocks of lines are parsed on a columnar path
-(one pattern over the whole block, then bulk casts). A block in which anything
-fails is bisected until the failing lines stand alone; each of those is
-diagnosed by a strict reader that names the reason.
+Lines are six tab-separated cells. Every Arrow batch is a block of lines that is
+parsed on a columnar path: one pattern and the checks of the cells over all lines,
+then bulk casts. A block in which anything fails is bisected until the failing lines
+stand alone: first by what the pattern and the checks left without a match (sums of
+the marks before each line tell in one step whether a part holds any), then, over the
+lines that are left, by casts that fail as a whole, such as that of 30 February. Only
+the lines isolated so are read by the strict reader, which names the reason; all
+others stay Arrow columns throughout.
 
 Defined results
 ---------------
@@ -23,16 +27,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from lectern.operators.arrow import map_columns
+from pyspark.sql import types as T
 
 COLUMNS = ("corpus_name", "recorded_at", "line_no", "duration_s", "source_filename", "source_text")
 EXTENSIONS = ("wav", "mp3", "m4a", "flac", "ogg")
-#: First block size; blocks double while they succeed and shrink after a failure.
-BLOCK, SMALLEST, LARGEST = 64, 32, 4096
-#: A failing block of at most so many lines is read strictly instead of being halved again.
-LEAF = 16
-
 _TIME = re.compile(
     r"(\d{4})-(\d{2})-(\d{2})[T ](\d{2}):(\d{2}):(\d{2})(?:\.(\d+))?(?:(Z)|\+(\d{2}):(\d{2}))?", re.ASCII
 )
@@ -107,7 +105,7 @@ def is_data(line: str | None) -> bool:
         return False
     if line.count("\t") != len(COLUMNS) - 1:
         return True
-    names = tuple(c.strip().strip('"').strip().lower() for c in line.lstrip("﻿").split("\t"))
+    names = tuple(c.strip().strip('"').strip().lower() for c in line.lstrip("\ufeff").split("\t"))
     return names != COLUMNS
 
 
@@ -135,96 +133,163 @@ def diagnose(line: str) -> tuple[str | None, tuple | None]:
     return None, (corpus, when, value if value < 2**63 else None, number, float(duration) if duration else None, name, text)
 
 
-def _fast(lines) -> list | None:
-    """Columns of a block (a pyarrow string array) if every line is valid."""
+_HEADER = r"(?is)corpus_name.*\t.*source_text"
+_BAD = r"[\x00-\x08\x0b-\x1f\x7f\x{80}-\x{9f}\x{fffd}]"
+
+
+def _data_marks(lines):
+    """Which lines (a pyarrow string array) are data, as ``is_data`` tells."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    skip = pc.or_(pc.equal(pc.utf8_trim_whitespace(lines), ""), pc.starts_with(pc.utf8_ltrim_whitespace(lines), "#"))
+    marks = ~np.asarray(pc.fill_null(skip, True))
+    for k in np.flatnonzero(np.asarray(pc.fill_null(pc.match_substring_regex(lines, _HEADER), False)) & marks):
+        marks[k] = is_data(lines[int(k)].as_py())  # few lines look like a header
+    return marks
+
+
+def _cells(lines):
+    """(cells as six string arrays, which lines have six well-formed cells with valid
+    characters and forms): one pass over the whole block."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    found = pc.extract_regex(lines, _ROW)
+    sound = ~np.asarray(found.is_null())
+    cells = []
+    for i in range(len(COLUMNS)):
+        cell = pc.fill_null(found.field(i), "")
+        quoted = pc.starts_with(cell, '"')
+        if pc.any(quoted).as_py():
+            inner = pc.replace_substring(pc.utf8_slice_codeunits(cell, 1, -1), '""', '"')
+            cell = pc.if_else(quoted, inner, cell)
+        cells.append(cell)
+    corpus, at, number, duration, name, text = cells
+    for checked in (
+        pc.match_substring_regex(at, _FAST_TIME),
+        pc.match_substring_regex(number, r"\A0*[1-9][0-9]{0,17}\z"),
+        pc.match_substring_regex(duration, r"\A([0-9]+(\.[0-9]+)?)?\z"),
+        pc.match_substring_regex(name, r"(?is)\A.+\.(" + "|".join(EXTENSIONS) + r")\z"),
+        pc.invert(pc.match_substring_regex(name, _BAD)),
+        pc.invert(pc.match_substring_regex(text, _BAD)),
+        pc.greater(pc.utf8_length(pc.utf8_trim_whitespace(corpus)), 0),
+        pc.greater(pc.utf8_length(pc.utf8_trim_whitespace(text)), 0),
+    ):
+        sound &= np.asarray(checked)
+    return cells, sound
+
+
+def _cast(cells):
+    """Typed columns of a block of sound lines, or None where a cast fails."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
+    corpus, at, number, duration, name, text = cells
     try:
-        parts = pc.extract_regex(lines, _ROW)
-        if parts.null_count:
-            return None
-        cells = []
-        for i in range(len(COLUMNS)):
-            cell = parts.field(i)
-            if pc.any(pc.starts_with(cell, '"')).as_py():
-                inner = pc.replace_substring(pc.utf8_slice_codeunits(cell, 1, -1), '""', '"')
-                cell = pc.if_else(pc.starts_with(cell, '"'), inner, cell)
-            cells.append(cell)
-        corpus, at, number, duration, name, text = cells
-        good = [
-            pc.match_substring_regex(at, _FAST_TIME),
-            pc.match_substring_regex(number, r"\A[0-9]{1,18}\z"),
-            pc.match_substring_regex(duration, r"\A([0-9]+(\.[0-9]+)?)?\z"),
-            pc.match_substring_regex(name, r"(?is)\A.+\.(" + "|".join(EXTENSIONS) + r")\z"),
-            pc.invert(pc.match_substring_regex(name, r"[\x00-\x08\x0b-\x1f\x7f\x{80}-\x{9f}\x{fffd}]")),
-            pc.invert(pc.match_substring_regex(text, r"[\x00-\x08\x0b-\x1f\x7f\x{80}-\x{9f}\x{fffd}]")),
-            pc.greater(pc.utf8_length(pc.utf8_trim_whitespace(corpus)), 0),
-            pc.greater(pc.utf8_length(pc.utf8_trim_whitespace(text)), 0),
-        ]
-        if not all(pc.all(g).as_py() for g in good):
-            return None
-        numbers = pc.cast(number, pa.int64())
-        if pc.min(numbers).as_py() < 1:
-            return None
+        numbers = pc.cast(pc.utf8_ltrim(number, "0"), pa.int64())
         seconds = pc.cast(pc.replace_substring(pc.utf8_slice_codeunits(at, 0, 19), "T", " "), pa.timestamp("us"))
-        rest = pc.extract_regex(at, r"\A.{19}(?:\.(?P<f>[0-9]+))?(?:Z|\+(?P<h>[0-9]{2}):(?P<m>[0-9]{2}))?\z")
-        zero = lambda a: pc.cast(pc.if_else(pc.equal(a, ""), "0", a), pa.int64())
-        micro = zero(pc.utf8_slice_codeunits(pc.utf8_rpad(rest.field(0), 6, "0"), 0, 6))
-        shift = pc.add(pc.multiply(zero(rest.field(1)), 3600), pc.multiply(zero(rest.field(2)), 60))
-        when = pc.add(pc.cast(seconds, pa.int64()), pc.subtract(micro, pc.multiply(shift, 1_000_000)))
-        lengths = pc.cast(pc.if_else(pc.equal(duration, ""), None, duration), pa.float64())
-        return [corpus, pc.cast(when, pa.timestamp("us")), numbers, number, lengths, name, text]
+        lengths = pc.cast(pc.utf8_lpad(duration, 1, "0"), pa.float64())
     except pa.ArrowInvalid:
-        return None  # a bulk cast met a value that does not exist, such as 30 February
+        return None
+    rest = pc.extract_regex(at, r"\A.{19}(?:\.(?P<f>[0-9]+))?(?:Z|\+(?P<h>[0-9]{2}):(?P<m>[0-9]{2}))?\z")
+    zero = lambda a: pc.cast(pc.if_else(pc.equal(a, ""), "0", a), pa.int64())
+    micro = zero(pc.utf8_slice_codeunits(pc.utf8_rpad(rest.field(0), 6, "0"), 0, 6))
+    shift = pc.add(pc.multiply(zero(rest.field(1)), 3600), pc.multiply(zero(rest.field(2)), 60))
+    when = pc.add(pc.cast(seconds, pa.int64()), pc.subtract(micro, pc.multiply(shift, 1_000_000)))
+    lengths = pc.if_else(pc.equal(duration, ""), pa.scalar(None, pa.float64()), lengths)
+    return [corpus, pc.cast(when, pa.timestamp("us")), numbers, number, lengths, name, text]
+
+
+def bisect(n: int, fails) -> tuple[list[tuple[int, int]], list[int]]:
+    """([parts that are sound], [single places that fail]) of 0..n. ``fails(a, b)`` tells
+    whether a part holds a failing place; such parts are halved."""
+    parts, alone, stack = [], [], [(0, n)] if n else []
+    while stack:
+        a, b = stack.pop()
+        if not fails(a, b):
+            parts.append((a, b))
+        elif b - a == 1:
+            alone.append(a)
+        else:
+            half = (a + b) // 2
+            stack += [(half, b), (a, half)]
+    return parts, alone
 
 
-def parse_block(ids: list, lines: list[str], block: int = BLOCK):
-    """Yield (id, reason, typed cells) for every data line. Blocks that fail are
-    bisected; failing lines are diagnosed."""
+def parse_block(lines):
+    """(places of sound lines, their typed columns, places of isolated lines) of a block
+    of data lines without their trailing CR."""
+    import numpy as np
     import pyarrow as pa
 
-    kept = [(i, x) for i, x in zip(ids, lines) if is_data(x)]
-    at, size = 0, block
-    while at < len(kept):
-        stack = [kept[at : at + size]]
-        at += size
-        whole = True
-        while stack:
-            part = stack.pop()
-            columns = _fast(pa.array([x.removesuffix("\r") for _, x in part], pa.string())) if len(part) > 1 else None
-            if columns is not None:
-                for (i, _), *cells in zip(part, *(c.to_pylist() for c in columns)):
-                    yield i, None, tuple(cells)
+    cells, sound = _cells(lines)
+    before = np.concatenate(([0], np.cumsum(~sound)))
+    parts, alone = bisect(len(lines), lambda a, b: before[b] > before[a])
+    rest = np.concatenate([np.arange(a, b) for a, b in parts]) if parts else np.zeros(0, np.int64)
+    left = [c.take(pa.array(rest)) for c in cells]
+    typed: dict[tuple[int, int], list] = {}
+
+    def fails(a: int, b: int) -> bool:
+        part = pa.array(np.arange(a, b))
+        got = _cast([c.take(part) for c in left] if b - a < len(rest) else left)  # copies: slices of text mislead if_else
+        if got is not None:
+            typed[a, b] = got
+        return got is None
+
+    parts, failing = bisect(len(rest), fails)
+    places = np.concatenate([rest[a:b] for a, b in parts]) if parts else rest
+    columns = [pa.concat_arrays(list(c)) for c in zip(*(typed[p] for p in parts))] if parts else None
+    return places, columns, sorted(alone + [int(rest[k]) for k in failing])
+
+
+_TYPED = ("corpus_name", "recorded_at", "line_no", "line_no_text", "duration_s", "source_filename", "source_text")
+
+
+def parse_lines(df: DataFrame, id_col: str = "raw_id", line_col: str = "raw_line", carry: str | None = None, loaded: bool = True, rejected: bool = True) -> DataFrame:
+    """One row per data line: ``ok`` rows carry typed cells, the others a reason. One more
+    column of text may be carried along; rows that are not asked for are not built."""
+    schema = T.StructType.fromDDL(SCHEMA + (", carried string" if carry else ""))
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+
+        def build(n: int, **columns):
+            made = [pa.array(columns[f.name], f.type) if isinstance(columns.get(f.name), list) else pc.cast(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in arrow]
+            return pa.RecordBatch.from_arrays(made, schema=arrow)
+
+        for batch in batches:
+            kept = pa.array(np.flatnonzero(_data_marks(batch.column(1))))
+            batch = batch.take(kept)
+            if not len(kept):
                 continue
-            whole = False
-            if len(part) <= LEAF:
-                for i, x in part:
-                    yield i, *diagnose(x)
-            else:
-                half = len(part) // 2
-                stack += [part[half:], part[:half]]
-        size = min(LARGEST, 2 * size) if whole else max(min(block, SMALLEST), size // 2)
-
-
-def _kernel(columns: dict) -> dict:
-    out = {n: [] for n in ("raw_id", "ok", "reason", *COLUMNS, "line_no_text")}
-    for i, reason, cells in parse_block(columns["raw_id"], columns["raw_line"]):
-        corpus, when, number, number_text, duration, name, text = cells or (None,) * 7
-        for k, v in zip(
-            ("raw_id", "ok", "reason", "corpus_name", "recorded_at", "line_no", "line_no_text", "duration_s", "source_filename", "source_text"),
-            (i, reason is None, reason, corpus, when, number, number_text, duration, name, text),
-        ):
-            out[k].append(v)
-    return out
-
-
-def parse_lines(df: DataFrame, id_col: str = "raw_id", line_col: str = "raw_line") -> DataFrame:
-    """One row per data line: ``ok`` rows carry typed cells, the others a reason."""
-    rows = df.select(F.col(id_col).alias("raw_id"), F.col(line_col).alias("raw_line"))
-    return map_columns(rows, _kernel, SCHEMA)
+            lines = pc.replace_substring_regex(batch.column(1), r"\r\z", "")
+            places, columns, failing = parse_block(lines)
+            rows = [(k, *diagnose(batch.column(1)[k].as_py())) for k in failing]
+            good = [r for r in rows if r[1] is None]  # valid, but beyond what the casts take
+            bad = [r for r in rows if r[1] is not None]
+            more = lambda at: {"carried": batch.column(2).take(pa.array(at, pa.int64()))} if carry else {}
+            ids = lambda at: batch.column(0).take(pa.array(at, pa.int64()))
+            if loaded and columns is not None:
+                yield build(len(places), raw_id=ids(places), ok=pa.repeat(True, len(places)), **dict(zip(_TYPED, columns)), **more(places))
+            if loaded and good:
+                at = [r[0] for r in good]
+                corpus, when, number, written, duration, name, text = map(list, zip(*(r[2] for r in good)))
+                values = dict(zip(_TYPED, (corpus, when, number, written, duration, name, text)))
+                yield build(len(at), raw_id=ids(at), ok=[True] * len(at), **values, **more(at))
+            if rejected and bad:
+                at = [r[0] for r in bad]
+                yield build(len(at), raw_id=ids(at), ok=[False] * len(at), reason=[r[1] for r in bad], **more(at))
+
+    rows = [F.col(id_col).alias("raw_id"), F.col(line_col).alias("raw_line")]
+    return df.select(*rows, *([F.col(carry).cast("string").alias("carried")] if carry else [])).mapInArrow(run, schema)
 
 
 def rejected(df: DataFrame, id_col: str = "raw_id", line_col: str = "raw_line") -> DataFrame:
     """Lines that break the contract, with the reason."""
-    return parse_lines(df, id_col, line_col).filter(~F.col("ok")).select("raw_id", "reason")
+    return parse_lines(df, id_col, line_col, loaded=False).select("raw_id", "reason")

@@ -19,8 +19,8 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p1_loaded(spark: SparkSession, folder: str) -> DataFrame:
     """All valid lines as typed rows."""
     prepare(spark)
-    rows = records.parse_lines(spread(table(spark, folder, "raw_lines").select("raw_id", "raw_line")))
-    return rows.filter("ok").select(
+    rows = records.parse_lines(spread(table(spark, folder, "raw_lines").select("raw_id", "raw_line")), rejected=False)
+    return rows.select(
         "raw_id",
         "corpus_name",
         F.date_format("recorded_at", "yyyy-MM-dd HH:mm:ss.SSS").alias("recorded_at"),
@@ -32,15 +32,11 @@ def p1_loaded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_reasons(spark: SparkSession, folder: str) -> DataFrame:
-    """Rejected and loaded lines per feed."""
+    """Rejected and loaded lines per feed; the feed goes with its line."""
     prepare(spark)
-    lines = table(spark, folder, "raw_lines").select("raw_id", "raw_line", "feed")
-    rows = records.parse_lines(spread(lines.select("raw_id", "raw_line"))).select("raw_id", "reason")
-    return (
-        rows.join(lines.select("raw_id", "feed"), "raw_id")
-        .groupBy("feed", F.coalesce("reason", F.lit("loaded")).alias("outcome"))
-        .agg(F.count("*").alias("n"))
-    )
+    lines = spread(table(spark, folder, "raw_lines").select("raw_id", "raw_line", "feed"))
+    rows = records.parse_lines(lines, carry="feed")
+    return rows.groupBy(F.col("carried").alias("feed"), F.coalesce("reason", F.lit("loaded")).alias("outcome")).agg(F.count("*").alias("n"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_loaded": p1_loaded, "p1_reasons": p1_reasons}

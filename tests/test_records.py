@@ -3,6 +3,7 @@
 import csv
 import io
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -15,8 +16,16 @@ def strict(lines):
     return [(k, *R.diagnose(x)) for k, x in enumerate(lines) if R.is_data(x)]
 
 
-def found(lines, block=R.BLOCK):
-    return sorted(R.parse_block(list(range(len(lines))), lines, block), key=lambda r: r[0])
+def found(lines):
+    """(place, reason, typed cells) of data lines by the columnar path."""
+    kept = [(k, x.removesuffix("\r")) for k, x in enumerate(lines) if R.is_data(x)]
+    marks = R._data_marks(pa.array(lines, pa.string()))
+    assert [k for k, m in enumerate(marks) if m] == [k for k, _ in kept]
+    if not kept:
+        return []
+    places, columns, failing = R.parse_block(pa.array([x for _, x in kept], pa.string()))
+    rows = [(kept[k][0], None, cells) for k, cells in zip(places, zip(*(c.to_pylist() for c in columns)))] if columns else []
+    return sorted(rows + [(kept[k][0], *R.diagnose(lines[kept[k][0]])) for k in failing], key=lambda r: r[0])
 
 
 cell = st.text(alphabet='ab" \t\nÄ1\r', max_size=6)
@@ -28,9 +37,24 @@ line = st.one_of(
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(line, max_size=40), st.sampled_from([1, 2, 7, 256]))
-def test_blocks_equal_strict_reading(lines, block):
-    assert found(lines, block) == strict(lines)
+@given(st.lists(line, max_size=40))
+def test_blocks_equal_strict_reading(lines):
+    assert found(lines) == strict(lines)
+
+
+def test_only_failing_lines_are_read_strictly():
+    """One line in twelve is broken in one of three ways; nothing else is isolated."""
+    broken = (GOOD.replace("hello", '"a'), GOOD + "\tx", GOOD.replace("2025-03-01", "2025-02-30"))
+    lines = [broken[k // 12 % 3] if k % 12 == 5 else GOOD for k in range(3000)]
+    places, columns, failing = R.parse_block(pa.array(lines))
+    assert failing == [k for k in range(3000) if k % 12 == 5] and len(places) == 2750 == len(columns[0])
+
+
+def test_bisection():
+    bad = {3, 4, 17, 99}
+    calls = []
+    parts, alone = R.bisect(100, lambda a, b: calls.append(1) or any(a <= k < b for k in bad))
+    assert set(alone) == bad and sum(b - a for a, b in parts) == 96 and len(calls) < 60 and R.bisect(0, None) == ([], [])
 
 
 def test_reasons():
