@@ -3,9 +3,14 @@
 One form for equal-looking texts: composed letters (NFC), ASCII for full-width
 letters and digits, full-size kana, the ordinary space, no invisible characters,
 and one alphabet per word. The alphabet of a word is repaired by script: letters
-are mapped to the word's (or the text's) script only where a token mixes scripts
-or stands alone in a foreign script between words of the text's script, and where
-the result is a word of the corpus vocabulary, which is counted over all texts.
+are mapped to the text's (or the word's) script only where a token mixes scripts
+or stands alone in a foreign script between words of the text's script, and only
+where the corpus vocabulary, that is the words of all texts, holds the result.
+
+The repaired forms of all doubtful tokens are few: their distinct words are looked up
+in the vocabulary (in the tasks that read the texts while they are few enough to be
+sent there, else by a join of distinct words), and only texts with such a token are
+shuffled.
 
 Customary spelling stays: full-width punctuation, quotes, dashes, the no-break
 space before French marks, joiners and variation marks inside emoji, and joiners
@@ -15,9 +20,11 @@ Defined results
 ---------------
 * null text gives no row; blank text has no case and its clean form is itself
   (with ordinary spaces);
-* a mixed token outside the vocabulary is repaired only towards the text's own
-  script or the script of most of its letters;
-* rows repeated under other ids are judged one by one; extra columns are ignored.
+* a token is repaired to the first of its forms (text's script, script of most of its
+  letters, Latin, Cyrillic) that the vocabulary holds; if it holds none, the token
+  stays and is no case;
+* rows repeated under other ids, or under the same, are judged one by one; extra
+  columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators.arrow import map_columns
+from lectern.operators.lookup import salted
+from lectern.session import cut
 
 # Letters drawn alike, given as foreign letter and Latin letter.
 _ALIKE = (
@@ -183,9 +192,9 @@ def map_word(word: str, target: str) -> str | None:
     return ud.normalize("NFC", "".join(out))
 
 
-def candidates(text: str) -> list[tuple[int, int, str, bool]]:
-    """(start, end, repaired word, sure without vocabulary) for tokens of a folded
-    text whose alphabet is in doubt."""
+def candidates(text: str) -> list[tuple[int, int, list[str]]]:
+    """(start, end, repaired forms in order of preference) for tokens of a folded text
+    whose alphabet is in doubt."""
     words = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(text)]
     if not words:
         return []
@@ -205,17 +214,17 @@ def candidates(text: str) -> list[tuple[int, int, str, bool]]:
     # Cyrillic that could all be read as Latin is no Cyrillic text
     real = any(script_of(ch) == "cyrillic" and ch not in PROTOTYPE for _, _, w in words for ch in w) if "cyrillic" in counts else False
     main = "cyrillic" if real and counts["cyrillic"] > counts.get("latin", 0) else "latin"
-    found: list[tuple[int, int, str, bool]] = []
+    found: list[tuple[int, int, list[str]]] = []
     doubtful = set()
     alone = []
     for k, ((a, b, w), own) in enumerate(zip(words, scripts)):
         if len(own) > 1:
             most = max(own, key=lambda s: (own[s], s == main))
-            for target in dict.fromkeys((main, most, "latin", "cyrillic")):
-                if target in ("latin", "cyrillic") and (fixed := map_word(w, target)):
-                    doubtful.add(k)
-                    found.append((a, b, fixed, target in (main, most)))
-                    break
+            targets = (t for t in dict.fromkeys((main, most, "latin", "cyrillic")) if t in ("latin", "cyrillic"))
+            forms = list(dict.fromkeys(filter(None, (map_word(w, t) for t in targets))))
+            if forms:
+                doubtful.add(k)
+                found.append((a, b, forms))
         elif own and main not in own and (fixed := map_word(w, main)) and not (main == "cyrillic" and _RARE.search(fixed)):
             alone.append((k, fixed))
             doubtful.add(k)
@@ -229,7 +238,7 @@ def candidates(text: str) -> list[tuple[int, int, str, bool]]:
         right = next((scripts[j] for j in range(k + 1, len(words)) if j not in doubtful and scripts[j]), None)
         near = [s for s in (left, right) if s]
         if all(main in s for s in near) and (near or not real):
-            found.append((a, b, fixed, False))
+            found.append((a, b, [fixed]))
     return sorted(found)
 
 
@@ -237,14 +246,14 @@ _MAYBE = re.compile(r"[Ͱ-֏Ꭰ-᏿]")
 
 
 def one_form(text: str) -> str:
-    """Folded text with every doubtful token repaired; for readers that only need
-    words to be comparable and cannot ask the vocabulary."""
+    """Folded text with every doubtful token in its first form, without asking the
+    vocabulary: for readers that only compare words with each other."""
     clean, _ = fold_characters(text)
     if not _MAYBE.search(clean):
         return clean
     at, out = 0, []
-    for a, b, word, _ in candidates(clean):
-        out += [clean[at:a], word]
+    for a, b, forms in candidates(clean):
+        out += [clean[at:a], forms[0]]
         at = b
     return "".join(out) + clean[at:] if out else clean
 
@@ -261,20 +270,33 @@ def suspect(text: str) -> bool:
     return bool(_MAYBE.search(text)) and (bool(_LATIN.search(text)) or bool(_ODD_ALPHABET.search(text)))
 
 
-def _kernel(columns: dict) -> dict:
-    out = {n: [] for n in ("payload_id", "field", "text", "hit", "start", "stop", "word", "sure")}
-    for i, field, text in zip(columns["payload_id"], columns["field"], columns["text"]):
-        if not suspect(text):
-            continue
-        clean, hit = fold_characters(text)
-        rows = [(None, None, None, False)] + candidates(clean)
-        for n, (a, b, w, sure) in enumerate(rows):
-            for k, v in zip(out, (i, field, clean if n == 0 else None, hit, a, b, w, sure)):
-                out[k].append(v)
-    return out
+_TOKENS = "array<struct<start:int,stop:int,words:array<string>>>"
+
+
+def _read(df: DataFrame, keep: str) -> DataFrame:
+    """(payload_id, field, text, folded, hit, tokens) of ``df`` (payload_id, field, text).
+    ``keep`` tells which rows come back: ``cases`` (without texts), ``doubtful`` (with a
+    doubtful token) or ``plain`` (all others)."""
+
+    def kernel(columns: dict) -> dict:
+        out = {n: [] for n in ("payload_id", "field", "text", "folded", "hit", "tokens")}
+        for i, field, text in zip(columns["payload_id"], columns["field"], columns["text"]):
+            folded, hit, tokens = text, False, []
+            if suspect(text):
+                folded, hit = fold_characters(text)
+                tokens = [{"start": a, "stop": b, "words": w} for a, b, w in candidates(folded)]
+            if keep == "cases":
+                if hit or tokens:
+                    for n, v in zip(out, (i, field, None, None, hit, tokens)):
+                        out[n].append(v)
+            elif bool(tokens) == (keep == "doubtful"):
+                for n, v in zip(out, (i, field, text, folded, hit, tokens)):
+                    out[n].append(v)
+        return out
+
+    return map_columns(df, kernel, f"payload_id bigint, field string, text string, folded string, hit boolean, tokens {_TOKENS}")
 
 
-_SCHEMA = "payload_id bigint, field string, text string, hit boolean, start int, stop int, word string, sure boolean"
 FIELDS = ("source_text", "corrected_text")
 
 
@@ -284,51 +306,64 @@ def long_form(df: DataFrame) -> DataFrame:
     return df.select("payload_id", F.inline(pairs)).filter("text IS NOT NULL")
 
 
-def vocabulary(df: DataFrame) -> DataFrame:
-    """Distinct lower-case words of all texts. Map-side aggregation leaves one row
-    per word and partition to shuffle."""
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}]+"))
-    return long_form(df).select(F.explode(words).alias("known")).filter("known <> ''").distinct()
+#: Candidate words that may be sent to all tasks; more are looked up by a join.
+SENT_WORDS = 200_000
+
 
+def known_words(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """The rows of ``words`` (distinct ``word``, lower case) that stand in any text. A
+    token of 40 characters at most is a word here, so the words sent are bounded."""
+    said = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}]+"))
+    spoken = texts.select(F.explode(said).alias("word"))
+    if words.count() <= SENT_WORDS:
+        return spoken.join(F.broadcast(words), "word", "left_semi").distinct()
+    return words.join(spoken.distinct(), "word", "left_semi")
 
-def examine(df: DataFrame) -> DataFrame:
-    """One row per suspect text and one more per doubtful token, tokens marked by
-    whether the corpus knows the repaired word."""
-    rows = map_columns(long_form(df), _kernel, _SCHEMA)
-    # rows without a token get a key of their own that no word equals; as nulls they
-    # would all meet in one partition
-    own = F.concat(F.lit("\n"), F.coalesce(F.col("payload_id").cast("string"), F.lit("")), "field")
-    keyed = rows.withColumn("key", F.coalesce(F.lower("word"), own))
-    return keyed.join(vocabulary(df), F.col("key") == F.col("known"), "left").drop("key")
+
+def _asked(marked: DataFrame, *key: str) -> DataFrame:
+    """(key, start, stop, rank, written, word) of every form of every doubtful token."""
+    token = marked.select(*key, F.explode("tokens").alias("t"))
+    form = token.select(*key, "t.start", "t.stop", F.posexplode("t.words").alias("rank", "written"))
+    return form.withColumn("word", F.lower("written"))
+
+
+def _known(df: DataFrame, marked: DataFrame) -> DataFrame:
+    """Words of the vocabulary among the forms of doubtful tokens."""
+    words = _asked(marked).select("word").filter("length(word) <= 40").distinct()
+    return known_words(long_form(df), cut(words))
 
 
 def found(df: DataFrame) -> DataFrame:
-    """(payload_id, field) of texts that hold a stand-in character."""
-    return examine(df).filter("hit OR (word IS NOT NULL AND (sure OR known IS NOT NULL))").select("payload_id", "field").distinct()
+    """(payload_id, field) of texts that hold a stand-in character. The marks (ids and
+    forms, no texts) are written once and read for the lookup and the result."""
+    marked = cut(_read(long_form(df), "cases").select("payload_id", "field", "hit", "tokens"))
+    direct = marked.filter("hit").select("payload_id", "field")
+    asked = _asked(marked.filter("NOT hit"), "payload_id", "field").select("payload_id", "field", "word")
+    known = salted(asked, _known(df, marked.filter("NOT hit")), "word", ("payload_id", "field"))
+    return direct.unionByName(known.select("payload_id", "field").distinct())
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Every text in one form: (payload_id, field, clean_text, changed)."""
+    """Every text in one form: (payload_id, field, clean_text, changed). Texts without a
+    doubtful token go straight through."""
     texts = long_form(df)
-    marked = examine(df).groupBy("payload_id", "field").agg(
-        F.max("text").alias("folded"),
-        F.max("hit").alias("hit"),
-        F.sort_array(
-            F.collect_list(
-                F.when(F.col("word").isNotNull() & (F.col("sure") | F.col("known").isNotNull()), F.struct("start", "stop", "word"))
-            )
-        ).alias("fixes"),
+    plain = _read(texts, "plain").select("payload_id", "field", F.col("folded").alias("clean_text"), (F.col("folded") != F.col("text")).alias("changed"))
+    key = F.md5(F.concat_ws("\n", F.coalesce(F.col("payload_id").cast("string"), F.lit("")), "field", "text"))
+    doubtful = _read(texts, "doubtful").withColumn("key", key)
+    known = _known(df, _read(texts, "cases"))
+    fixes = salted(_asked(doubtful, "key"), known, "word", ("key",)).groupBy("key").agg(
+        F.sort_array(F.collect_set(F.struct("start", "rank", "stop", "written"))).alias("fixes")
     )
-    joined = texts.join(marked, ["payload_id", "field"], "left")
+    joined = doubtful.select("payload_id", "field", "text", "folded", "key").join(fixes, "key", "left")
     whole = F.aggregate(
-        F.coalesce("fixes", F.array().cast("array<struct<start:int,stop:int,word:string>>")),
+        F.coalesce("fixes", F.array().cast("array<struct<start:int,rank:int,stop:int,written:string>>")),
         F.struct(F.lit("").alias("done"), F.lit(0).alias("at")),
-        lambda acc, x: F.struct(
-            F.concat(acc["done"], F.substr(F.coalesce("folded", "text"), acc["at"] + 1, x["start"] - acc["at"]), x["word"]).alias("done"),
-            x["stop"].alias("at"),
+        lambda acc, x: F.when(x["start"] < acc["at"], acc).otherwise(
+            F.struct(
+                F.concat(acc["done"], F.substr("folded", acc["at"] + 1, x["start"] - acc["at"]), x["written"]).alias("done"),
+                x["stop"].alias("at"),
+            )
         ),
-        lambda acc: F.concat(acc["done"], F.substr(F.coalesce("folded", "text"), acc["at"] + 1, F.lit(2147483647))),
-    )
-    return joined.select(
-        "payload_id", "field", whole.alias("clean_text"), (~whole.eqNullSafe(F.col("text"))).alias("changed")
+        lambda acc: F.concat(acc["done"], F.substr("folded", acc["at"] + 1, F.lit(2147483647))),
     )
+    return plain.unionByName(joined.select("payload_id", "field", whole.alias("clean_text"), (whole != F.col("text")).alias("changed")))

@@ -42,3 +42,21 @@ def test_frame(spark):
     clean = {(r.payload_id, r.field): r.clean_text for r in K.clean(df).collect()}
     assert clean[1, "source_text"] == "the cat" and clean[5, "source_text"].endswith("ab") and clean[4, "source_text"] == " " and (3, "source_text") not in clean
     assert K.found(df.limit(0)).count() == 0 and K.clean(df.limit(0)).count() == 0
+
+
+def test_every_substitution_asks_the_vocabulary(spark):
+    """A mixed token whose repaired form stands nowhere is no case and stays; one whose
+    first form is unknown takes the next; rows under one id are judged one by one."""
+    rows = [(1, "zоrgle one", None), (2, "the cаt", "a cat"), (2, "the cаt", "a cat"), (3, "мama и наш мир", "мама")]
+    df = spark.createDataFrame(rows, "payload_id bigint, source_text string, corrected_text string")
+    assert sorted((r.payload_id, r.field) for r in K.found(df).collect()) == [(2, "source_text"), (3, "source_text")]
+    got = sorted((r.payload_id, r.clean_text, r.changed) for r in K.clean(df).filter("field = 'source_text'").collect())
+    assert got == [(1, "zоrgle one", False), (2, "the cat", True), (2, "the cat", True), (3, "мама и наш мир", True)]
+
+
+def test_known_words_by_either_way(spark, monkeypatch):
+    texts = K.long_form(spark.createDataFrame([(k, "Hot hot word %d" % (k % 5), "x") for k in range(90)], "payload_id bigint, source_text string, corrected_text string"))
+    words = spark.createDataFrame([("hot",), ("x",), ("none",)], "word string")
+    sent = sorted(r.word for r in K.known_words(texts, words).collect())
+    monkeypatch.setattr(K, "SENT_WORDS", 1)
+    assert sent == sorted(r.word for r in K.known_words(texts, words).collect()) == ["hot", "x"]
