@@ -1,11 +1,14 @@
 """Splitting oversized texts at natural boundaries.
 
-A text is worked in ranges. Every range finds its boundaries (paragraph, line,
-sentence, clause, word) with a halo on both sides, and the first strong boundary of
-a range is its anchor: pieces never run across an anchor, so ranges are
-independent, the chain of cuts of one range ends where the next begins, and prefix
-sums of the ranges' lengths and piece counts give offsets and numbers. Texts of a
-column pass through one kernel, giant files are read by byte range.
+A text is worked in ranges of fixed size. A worker sees its range and a halo on
+either side, nothing else: it finds the boundaries there (paragraph, line, sentence,
+clause, word) and its anchor, the strongest of them behind the range's start. Pieces
+never run across an anchor, so ranges are independent and the chain of cuts of one
+ends where the next begins. Stitching the ranges' tables takes the overlap at the seams
+and prefix sums of piece counts; pieces are given by offset.
+
+Texts of a column and byte ranges of giant files go through the same two functions,
+``cut_range`` (one range by its window) and ``seam`` (two neighbours).
 
 Defined results
 ---------------
@@ -20,6 +23,8 @@ Defined results
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 import unicodedata as ud
 
@@ -30,8 +35,12 @@ from pyspark.sql import types as T
 from lectern.operators.arrow import map_columns
 
 LIMIT, OVERLAP = 300, 50
-RANGE = 1 << 16
-HALO = 4096
+#: Characters of a range of a text, bytes of a range of a file. A text or file shorter
+#: than two ranges is one; the last range takes the rest.
+RANGE, FILE_RANGE = 1024, 8 << 20
+#: Characters behind a range's start in which its anchor lies, and before and behind
+#: that a worker sees besides.
+HALO, CONTEXT = 128, 512
 
 PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, VISIBLE = 5, 4, 3, 2, 1, 0
 _NATURAL = re.compile(
@@ -143,41 +152,61 @@ def chain(text: str, stops: list[tuple[int, int]], start: int, end: int, limit:
     return out
 
 
-def _anchor(stops: list[tuple[int, int]], lo: int) -> int | None:
-    """The strongest boundary of the first HALO characters from ``lo``, the first of
-    equals."""
+def anchor(text: str, stops: list[tuple[int, int]], lo: int) -> int:
+    """The strongest boundary of the HALO characters behind ``lo``, the first of equals;
+    in a run without boundaries the first place that divides nothing. It hangs on these
+    characters alone, so both ranges that meet here find the same."""
     near = [(r, -o) for o, r in stops if lo < o <= lo + HALO]
-    return -max(near)[1] if near else None
+    if near:
+        return -max(near)[1]
+    for at in range(lo, min(lo + HALO, len(text)) + 1):
+        if not cuts_visible(text, at) and not "\U0001f1e6" <= text[at : at + 1] <= "\U0001f1ff":
+            return at
+    return lo
 
 
-def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP, size: int = RANGE) -> list[tuple[int, int, int]]:
-    """(start, end, rank of the end) of all pieces of a text."""
+def cut_range(window: str, lo: int, hi: int, first: bool, last: bool, limit: int, overlap: int) -> tuple[int, list[tuple[int, int, int]]]:
+    """(anchor, [(start, end, rank of the end)]) of the range lo..hi of a window, in
+    places of the window. The first piece starts up to ``overlap`` before the anchor."""
+    stops = boundaries(window)
+    begin = lo if first else anchor(window, stops, lo)
+    end = len(window) if last else anchor(window, stops, hi)
+    start = begin if first else _overlap_start(window, begin, dict(stops), overlap, max(0, begin - limit))
+    return begin, chain(window, [b for b in stops if begin < b[0] <= end], start, end, limit, overlap, begin)
+
+
+def seam(start: int, begin: int, before: int | None) -> int:
+    """Where the first piece of a range starts, given the start of the last piece of the
+    range before: without overlap if that would reach back beyond what it repeats."""
+    return begin if before is not None and start <= before else start
+
+
+def spans(total: int, size: int) -> list[tuple[int, int]]:
+    """The ranges of 0..total."""
+    n = max(1, total // size)
+    return [(k * size, total if k == n - 1 else (k + 1) * size) for k in range(n)]
+
+
+def _checked(limit: int, overlap: int, size: int) -> None:
     if not 0 <= overlap < limit // 2:
         raise ValueError("overlap must be below half the limit")
-    if size < 2 * HALO:
-        raise ValueError("a range must hold at least two halos")
+    if size < 4 * HALO:
+        raise ValueError("a range must hold at least four halos")
+
+
+def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP, size: int = RANGE) -> list[tuple[int, int, int]]:
+    """(start, end, rank of the end) of all pieces of a text."""
+    _checked(limit, overlap, size)
     n = len(text)
     if n <= limit:
         return [(0, n, PARAGRAPH)]
     out: list[tuple[int, int, int]] = []
-    start = first = 0
-    pending: list[tuple[int, int]] = []
-    for lo in range(0, n, size):
-        hi = min(n, lo + size)
-        pending += boundaries(text, lo, hi)
-        end = n
-        if hi < n:
-            anchor = _anchor(boundaries(text, hi, min(n, hi + HALO)), hi)
-            if anchor is None:
-                continue  # no natural place here: this range joins the next
-            end = anchor
-            pending += [b for b in boundaries(text, hi, end)]
-        out += chain(text, pending, start, end, limit, overlap, first)
-        marks = dict(pending)
-        start, first = _overlap_start(text, end, marks, overlap, out[-1][0]), end
-        pending = [b for b in pending if b[0] > end]
-        if end >= n:
-            break
+    for lo, hi in spans(n, size):
+        left, right = max(0, lo - CONTEXT), min(n, hi + HALO + CONTEXT)
+        begin, rows = cut_range(text[left:right], lo - left, hi - left, lo == 0, hi == n, limit, overlap)
+        (start, end, rank), rest = rows[0], rows[1:]
+        out.append((seam(left + start, left + begin, out[-1][0] if out else None), left + end, rank))
+        out += [(left + a, left + b, r) for a, b, r in rest]
     return out
 
 
@@ -211,91 +240,88 @@ def pieces(df: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFra
 # ---------------------------------------------------------------- giant files
 
 
-def _read(path: str, lo: int, hi: int) -> bytes:
-    with open(path, "rb") as f:
-        f.seek(lo)
-        return f.read(hi - lo)
+def _open(path: str):
+    """A file of any store that Arrow knows (local, HDFS, object stores), for reading at
+    an offset."""
+    from pyarrow import fs
 
+    store, inner = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return store.open_input_file(inner)
 
-def _align(data: bytes, at: int) -> int:
-    """Next start of a UTF-8 character at or after ``at``."""
-    while at < len(data) and 0x80 <= data[at] < 0xC0:
+
+def _characters(data: bytes, at: int) -> int:
+    """The first start of a UTF-8 character at or behind ``at``."""
+    most = min(len(data), at + 3)
+    while at < most and 0x80 <= data[at] < 0xC0:
         at += 1
     return at
 
 
-def _file_anchor(text: str, stops: list[tuple[int, int]], lo: int, bound: int) -> int:
-    """The anchor of the range from ``lo``, at most at ``bound``: its natural one, or in a
-    run without boundaries the first visible character. It hangs on the next HALO
-    characters alone, so both ranges that meet here find the same."""
-    natural = _anchor([b for b in stops if b[0] <= bound], lo)
-    if natural is not None:
-        return natural
-    for at in range(lo, min(lo + HALO, bound) + 1):
-        if not cuts_visible(text, at) and not "\U0001f1e6" <= text[at : at + 1] <= "\U0001f1ff":
-            return at
-    return lo
-
-
-def _range_work(path: str, lo: int, hi: int, total: int, limit: int, overlap: int, halo: int):
-    """Pieces that belong to one byte range, as byte offsets and characters before
-    them in the range. A range owns what lies between its anchor and the next."""
-    left = max(0, lo - 4 * limit)
-    right = hi
-    while True:  # the halo grows only until it holds HALO characters
-        right = min(total, right + halo)
-        data = _read(path, left, right)
-        a = _align(data, 0) if left else 0
-        cut = len(data)
-        while cut > a and right < total and 0x80 <= data[cut - 1]:
-            cut -= 1  # leave out a character that may be incomplete
-        text = data[a:cut].decode("utf-8", "replace")
-        sizes = [len(c.encode("utf-8", "replace")) for c in text] if not text.isascii() else None
-        places = [left + a]
-        if sizes is None:
-            places = range(left + a, left + a + len(text) + 1)
-        else:
-            for s in sizes:
-                places.append(places[-1] + s)
-        import bisect
-
-        stops = boundaries(text)
-        at_lo, at_hi = bisect.bisect_left(places, lo), bisect.bisect_left(places, hi)
-        if right == total or len(text) - at_hi > HALO:
-            break
-    begin = 0 if lo == 0 else _file_anchor(text, stops, at_lo, at_hi)
-    end = len(text) if hi == total else _file_anchor(text, stops, at_hi, bisect.bisect_left(places, min(total, 2 * hi - lo)))
-    if begin >= end:
-        return []
-    start = begin if begin == 0 else _overlap_start(text, begin, dict(stops), overlap, max(0, begin - 4 * limit))
-    rows = chain(text, [b for b in stops if begin < b[0] <= end], start, end, limit, overlap, begin)
-    return [(places[a], places[b], b - a, k, begin) for k, (a, b, _) in enumerate(rows)]
-
-
-def split_files(spark: SparkSession, paths: list[str], limit: int = LIMIT, overlap: int = OVERLAP, size: int = 8 << 20, halo: int = 1 << 16) -> DataFrame:
+def cut_bytes(path: str, lo: int, hi: int, total: int, limit: int, overlap: int) -> list[tuple[int, int, int, int, int]]:
+    """(byte start, byte end, characters, byte of the anchor, characters from the anchor)
+    of the pieces of one byte range. Only the range and its halos are read."""
+    left, right = max(0, lo - 4 * CONTEXT), min(total, hi + 4 * (HALO + CONTEXT))
+    with _open(path) as f:
+        f.seek(left)
+        data = f.read(right - left)
+    a, b = _characters(data, 0), len(data)
+    if right < total:  # leave out a character that may be incomplete
+        b = next((k for k in range(b - 1, max(a, b - 4), -1) if not 0x80 <= data[k] < 0xC0), b)
+    window = data[a:b].decode("utf-8", "surrogateescape")
+    if window.isascii():
+        places = range(left + a, left + b + 1)
+    else:
+        sizes = (1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in window)
+        places = list(itertools.accumulate(sizes, initial=left + a))
+    at_lo, at_hi = bisect.bisect_left(places, lo), bisect.bisect_left(places, hi)
+    begin, rows = cut_range(window, at_lo, at_hi, lo == 0, hi == total, limit, overlap)
+    return [(places[x], places[y], y - x, places[begin], y - begin) for x, y, _ in rows]
+
+
+def split_files(spark: SparkSession, paths: list[str], limit: int = LIMIT, overlap: int = OVERLAP, size: int = FILE_RANGE) -> DataFrame:
     """Pieces of giant UTF-8 files that every worker can open: (path, piece_no,
-    byte_start, byte_end, n_chars). No task holds more than a range and its halo;
-    piece numbers are prefix sums over the ranges' counts."""
-    import os
+    byte_start, byte_end, n_chars). No task holds more than a range and its halos: ranges
+    are made by the tasks from the files' sizes, their tables are stitched by the row
+    before and numbered by prefix sums of their counts. An empty file gives no piece; a
+    byte that is no UTF-8 counts as one character."""
+    from pyspark.sql import Window
 
-    ranges = [(p, lo, min(os.path.getsize(p), lo + size), os.path.getsize(p)) for p in paths for lo in range(0, os.path.getsize(p), size)]
-    if not ranges:
-        return spark.createDataFrame([], "path string, piece_no bigint, byte_start bigint, byte_end bigint, n_chars int")
-    table = spark.createDataFrame(ranges, "path string, lo bigint, hi bigint, total bigint").repartition(len(ranges))
+    _checked(limit, overlap, size)
+    sized = []
+    for p in paths:
+        with _open(p) as f:
+            sized.append((p, f.size()))
+    files = spark.createDataFrame([x for x in sized if x[1]], "path string, total bigint")
+    n = F.greatest(F.lit(1), F.floor(F.col("total") / size)).cast("long")
+    ranges = files.select("path", "total", n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("r"))
+    ranges = ranges.select("path", "total", "r", (F.col("r") * size).alias("lo"), F.when(F.col("r") == F.col("n") - 1, F.col("total")).otherwise((F.col("r") + 1) * size).alias("hi"))
+    many = sum(max(1, t // size) for _, t in sized)
+    ranges = ranges.repartition(max(1, min(many, MOST_TASKS)), "path", "r")
+
+    names = ("path", "r", "k", "byte_start", "byte_end", "n_chars", "begin", "begin_chars")
 
     def kernel(columns: dict) -> dict:
-        out = {n: [] for n in ("path", "lo", "k", "byte_start", "byte_end", "n_chars")}
-        for path, lo, hi, total in zip(columns["path"], columns["lo"], columns["hi"], columns["total"]):
-            for a, b, n, k, _ in _range_work(path, lo, hi, total, limit, overlap, halo):
-                for c, v in zip(out, (path, lo, k, a, b, n)):
+        out = {c: [] for c in names}
+        for path, total, r, lo, hi in zip(*(columns[c] for c in ("path", "total", "r", "lo", "hi"))):
+            for k, row in enumerate(cut_bytes(path, lo, hi, total, limit, overlap)):
+                for c, v in zip(names, (path, r, k, *row)):
                     out[c].append(v)
         return out
 
-    rows = map_columns(table, kernel, "path string, lo bigint, k int, byte_start bigint, byte_end bigint, n_chars int")
-    from pyspark.sql import Window
-
-    counts = rows.groupBy("path", "lo").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("path").orderBy("lo")) - F.col("n"))
-    return rows.join(before.drop("n"), ["path", "lo"]).select(
-        "path", (F.col("before") + F.col("k") + 1).cast(T.LongType()).alias("piece_no"), "byte_start", "byte_end", "n_chars"
+    schema = "path string, r bigint, k int, byte_start bigint, byte_end bigint, n_chars int, begin bigint, begin_chars int"
+    rows = map_columns(ranges, kernel, schema)
+    tables = rows.groupBy("path", "r").agg(F.count("*").alias("n"), F.max("byte_start").alias("last"))
+    by = Window.partitionBy("path").orderBy("r")  # one row a range
+    tables = tables.select("path", "r", (F.sum("n").over(by) - F.col("n")).alias("before"), F.lag("last").over(by).alias("last"))
+    early = (F.col("k") == 0) & (F.col("byte_start") <= F.col("last"))
+    return rows.join(tables, ["path", "r"]).select(
+        "path",
+        (F.col("before") + F.col("k") + 1).cast(T.LongType()).alias("piece_no"),
+        F.when(early, F.col("begin")).otherwise(F.col("byte_start")).alias("byte_start"),
+        "byte_end",
+        F.when(early, F.col("begin_chars")).otherwise(F.col("n_chars")).alias("n_chars"),
     )
+
+
+#: Tasks of a run over files.
+MOST_TASKS = 20_000

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import langid, lookalike, mixing, mojibake, packing, pairs, pieces, sentences, tokens, turns
 from lectern.session import cut, prepare, spread
+from lectern.sources.files import scratch
 from lectern.sources.tables import table
 
 
@@ -41,6 +42,17 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.pieces(_long_texts(spark, folder))
 
 
+def p3_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of large files by byte range: the documents of every source, written as
+    text to the shared folder. Ranges are small here so that files of tests have several."""
+    prepare(spark)
+    path = scratch(spark, "texts")
+    docs = table(spark, folder, "documents").filter("text IS NOT NULL").select(F.coalesce("source", F.lit("none")).alias("source"), "text")
+    docs.write.partitionBy("source").text(path)
+    cut_ = pieces.split_files(spark, sorted(spark.read.text(path).inputFiles()), size=1 << 16)
+    return cut_.withColumn("path", F.regexp_extract("path", r"source=.*", 0))
+
+
 def _punctuated(spark: SparkSession, folder: str) -> DataFrame:
     """Fields whose punctuation is complete, of rows cut at sentence edges."""
     rows = table(spark, folder, "payloads").filter("seg_start = 'high' AND seg_end = 'high'")
@@ -162,6 +174,7 @@ QUERIES = {
     "p2_clean": p2_clean,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
+    "p3_files": p3_files,
     "p4_found": p4_found,
     "p4_units": p4_units,
     "p5_found": p5_found,
