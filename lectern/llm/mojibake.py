@@ -4,10 +4,12 @@ Adjacent character pairs are counted over the distinct lines of all documents, s
 copies, of texts or of lines, do not make what they hold probable. A pair's share of the
 corpus mutual information, p(ab) log p(ab)/p(a)p(b), tells how well it fits this
 corpus; pairs with a small share score as improbable, and the maximum-scoring
-segments of a text are its improbable runs. Only there inverse mappings are tried:
-the run (widened to its line, then to its words) is encoded with an encoding that a
-reader may have used by mistake and decoded with the one the text was written in,
-twice where the damage was done twice. A mapping counts if the corpus makes the
+segments of a line, rounded to whole words, are its improbable runs. Inverse mappings
+are tried inside runs and nowhere else: neighbouring runs together, then each run,
+then its parts are encoded with an encoding that a reader may have used by mistake and
+decoded with the one the text was written in, twice where the damage was done twice.
+Which encodings can have been at work follows from the characters beside each other,
+so most runs of sound text cost no trial. A mapping counts if the corpus makes the
 result clearly more likely than what stands there.
 
 Defined results
@@ -18,8 +20,11 @@ Defined results
 * where characters were lost (U+FFFD, or bytes that no longer fit) the text is
   marked and its restored form is null;
 * copies under other ids are judged one by one; extra columns are ignored;
-* the pair table has a fixed number of buckets (count-min, two rows), whatever the
-  size of the corpus.
+* characters are counted exactly. Pairs are counted in a fixed table (count-min, two
+  rows): a pair's share of the corpus is never too small, and too large by about the
+  share of all rare pairs that fall into its bucket, at most 1 / BUCKETS of the corpus
+  on average in each row (1e-6, against 1e-5 where a pair begins to count as probable),
+  whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from pyspark.sql import types as T
 from lectern.operators.arrow import map_columns
 
 BUCKETS = 1 << 20
-CHARS = 1 << 17
+CHARS = 0x110000
 
 # Encodings by which UTF-8 was read, one byte and several bytes a
 # character, and (encoding read by mistake, encoding of the text) for the rest.
@@ -102,42 +107,73 @@ class Pairs:
         self.pairs, self.chars = pairs, chars
         self.total = float(max(1.0, chars.sum()))
         self.known: dict = {}
+        self.lines: dict = {}
+        self.logs: dict[tuple[str, str], float] = {}
 
-    def counts(self, codes):
-        import numpy as np
+    def __getstate__(self):
+        return {"pairs": self.pairs, "chars": self.chars}
 
-        one, two = _buckets(codes[:-1], codes[1:])
-        return np.minimum(self.pairs[0][one], self.pairs[1][two])
+    def __setstate__(self, state):
+        self.__init__(state["pairs"], state["chars"])
 
     def log_likelihood(self, text: str) -> float:
-        """Log probability of a text, character by character given the one before."""
+        """Log probability of a text, character by character given the one before. Pairs
+        that were asked for are remembered, a bounded number of them."""
         import numpy as np
 
-        codes = _codes(text)
-        before, after = self.chars[codes[:-1] % CHARS], self.chars[codes[1:] % CHARS]
-        seen = self.counts(codes) + SMOOTH * (after + 0.01) / self.total
-        return float(np.log(seen / (before + SMOOTH)).sum())
+        known = self.logs
+        pairs = list(zip(text, text[1:]))
+        new = [p for p in pairs if p not in known]
+        if new:
+            if len(known) > 400_000:
+                known.clear()
+                new = pairs
+            first, second = _codes("".join(p[0] for p in new)), _codes("".join(p[1] for p in new))
+            one, two = _buckets(first, second)
+            seen = np.minimum(self.pairs[0][one], self.pairs[1][two]) + SMOOTH * (self.chars[second] + 0.01) / self.total
+            known.update(zip(new, np.log(seen / (self.chars[first] + SMOOTH)).tolist()))
+        return sum(map(known.__getitem__, pairs))
 
     def scores(self, codes):
         """Improbability of every pair: positive where its share of the corpus mutual
-        information is small."""
+        information is small. Pairs within ASCII are not looked up."""
         import numpy as np
 
-        n = self.counts(codes) + 0.1
-        a, b = self.chars[codes[:-1] % CHARS] + 1.0, self.chars[codes[1:] % CHARS] + 1.0
+        out = np.full(len(codes) - 1, ASCII_PAIR)
+        at = np.flatnonzero((codes[:-1] | codes[1:]) > 127)
+        first, second = codes[at], codes[at + 1]
+        one, two = _buckets(first, second)
+        n = np.minimum(self.pairs[0][one], self.pairs[1][two]) + 0.1
+        a, b = self.chars[first] + 1.0, self.chars[second] + 1.0
         share = n / self.total * np.maximum(0.05, np.log(n * self.total / (a * b)))
-        s = np.clip(np.log(RARE / share), -1.0, 4.0)
-        plain = (codes[:-1] < 128) & (codes[1:] < 128)
-        return np.where(plain, ASCII_PAIR, s)
+        out[at] = np.clip(np.log(RARE / share), -1.0, 4.0)
+        return out
 
 
 ASCII_PAIR = -0.4
 #: A pair scores zero at this share of the corpus mutual information (in nats).
-RARE = 5e-5
+RARE = 1e-4
 #: Weight of the single character in the probability of a pair.
 SMOOTH = 5.0
 
 
+#: Characters that are worked at once.
+CHUNK = 1 << 18
+
+
+def _joined(lines: list[str]):
+    """Codes of the lines, each between line feeds, some hundred thousand at a time."""
+    part, size = [], 0
+    for line in lines:
+        part.append(line)
+        size += len(line) + 1
+        if size >= CHUNK:
+            yield _codes("\n" + "\n".join(part) + "\n")
+            part, size = [], 0
+    if part:
+        yield _codes("\n" + "\n".join(part) + "\n")
+
+
 def count_pairs(df: DataFrame) -> Pairs:
     """Pair and character counts over all distinct lines: every task fills fixed tables
     and sends their filled buckets, so the result is bounded by the table size. Copies
@@ -148,17 +184,18 @@ def count_pairs(df: DataFrame) -> Pairs:
         import pyarrow as pa
 
         pairs = [np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)]
-        chars = np.zeros(CHARS, np.int64)
+        chars, plain = np.zeros(CHARS, np.int64), np.zeros(1 << 14, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                codes = _codes("\n" + text + "\n")
-                chars += np.bincount((codes % CHARS).astype(np.int64), minlength=CHARS) if len(codes) > 20_000 else 0
-                if len(codes) <= 20_000:
-                    np.add.at(chars, (codes % CHARS).astype(np.int64), 1)
-                for t, b in zip(pairs, _buckets(codes[:-1], codes[1:])):
-                    np.add.at(t, b, 1)
+            for codes in _joined(batch.column(0).to_pylist()):
+                np.add.at(chars, codes.astype(np.int64), 1)
+                a, b = codes[:-1], codes[1:]
+                wide = (a | b) > 127
+                plain += np.bincount((a[~wide] << np.uint64(7) | b[~wide]).astype(np.int64), minlength=1 << 14)
+                for t, at in zip(pairs, _buckets(a[wide], b[wide])):
+                    np.add.at(t, at, 1)
+        every = np.arange(1 << 14, dtype=np.uint64)
+        for t, at in zip(pairs, _buckets(every >> np.uint64(7), every & np.uint64(127))):
+            np.add.at(t, at, plain)
         for kind, t in enumerate((*pairs, chars)):
             at = np.flatnonzero(t)
             for k in range(0, len(at), 50_000):
@@ -182,25 +219,47 @@ def count_pairs(df: DataFrame) -> Pairs:
 DROP = 6.0
 
 
-def segments(scores) -> list[tuple[int, int]]:
-    """Maximum-scoring segments (start, end) of a score sequence, in linear time: a
-    segment grows while its sum stays above zero and within DROP of its maximum, and
-    ends at that maximum."""
+def segments(scores: list[float]) -> list[tuple[int, int, float]]:
+    """Maximum-scoring segments (start, end, sum) of a score sequence: a segment grows
+    while its sum stays above zero and within DROP of its maximum, and ends at that
+    maximum, from where the search goes on."""
     out = []
-    start, end, total, best = -1, 0, 0.0, 0.0
-    for i, s in enumerate(scores):
-        if start < 0:
-            if s > 0:
-                start, end, total, best = i, i + 1, s, s
+    n, i = len(scores), 0
+    while i < n:
+        if scores[i] <= 0:
+            i += 1
+            continue
+        start, end, total, best = i, i + 1, scores[i], scores[i]
+        for k in range(i + 1, n):
+            total += scores[k]
+            if total > best:
+                best, end = total, k + 1
+            elif total <= 0 or best - total > DROP:
+                break
+        out.append((start, end, best))
+        i = end
+    return out
+
+
+#: Least sum of scores of a run, and most of what a run may sum to and be left alone.
+RUN_SCORE = 1.0
+
+
+def runs(line: str, own: list[float]) -> list[tuple[int, int]]:
+    """(start, end) of the improbable runs of a line: its maximum-scoring segments of at
+    least RUN_SCORE, rounded to whole words; such in one word are one run. ``own[k]`` is
+    the score of the pair that ends with character k."""
+    out: list[tuple[int, int]] = []
+    for x, y, score in segments(own):
+        if score < RUN_SCORE:
             continue
-        total += s
-        if total > best:
-            best, end = total, i + 1
-        elif total <= 0 or best - total > DROP:
-            out.append((start, end))
-            start = -1
-    if start >= 0:
-        out.append((start, end))
+        a = line.rfind(" ", 0, max(0, x - 1) + 1) + 1
+        b = line.find(" ", min(y, len(line)) - 1 if y > x + 1 else y)
+        b = len(line) if b < 0 else b
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        elif a < b and not line[a:b].isascii():
+            out.append((a, b))
     return out
 
 
@@ -223,6 +282,67 @@ def _sequences(wrong: str) -> re.Pattern:
     return re.compile(f"(?:{cls(0xC2, 0xDF)}{tail}|{cls(0xE0, 0xEF)}{tail}{{2}}|{cls(0xF0, 0xF4)}{tail}{{3}})+")
 
 
+@lru_cache(1)
+def _sequence_masks() -> tuple[dict[str, int], dict[str, int]]:
+    """For every character the encodings (bits of SINGLE) in which it looks like the first
+    byte of a UTF-8 sequence, and like a later one."""
+    first: dict[str, int] = {}
+    later: dict[str, int] = {}
+    for bit, wrong in enumerate(SINGLE):
+        c = _byte_chars(wrong)
+        for table, part in ((first, c[0xC2:0xF5]), (later, c[0x80:0xC0])):
+            for ch in part:
+                table[ch] = table.get(ch, 0) | 1 << bit
+    return first, later
+
+
+_TWO = re.compile("[^\x00-\x7f]{2,}")
+#: Runs of these letters alone are written so; as bytes of UTF-8 they would be symbols.
+_CYRILLIC = re.compile("[\u0410-\u044f\u0401\u0451\x00-\x7f]*")
+
+
+@lru_cache(1)
+def _start() -> re.Pattern:
+    first, later = _sequence_masks()
+    cls = lambda table: "[" + "".join(map(re.escape, sorted(table))) + "]"
+    return re.compile(cls(first) + cls(later))
+
+
+@lru_cache(1 << 12)
+def readers(run: str) -> list[str]:
+    """Encodings by which the run can be UTF-8 read one byte a character: those in which
+    two neighbours look like the start of a sequence."""
+    if _CYRILLIC.fullmatch(run) or not _start().search(run):
+        return []
+    first, later = _sequence_masks()
+    mask = 0
+    for m in _TWO.finditer(run):
+        part = m[0]
+        for a, b in zip(part, part[1:]):
+            if a in first:
+                mask |= first[a] & later.get(b, 0)
+    return [wrong for bit, wrong in enumerate(SINGLE) if mask >> bit & 1]
+
+
+@lru_cache(1 << 16)
+def _writers(ch: str) -> frozenset[str]:
+    """Encodings that have a character, or that leave open the byte it stands for."""
+    out = set()
+    for wrong in {*SINGLE, *DOUBLE, *(w for w, _ in DENSE + SPARSE)}:
+        try:
+            ch.encode(wrong, "lectern_raw")
+        except UnicodeError:
+            continue
+        out.add(wrong)
+    return frozenset(out)
+
+
+def writers(run: str) -> frozenset[str]:
+    """Encodings that have all characters of a run."""
+    chars = [c for c in set(run) if c > "\x7f"]
+    return frozenset.intersection(*map(_writers, chars)) if chars else frozenset()
+
+
 def _decode_run(run: str, wrong: str) -> str:
     try:
         return run.encode(wrong, "lectern_raw").decode("utf-8")
@@ -249,12 +369,17 @@ _HIGH_RUN = re.compile("[^\x00-\x7f](?:[^\n]*[^\x00-\x7f])?")
 _PART = re.compile("[\u0080-\u024f\u02c6\u02dc\u0400-\u04ff\u0192\u2010-\u2122\u2500-\u25a0!-~]{3,}")
 
 
-def restore(run: str, table: Pairs, left: str = "\n", right: str = "\n", odd: float = 1.0) -> tuple[str, str] | None:
-    """(restored run, mapping) if an inverse mapping makes the run clearly likelier.
-    ``odd`` is the share of improbable pairs: mappings that fit almost any text are
-    tried only in runs that are improbable throughout."""
+#: A restored run and its mapping, or None, and for mappings of single letters that
+#: alone were not sure [(mapping, restored, gain above the cost)].
+Trial = tuple[tuple[str, str] | None, list[tuple[str, str, float]]]
+
+
+def restore(run: str, table: Pairs, left: str = "\n", right: str = "\n", odd: float = 1.0) -> Trial:
+    """The inverse mapping that makes the run clearly likelier. ``odd`` is the share of
+    improbable pairs: mappings that fit almost any text are tried only in runs that are
+    improbable throughout."""
     if run.isascii():
-        return None
+        return None, []
     key = (run, left, right, odd >= 0.5, odd >= 0.3)
     if key in table.known:
         return table.known[key]
@@ -264,11 +389,12 @@ def restore(run: str, table: Pairs, left: str = "\n", right: str = "\n", odd: fl
     return got
 
 
-def _restore(run: str, table: Pairs, left: str, right: str, odd: float) -> tuple[str, str] | None:
+def _restore(run: str, table: Pairs, left: str, right: str, odd: float) -> Trial:
     best: tuple[float, str, str] | None = None
+    weak: list[tuple[str, str, float]] = []
     base: float | None = None
 
-    def offer(out: str | None, mapping: str, need: float) -> None:
+    def offer(out: str | None, mapping: str, need: float, cost: float = 0.0) -> None:
         nonlocal best, base
         if out is None or out == run or _ODD.search(out):
             return
@@ -277,35 +403,55 @@ def _restore(run: str, table: Pairs, left: str, right: str, odd: float) -> tuple
         gain = 9.0 if out.startswith(_MARKED) and out[1:] in run else table.log_likelihood(left + out + right) - base
         if gain > need and (best is None or gain > best[0]):
             best = (gain, out, mapping)
+        elif cost and gain > cost:
+            weak.append((mapping, out, gain - cost))
 
-    for wrong in SINGLE:
-        if not _sequences(wrong).search(run):
-            continue
+    def capitals() -> float:
+        """What the run would gain in small letters."""
+        low = run.lower()
+        return max(0.0, table.log_likelihood(left + low + right) - table.log_likelihood(left + run + right)) if low != run else 0.0
+
+    for wrong in readers(run):
         out = _unread(run, wrong)
-        offer(out, f"{wrong}>utf-8", 2.0)
-        if wrong in TWICE:
-            for again in TWICE:
-                if out != run and _sequences(again).search(out):
-                    offer(_unread(out, again), f"{wrong}>utf-8", 2.0)
+        offer(out, f"{wrong}>utf-8", 2.0, LIKELY)
+        if wrong in TWICE and out != run:
+            for again in set(readers(out)).intersection(TWICE):
+                offer(_unread(out, again), f"{wrong}>utf-8", 2.0, LIKELY)
     high = sum(c > "\x7f" for c in run)
-    if odd >= 0.3 and high >= 3 and _CJK.search(run):
+    able = writers(run) if odd >= 0.3 else frozenset()
+    if able and high >= 3 and _CJK.search(run):
         for wrong in DOUBLE:
-            offer(_invert(run, wrong, "utf-8"), f"{wrong}>utf-8", 6.0)
-    if best is None and odd >= 0.5 and high >= 4 and high >= 0.35 * len("".join(run.split())):
+            if wrong in able:
+                offer(_invert(run, wrong, "utf-8"), f"{wrong}>utf-8", 6.0)
+    if able and best is None and odd >= 0.5 and high >= 4 and high >= 0.35 * len("".join(run.split())):
         for wrong, true in DENSE:
-            offer(_invert(run, wrong, true), f"{wrong}>{true}", 8.0 + 1.2 * high)
-    if best is None and odd >= 0.3 and high < 0.6 * len(run):
+            if wrong in able:
+                out = _invert(run, wrong, true)
+                if out is not None:  # a shorter text is likelier for its length alone, capitals are rare anyway
+                    cost = COST * high + SHORTER * (len(run) - len(out)) + capitals()
+                    offer(out, f"{wrong}>{true}", SURE + cost, cost)
+    if able and best is None and high < 0.6 * len(run):
         for wrong, true in SPARSE:
-            out = _invert(run, wrong, true)
+            out = _invert(run, wrong, true) if wrong in able else None
             if out is not None and not _NO_TEXT.search(out):
-                offer(out, f"{wrong}>{true}", 9.0 + 2.0 * high)
-    return (best[1], best[2]) if best else None
+                offer(out, f"{wrong}>{true}", SURE + 2.0 * high, 2.0 * high)
+    return (best[1], best[2]) if best else None, weak
+
+
+#: What the gains of a mapping must come to, above its cost; the cost of a mapping for
+#: every character outside ASCII, and for every character by which the text gets shorter.
+SURE = 9.0
+COST, SHORTER = 0.1, 2.0
+#: A run that decodes as UTF-8 may lose so much where the same reader was at work in
+#: another run of the text.
+LIKELY = -4.0
 
 
 def lossy(run: str, table: Pairs) -> bool:
     """True if most of a run's sequences are UTF-8 read by a wrong encoding, though
     some bytes no longer fit."""
-    for wrong in ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "mac_roman", "gb18030"):
+    likely = [w for w in readers(run) if w in ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "mac_roman")]
+    for wrong in [*likely, "gb18030"] if _CJK.search(run) else likely:
         try:
             out = run.encode(wrong, "lectern_raw").decode("utf-8", "replace")
         except UnicodeError:
@@ -317,62 +463,143 @@ def lossy(run: str, table: Pairs) -> bool:
     return False
 
 
-def examine(text: str | None, table: Pairs) -> tuple[list[tuple[int, int, str, str]], bool]:
-    """([(start, end, restored, mapping)], characters lost) of a text."""
-    import numpy as np
+def _groups(parts: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Runs that only a space divides, together."""
+    out: list[list[tuple[int, int]]] = []
+    for a, b in parts:
+        if out and a - out[-1][-1][1] <= 1:
+            out[-1].append((a, b))
+        else:
+            out.append([(a, b)])
+    return out
 
-    if not text or text.isascii():
-        return [], False
-    lost = "\ufffd" in text
-    found: list[tuple[int, int, str, str]] = []
-    scores = table.scores(_codes("\n" + text + "\n"))
-    at = 0
-    for line in text.split("\n"):
-        lo, hi = at, at + len(line)
-        at = hi + 1
-        own = scores[lo : hi + 1]
-        if line.isascii() or not (own > 0).any():
-            continue
-        runs = segments(own.tolist())
-        rare, seen = np.concatenate(([0], np.cumsum(own > 0))), np.concatenate(([0], np.cumsum(own != ASCII_PAIR)))
-        share = lambda i, j: float(rare[j + 1] - rare[i]) / max(1.0, float(seen[j + 1] - seen[i]))
-        a, b = runs[0][0], min(len(line), runs[-1][1])  # from the first improbable pair to the last
-        a, b = max(0, a - 1), min(len(line), b + 1)
-        a = line.rfind(" ", 0, a) + 1
-        b = line.find(" ", b) if line.find(" ", b) >= 0 else len(line)
-        if line[a:b].isascii():
-            continue
-        got = restore(line[a:b], table, line[a - 1 : a] or "\n", line[b : b + 1] or "\n", share(a, b))
-        if got:
-            found.append((lo + a, lo + b, *got))
-            continue
-        for x, y in runs:  # parts of the line were read by different encodings
-            y = min(y, len(line))
-            x, y = line.rfind(" ", 0, max(0, x)) + 1, y if y >= len(line) else (line.find(" ", y) if line.find(" ", y) >= 0 else len(line))
-            x = max(x, (found[-1][1] - lo) if found and found[-1][1] > lo else 0)
-            part = line[x:y]
-            if not part or part.isascii():
-                continue
-            got = restore(part, table, line[x - 1 : x] or "\n", line[y : y + 1] or "\n", share(x, y))
-            if got:
-                found.append((lo + x, lo + y, *got))
+
+class Line:
+    """A line with the scores of its pairs: ``own[k]`` is that of the pair that ends with
+    character k. What is found hangs on the line alone, so equal lines are worked once."""
+
+    def __init__(self, text: str, own: list[float], table: Pairs, sums):
+        self.text, self.own, self.table, self.sums = text, own, table, sums
+        self.found: list[tuple[int, int, str, str]] = []
+        self.weak: list[tuple[str, int, int, str, float]] = []
+        self.lost = False
+
+    def share(self, a: int, b: int) -> float:
+        """Share of improbable pairs among those of a stretch that are not within ASCII."""
+        rare, seen, at = self.sums
+        return float(rare[at + b + 1] - rare[at + a]) / max(1.0, float(seen[at + b + 1] - seen[at + a]))
+
+    def repair(self, a: int, b: int) -> bool:
+        text = self.text
+        trial, more = restore(text[a:b], self.table, text[a - 1 : a] or "\n", text[b : b + 1] or "\n", self.share(a, b))
+        if trial:
+            self.found.append((a, b, *trial))
+        else:
+            self.weak += [(mapping, a, b, out, gain) for mapping, out, gain in more]
+        return bool(trial)
+
+    def work(self) -> Line:
+        for group in _groups(runs(self.text, self.own)):
+            if self.repair(group[0][0], group[-1][1]):
                 continue
-            for m in _PART.finditer(part):
-                if len(m[0]) < len(part) and not m[0].isascii():
-                    got = restore(m[0], table, part[m.start() - 1 : m.start()] or "\n", part[m.end() : m.end() + 1] or "\n", share(x + m.start(), x + m.end()))
-                    if got:
-                        found.append((lo + x + m.start(), lo + x + m.end(), *got))
-            if not lost and (not found or found[-1][1] <= lo + x) and share(x, y) >= 0.5:
-                lost = lossy(part, table)
-    return found, lost
+            for a, b in group:  # words that were read by different encodings
+                if len(group) > 1 and self.repair(a, b):
+                    continue
+                word = self.text[a:b]
+                parts = [(a + m.start(), a + m.end()) for m in _PART.finditer(word) if len(m[0]) < b - a and not m[0].isascii()]
+                if not any([self.repair(x, y) for x, y in parts]) and not self.lost and self.share(a, b) >= 0.5:
+                    self.lost = lossy(word, self.table)
+        self.own, self.sums = [], None  # only what was found is kept
+        return self
+
+
+#: Lines whose result is remembered.
+HELD_LINES = 20_000
+
+
+def _worked(texts: list[str], table: Pairs):
+    """(number of the text, start of the line in it, Line) of all lines that may hold an
+    improbable run. All texts are scored at once."""
+    import numpy as np
+
+    codes = _codes("\n" + "\n".join(texts) + "\n")
+    scores = table.scores(codes)
+    mass = np.concatenate(([0.0], np.cumsum(np.maximum(scores, 0.0))))
+    rare, seen = np.concatenate(([0], np.cumsum(scores > 0))), np.concatenate(([0], np.cumsum(scores != ASCII_PAIR)))
+    breaks = np.flatnonzero(codes == 10)
+    first, last = breaks[:-1], breaks[1:]  # a line lies between two breaks; its pairs are first .. last - 1
+    begins = np.cumsum([1] + [len(t) + 1 for t in texts])[:-1]
+    heavy = np.flatnonzero(mass[last] - mass[first] >= RUN_SCORE)
+    owner = np.searchsorted(begins, first[heavy] + 1, side="right") - 1
+    for x, y, k in zip(first[heavy].tolist(), last[heavy].tolist(), owner.tolist()):
+        start = x + 1 - int(begins[k])
+        text = texts[k][start : start + y - x - 1]
+        line = table.lines.get(text)
+        if line is None:
+            if len(table.lines) >= HELD_LINES:
+                table.lines.clear()
+            line = table.lines[text] = Line(text, scores[x:y].tolist(), table, (rare, seen, x)).work()
+        yield k, start, line
+
+
+def examine_all(texts: list[str | None], table: Pairs) -> list[tuple[list[tuple[int, int, str, str]], bool]]:
+    """([(start, end, restored, mapping)], characters lost) of every text."""
+    out: list = [([], False)] * len(texts)
+    part, size = [], 0
+    for k, text in enumerate(texts):
+        if text and not text.isascii():
+            part.append(k)
+            size += len(text)
+        if part and (size >= CHUNK or k == len(texts) - 1):
+            for j, found in zip(part, _examined([texts[j] for j in part], table)):
+                out[j] = found
+            part, size = [], 0
+    return out
+
+
+def _examined(texts: list[str], table: Pairs) -> list[tuple[list, bool]]:
+    found: list[list] = [[] for _ in texts]
+    weak: list[dict[str, list]] = [{} for _ in texts]
+    lost = ["\ufffd" in t for t in texts]
+    for k, at, line in _worked(texts, table):
+        found[k] += [(at + a, at + b, out, mapping) for a, b, out, mapping in line.found]
+        for mapping, a, b, out, gain in line.weak:
+            weak[k].setdefault(mapping, []).append((at + a, at + b, out, gain))
+        lost[k] = lost[k] or line.lost
+    return [(sorted(f + _together(w, f)), x) for f, w, x in zip(found, weak, lost)]
+
+
+def examine(text: str | None, table: Pairs) -> tuple[list[tuple[int, int, str, str]], bool]:
+    return examine_all([text], table)[0]
+
+
+def _together(weak: dict[str, list], found: list) -> list[tuple[int, int, str, str]]:
+    """Runs that alone were not sure: those of a mapping that surely was at work in the
+    text, and those of the mapping whose gains together make it sure. Of runs within each
+    other the first counts."""
+    sure = {mapping for *_, mapping in found}
+    best, extra = SURE, []
+    out: list[tuple[int, int, str, str]] = []
+    free = lambda a, b, kept: not any(a < y and x < b for x, y, *_ in kept)
+    for mapping, runs_ in weak.items():
+        taken: list[tuple[int, int, str, str]] = []
+        total = 0.0
+        for a, b, new, gain in sorted(runs_, key=lambda r: (r[0], -r[1])):
+            if free(a, b, found) and free(a, b, taken):
+                taken.append((a, b, new, mapping))
+                total += gain
+        if mapping in sure:
+            out += [x for x in taken if free(x[0], x[1], out)]
+        elif total > best and not mapping.endswith(">utf-8"):
+            best, extra = total, taken
+    return out + [x for x in extra if free(x[0], x[1], out)]
 
 
 def _kernel_with(shared):
     def kernel(columns: dict) -> dict:
         out = {n: [] for n in ("doc_id", "runs", "mapping", "lost", "restored")}
         table = shared.value
-        for i, text in zip(columns["doc_id"], columns["text"]):
-            found, lost = examine(text, table)
+        for i, text, (found, lost) in zip(columns["doc_id"], columns["text"], examine_all(columns["text"], table)):
             if not found and not lost:
                 continue
             parts, at = [], 0
