@@ -1,10 +1,12 @@
 """Language labels for documents and for segments of mixed documents.
 
-A linear-chain conditional random field labels the words of a text. A word's
-potentials come from its letters (whole word, affixes, n-grams, script), fitted as
-a softmax regression on a bounded sample of labelled documents; the potentials of
-a change of language, at a sentence start and inside a sentence, are learned from
-unlabelled texts by expectation maximisation. Words are labelled by
+A linear-chain conditional random field labels the words of a text. The potentials of
+a word come from its letters (whole word, affixes, n-grams, script) and from the
+lexicons (languages whose labelled documents use it more than rarely), those of a step
+from the two languages that it joins, at a sentence start and inside a sentence. All
+weights are fitted jointly, by gradients of the chain's likelihood, on a bounded sample
+of labelled documents, parts of which are spliced so that languages change at known
+places, at sentence starts and inside sentences. Words are labelled by
 forward-backward, so every word and segment has a probability.
 
 Scripts without spaces are cut into short units. Speaker labels, sound tags, hosts,
@@ -13,7 +15,7 @@ codes and numbers are no words; look-alike letters are read as what they look li
 Defined results
 ---------------
 * null or blank text gives no row; a text without words none either;
-* a text of one language is one segment; segments cover whole sentences;
+* a text of one language is one segment; segments are runs of words of one language;
 * of equal probabilities the language first in ``LANGUAGES`` wins;
 * repeated rows are labelled one by one; extra columns are ignored.
 """
@@ -24,6 +26,7 @@ import re
 import zlib
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lectern.llm.lookalike import one_form
 from lectern.llm.sample import bounded
@@ -50,8 +53,13 @@ NAMES = {
 _LOCALE = {n: code for code, names in NAMES.items() for n in names.split()}
 
 BITS = 16
-#: Bounds of the samples: labelled documents, and unlabelled texts for transitions.
-SAMPLE_DOCUMENTS, SAMPLE_TEXTS, SAMPLE_WORDS = 900, 900, 400_000
+#: Bounds of the labelled sample: documents, the characters they may have, words of all.
+SAMPLE_DOCUMENTS, SAMPLE_CHARS, SAMPLE_WORDS = 900, (40, 4000), 400_000
+#: Uses in a language from which on a word is in its lexicon.
+LEXICON_USES = 3
+#: Words of a training sequence, and how often languages change in one: share of
+#: sentence starts and of words inside sentences.
+SEQUENCE, SPLICED = 48, (0.02, 0.0005)
 MIN_LETTERS = 20
 
 
@@ -101,20 +109,38 @@ def features(word: str) -> list[int]:
     return sorted({zlib.crc32(f.encode()) & mask for f in found})
 
 
+def lexicon_features(languages: tuple[int, ...]) -> list[int]:
+    mask = (1 << BITS) - 1
+    return [zlib.crc32(f"l{y}".encode()) & mask for y in languages]
+
+
+#: Part of every word's potential that is the same for all languages.
+FLOOR = 0.02
+
+
 class Model:
-    """Weights and a cache of word potentials."""
+    """Weights of words and steps, lexicons, and a cache of word potentials. ``steps`` are
+    two tables (sentence start, inside) of potentials from one language to the next."""
+
+    def __init__(self, weights, steps=None, lexicon: dict[str, tuple[int, ...]] | None = None):
+        import numpy as np
 
-    def __init__(self, weights, switch=(0.05, 0.002)):
-        self.weights, self.switch = weights, tuple(switch)
+        n = len(LANGUAGES)
+        self.weights, self.lexicon = weights, lexicon or {}
+        self.steps = np.stack([np.full((n, n), s / (n - 1)) + np.eye(n) * (1 - s - s / (n - 1)) for s in SPLICED]) if steps is None else steps
         self.cache: dict[str, int] = {}
         self.rows = None
         self.used = 0
 
     def __getstate__(self):
-        return {"weights": self.weights, "switch": self.switch}
+        return {"weights": self.weights, "steps": self.steps, "lexicon": self.lexicon}
 
     def __setstate__(self, state):
-        self.__init__(state["weights"], state["switch"])
+        self.__init__(state["weights"], state["steps"], state["lexicon"])
+
+    def features(self, word: str) -> list[int]:
+        known = self.lexicon.get(word)
+        return features(word) + lexicon_features(known) if known else features(word)
 
     def ids(self, words: list[str]) -> list[int]:
         import numpy as np
@@ -128,7 +154,7 @@ class Model:
                 k = cache[w] = self.used
                 if k >= len(self.rows):
                     self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                z = self.weights[features(w)].sum(0)
+                z = self.weights[self.features(w)].sum(0)
                 z = z - z.max()
                 p = np.exp(z)
                 self.rows[k] = p / p.sum()
@@ -136,13 +162,11 @@ class Model:
             out.append(k)
         return out
 
-    def marginals(self, texts: list[list[tuple]]):
-        """Per text an array (words, languages) of marginal probabilities, and the
-        expected changes [(changes, chances)] at sentence starts and inside."""
+    def marginals(self, texts: list[list[tuple]]) -> list:
+        """Per text an array (words, languages) of marginal probabilities."""
         import numpy as np
 
         out: list = [None] * len(texts)
-        stats = np.zeros((2, 2))
         order = sorted((k for k in range(len(texts)) if texts[k]), key=lambda k: len(texts[k]))
         n = len(LANGUAGES)
         at = 0
@@ -152,52 +176,81 @@ class Model:
             part = order[at : at + take]
             at += take
             width = len(texts[part[-1]])
-            emit = np.ones((len(part), width, n), np.float64)
-            swap = np.zeros((len(part), width), np.float64)
-            live = np.zeros((len(part), width), bool)
+            emit = np.full((len(part), width, n), 1.0 / n, np.float64)
+            kind = np.ones((len(part), width), np.int8)
             for r, k in enumerate(part):
                 ids = self.ids([u[2] for u in texts[k]])
                 emit[r, : len(ids)] = self.rows[ids]
-                swap[r, : len(ids)] = [self.switch[0] if u[3] else self.switch[1] for u in texts[k]]
-                live[r, : len(ids)] = True
-            emit = emit * 0.98 + 0.02 / n
-            fwd = np.empty_like(emit)
-            bwd = np.ones_like(emit)
-            fwd[:, 0] = emit[:, 0] / emit[:, 0].sum(1, keepdims=True)
-            for t in range(1, width):
-                s = swap[:, t, None]
-                step = fwd[:, t - 1] * (1 - s) + (1 - fwd[:, t - 1]) * (s / (n - 1))
-                step *= emit[:, t]
-                fwd[:, t] = step / step.sum(1, keepdims=True)
-            for t in range(width - 2, -1, -1):
-                s = swap[:, t + 1, None]
-                v = bwd[:, t + 1] * emit[:, t + 1]
-                v = v * (1 - s) + (v.sum(1, keepdims=True) - v) * (s / (n - 1))
-                bwd[:, t] = v / v.sum(1, keepdims=True)
+                kind[r, : len(ids)] = [0 if u[3] else 1 for u in texts[k]]
+            fwd, bwd = passes(emit * (1 - FLOOR) + FLOOR / n, kind, self.steps)
             post = fwd * bwd
             post /= post.sum(2, keepdims=True)
-            if width > 1:
-                v = bwd[:, 1:] * emit[:, 1:]
-                s = swap[:, 1:, None]
-                same = (fwd[:, :-1] * v * (1 - s)).sum(2)
-                every = same + ((fwd[:, :-1].sum(2) * v.sum(2)) - (fwd[:, :-1] * v).sum(2)) * (s[:, :, 0] / (n - 1))
-                moved = 1 - same / every
-                ok = live[:, 1:]
-                fresh = np.zeros_like(ok)
-                for r, k in enumerate(part):
-                    fresh[r, : len(texts[k]) - 1] = [u[3] for u in texts[k][1:]]
-                for kind, mask in ((0, ok & fresh), (1, ok & ~fresh)):
-                    stats[kind] += (moved[mask].sum(), mask.sum())
             for r, k in enumerate(part):
                 out[k] = post[r, : len(texts[k])]
-        return out, stats
+        return out
 
 
-def fit(labelled: list[tuple[str, str]], unlabelled: list[str], epochs: int = 12) -> Model:
-    """Potentials from (text, language) pairs, transitions from texts alone."""
+def passes(emit, kind, steps):
+    """Forward and backward messages (rows, words, languages), each scaled to sum to one,
+    of a batch of chains padded at the end; ``kind`` is 0 at sentence starts."""
+    import numpy as np
+
+    fwd, bwd = np.empty_like(emit), np.ones_like(emit)
+    fwd[:, 0] = emit[:, 0] / emit[:, 0].sum(1, keepdims=True)
+    back = steps.transpose(0, 2, 1)
+    for t in range(1, emit.shape[1]):
+        start = kind[:, t, None] == 0
+        step = np.where(start, fwd[:, t - 1] @ steps[0], fwd[:, t - 1] @ steps[1]) if start.any() else fwd[:, t - 1] @ steps[1]
+        step *= emit[:, t]
+        fwd[:, t] = step / step.sum(1, keepdims=True)
+    for t in range(emit.shape[1] - 2, -1, -1):
+        start = kind[:, t + 1, None] == 0
+        v = bwd[:, t + 1] * emit[:, t + 1]
+        v = np.where(start, v @ back[0], v @ back[1]) if start.any() else v @ back[1]
+        bwd[:, t] = v / v.sum(1, keepdims=True)
+    return fwd, bwd
+
+
+def spliced(sentences: list[tuple[int, list[str]]], seed: int = 11) -> list[list[tuple[str, int, bool]]]:
+    """Training sequences of (word, language, starts a sentence) from the sentences of
+    labelled texts in order. At a share of sentence starts, and of places inside a
+    sentence, the text goes on in a sentence of another language, drawn at random."""
+    import random
+
+    rng = random.Random(seed)
+    by: dict[int, list[list[str]]] = {}
+    for y, words in sentences:
+        by.setdefault(y, []).append(words)
+    others = {y: [x for x in by if x != y] for y in by}
+    out: list[list[tuple[str, int, bool]]] = [[]]
+
+    def add(word: str, y: int, fresh: bool) -> None:
+        if len(out[-1]) >= SEQUENCE:
+            out.append([])
+        out[-1].append((word, y, fresh))
+
+    for y, words in sentences:
+        if others[y] and rng.random() < SPLICED[0]:
+            z = rng.choice(others[y])
+            for k, w in enumerate(rng.choice(by[z])[:SEQUENCE]):
+                add(w, z, k == 0)
+        at = rng.randrange(1, len(words)) if len(words) > 1 and rng.random() < SPLICED[1] * len(words) else 0
+        for k, w in enumerate(words):
+            if at and k == at and others[y]:
+                z = rng.choice(others[y])
+                for x in rng.choice(by[z])[:SEQUENCE]:
+                    add(x, z, False)
+            add(w, y, k == 0)
+    return [s for s in out if s]
+
+
+def fit(labelled: list[tuple[str, str]], epochs: int = 12, joint: int = 3) -> Model:
+    """Fit on (text, language) pairs: words alone first, for a start, then words and steps
+    together on spliced sequences."""
     import numpy as np
 
     counts: dict[str, dict[int, int]] = {}
+    sentences: list[tuple[int, list[str]]] = []
     room = SAMPLE_WORDS
     for text, lang in labelled:
         if lang not in LANGUAGES or room <= 0:
@@ -205,70 +258,130 @@ def fit(labelled: list[tuple[str, str]], unlabelled: list[str], epochs: int = 12
         y = LANGUAGES.index(lang)
         got = units(one_form(text))
         room -= len(got)
-        for _, _, w, _ in got:
+        for _, _, w, fresh in got:
             own = counts.setdefault(w, {})
             own[y] = own.get(y, 0) + 1
-    weights = np.zeros((1 << BITS, len(LANGUAGES)), np.float32)
-    if not counts:
-        return Model(weights)
-    total = np.ones(len(LANGUAGES))
-    for own in counts.values():
+            if fresh or not sentences or sentences[-1][0] != y:
+                sentences.append((y, []))
+            sentences[-1][1].append(w)
+    lexicon = {w: tuple(sorted(y for y, c in own.items() if c >= LEXICON_USES)) for w, own in counts.items()}
+    model = Model(np.zeros((1 << BITS, len(LANGUAGES)), np.float32), None, {w: ys for w, ys in lexicon.items() if ys})
+    if counts:
+        words = list(counts)
+        place = {w: k for k, w in enumerate(words)}
+        found = [model.features(w) for w in words]
+        width = max(map(len, found))
+        grid = np.zeros((len(words), width), np.int32)
+        mask = np.zeros((len(words), width, 1), np.float32)
+        for k, r in enumerate(found):
+            grid[k, : len(r)] = r
+            mask[k, : len(r)] = 1
+        grad2 = np.full(model.weights.shape, 1e-6, np.float32)
+        _fit_words(model, [counts[w] for w in words], grid, mask, grad2, epochs)
+        _fit_chain(model, [[(place[w], y, f) for w, y, f in s] for s in spliced(sentences)], grid, mask, grad2, joint)
+    return model
+
+
+def _descend(weights, grad2, grid, mask, d, rate: float = 0.3) -> None:
+    """One AdaGrad step: ``d`` are the gradients of the words' sums."""
+    import numpy as np
+
+    n = weights.shape[1]
+    keys, place = np.unique(grid, return_inverse=True)
+    place = place.reshape(-1)
+    live = mask.reshape(-1) > 0
+    step = np.repeat(d, grid.shape[1], axis=0)[live]
+    g = np.empty((len(keys), n), np.float32)
+    for y in range(n):
+        g[:, y] = np.bincount(place[live], weights=step[:, y], minlength=len(keys))
+    grad2[keys] += g * g
+    weights[keys] -= rate * g / np.sqrt(grad2[keys]) + 1e-5 * weights[keys]
+
+
+def _fit_words(model: Model, counts: list[dict[int, int]], grid, mask, grad2, epochs: int) -> None:
+    """Softmax regression word by word; languages count alike, however many texts they
+    have, and words by the logarithm of their uses."""
+    import numpy as np
+
+    n = len(LANGUAGES)
+    total = np.ones(n)
+    for own in counts:
         for y, c in own.items():
             total[y] += c
-    rows, target, scale = [], [], []
-    for w, own in counts.items():
-        p = np.zeros(len(LANGUAGES))
+    target = np.full((len(counts), n), 1e-7)
+    for k, own in enumerate(counts):
         for y, c in own.items():
-            p[y] = c / total[y]  # languages count alike, however many texts they have
-        rows.append(features(w))
-        target.append((p + 1e-7) / (p + 1e-7).sum())
-        scale.append(1 + np.log1p(sum(own.values())))
-    width = max(map(len, rows))
-    grid = np.zeros((len(rows), width), np.int32)
-    mask = np.zeros((len(rows), width, 1), np.float32)
-    for k, r in enumerate(rows):
-        grid[k, : len(r)] = r
-        mask[k, : len(r)] = 1
-    target, scale = np.asarray(target, np.float32), np.asarray(scale, np.float32)
-    grad2 = np.full(weights.shape, 1e-6, np.float32)
+            target[k, y] += c / total[y]
+    target = (target / target.sum(1, keepdims=True)).astype(np.float32)
+    scale = np.array([1 + np.log1p(sum(own.values())) for own in counts], np.float32)
     rng = np.random.default_rng(7)
     for _ in range(epochs):
-        for pick in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 256)):
-            z = (weights[grid[pick]] * mask[pick]).sum(1)
+        for pick in np.array_split(rng.permutation(len(counts)), max(1, len(counts) // 256)):
+            z = (model.weights[grid[pick]] * mask[pick]).sum(1)
             z = np.exp(z - z.max(1, keepdims=True))
             d = (z / z.sum(1, keepdims=True) - target[pick]) * scale[pick, None]
-            step = np.broadcast_to(d[:, None, :], (len(pick), width, len(LANGUAGES))) * mask[pick]
-            keys, place = np.unique(grid[pick], return_inverse=True)
-            g = np.zeros((len(keys), len(LANGUAGES)), np.float32)
-            np.add.at(g, place.reshape(-1), step.reshape(-1, len(LANGUAGES)))
-            grad2[keys] += g * g
-            weights[keys] -= 0.3 * g / np.sqrt(grad2[keys]) + 1e-5 * weights[keys]
-    model = Model(weights)
-    seqs = [units(one_form(t)) for t in unlabelled]
-    for _ in range(4):
-        _, stats = model.marginals(seqs)
-        rate = (stats[:, 0] + (0.5, 0.02)) / (stats[:, 1] + 20)
-        model.switch = (float(min(0.2, max(1e-3, rate[0]))), float(min(0.05, max(1e-4, rate[1]))))
-    return model
+            _descend(model.weights, grad2, grid[pick], mask[pick], d)
 
 
-def train(documents: DataFrame, texts: DataFrame) -> Model:
-    """Fit on bounded samples: ``documents`` (text, lang), ``texts`` (text). The
-    samples are picked by the hash of the text, so they do not depend on order."""
-    known = documents.filter("lang IS NOT NULL AND text IS NOT NULL AND length(text) BETWEEN 40 AND 4000")
-    picked = bounded(known, "text", SAMPLE_DOCUMENTS, "lang", "text")
-    loose = bounded(texts.filter("text IS NOT NULL AND length(text) BETWEEN 40 AND 4000"), "text", SAMPLE_TEXTS, "text")
-    return fit([(r.text, r.lang) for r in picked], [r.text for r in loose])
-
+def _fit_chain(model: Model, sequences: list[list[tuple[int, int, bool]]], grid, mask, grad2, epochs: int) -> None:
+    """Gradient steps of the chain's conditional likelihood, over words and steps at once.
+    A batch's gradient of a word is the sum over its uses of marginals less labels; that
+    of a step the expected uses less those that are there."""
+    import numpy as np
 
-def _sentences(text: str, words: list[tuple]) -> list[list[int]]:
-    """Word indexes by sentence."""
-    out: list[list[int]] = []
-    for k, u in enumerate(words):
-        if u[3] or not out:
-            out.append([])
-        out[-1].append(k)
-    return out
+    n = len(LANGUAGES)
+    log_steps = np.log(model.steps)
+    step2 = np.full(log_steps.shape, 1e-2)
+    rng = np.random.default_rng(5)
+    for _ in range(epochs):
+        for pick in np.array_split(rng.permutation(len(sequences)), max(1, len(sequences) // 128)):
+            batch = sorted((sequences[k] for k in pick), key=len)
+            wide = len(batch[-1])
+            word, label = np.zeros((len(batch), wide), np.int64), np.zeros((len(batch), wide), np.int64)
+            kind, live = np.ones((len(batch), wide), np.int8), np.zeros((len(batch), wide), bool)
+            for r, s in enumerate(batch):
+                m = len(s)
+                word[r, :m], label[r, :m], live[r, :m] = [x[0] for x in s], [x[1] for x in s], True
+                kind[r, :m] = [0 if x[2] else 1 for x in s]
+            used, place = np.unique(word[live], return_inverse=True)
+            z = (model.weights[grid[used]] * mask[used]).sum(1)
+            p = np.exp(z - z.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            floor = p * (1 - FLOOR) + FLOOR / n
+            emit = np.full((len(batch), wide, n), 1.0 / n)
+            emit[live] = floor[place]
+            steps = np.exp(log_steps)
+            fwd, bwd = passes(emit, kind, steps)
+            post = fwd * bwd
+            post /= post.sum(2, keepdims=True)
+            error = post[live]
+            error[np.arange(len(place)), label[live]] -= 1
+            by_word = np.stack([np.bincount(place, weights=error[:, y], minlength=len(used)) for y in range(n)], 1)
+            h = by_word * (1 - FLOOR) * p / floor
+            uses = np.bincount(place, minlength=len(used))[:, None]
+            d = (h - p * h.sum(1, keepdims=True)) * ((1 + np.log1p(uses)) / uses)  # common words do not drown the others
+            _descend(model.weights, grad2, grid[used], mask[used], d.astype(np.float32), 0.1)
+            after, ok = bwd[:, 1:] * emit[:, 1:], live[:, 1:]
+            for k in (0, 1):
+                at = ok & (kind[:, 1:] == k)
+                a, b = fwd[:, :-1][at], after[at]
+                joint = a[:, :, None] * steps[k][None] * b[:, None, :]
+                joint /= joint.sum((1, 2), keepdims=True)
+                g = joint.sum(0)
+                np.subtract.at(g, (label[:, :-1][at], label[:, 1:][at]), 1)
+                step2[k] += g * g
+                log_steps[k] -= 0.05 * g / np.sqrt(step2[k])
+    steps = np.exp(log_steps)
+    model.steps = steps / steps.sum(2, keepdims=True)
+    model.rows = None
+
+
+def train(documents: DataFrame) -> Model:
+    """Fit on a bounded sample of ``documents`` (text, lang) with a label, picked by the
+    hash of the text, so it does not depend on order."""
+    low, high = SAMPLE_CHARS
+    known = documents.filter(F.col("lang").isNotNull() & F.length("text").between(low, high))
+    return fit([(r.text, r.lang) for r in bounded(known, "text", SAMPLE_DOCUMENTS, "lang", "text")])
 
 
 def segments(text: str, words: list[tuple], post) -> list[tuple[int, int, str, float, int]]:
@@ -317,7 +430,7 @@ def label_batch(model: Model, texts: list[str]) -> list[list[tuple]]:
     """Segments of every text of a batch."""
     clean = [one_form(t) if t else "" for t in texts]
     words = [units(t) for t in clean]
-    post, _ = model.marginals(words)
+    post = model.marginals(words)
     return [segments(t, w, p) for t, w, p in zip(clean, words, post)]
 
 

@@ -97,10 +97,7 @@ def p5_turns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _languages(spark: SparkSession, folder: str) -> langid.Model:
-    return langid.train(
-        table(spark, folder, "documents").select("text", "lang"),
-        table(spark, folder, "payloads").select(F.col("source_text").alias("text")),
-    )
+    return langid.train(table(spark, folder, "documents").select("text", "lang"))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,7 +15,7 @@ def split():
 
 @pytest.fixture(scope="module")
 def model(split):
-    return K.fit(split[0], [t for t, _ in split[1]])
+    return K.fit(split[0])
 
 
 def test_held_out(model, split):
@@ -38,22 +38,56 @@ def test_marginals_by_brute_force():
 
     import numpy as np
 
-    model = K.Model(np.random.default_rng(3).normal(size=(1 << K.BITS, len(K.LANGUAGES))).astype("float32"), (0.2, 0.05))
-    words = [(0, 1, "ab", True), (2, 3, "cd", False), (4, 5, "ef", True)]
-    (got,), _ = model.marginals([words])
+    rng = np.random.default_rng(3)
     n = len(K.LANGUAGES)
-    emit = model.rows[model.ids([w[2] for w in words])] * 0.98 + 0.02 / n
+    model = K.Model(rng.normal(size=(1 << K.BITS, n)).astype("float32"), rng.random((2, n, n)) + 0.01, {"cd": (0, 3)})
+    words = [(0, 1, "ab", True), (2, 3, "cd", False), (4, 5, "ef", True)]
+    (got,) = model.marginals([words])
+    emit = model.rows[model.ids([w[2] for w in words])] * (1 - K.FLOOR) + K.FLOOR / n
     want = np.zeros((3, n))
     for ys in itertools.product(range(n), repeat=3):
         p = emit[0, ys[0]]
         for k in (1, 2):
-            s = model.switch[0] if words[k][3] else model.switch[1]
-            p *= emit[k, ys[k]] * (1 - s if ys[k] == ys[k - 1] else s / (n - 1))
+            p *= emit[k, ys[k]] * model.steps[0 if words[k][3] else 1][ys[k - 1], ys[k]]
         for k in range(3):
             want[k, ys[k]] += p
     assert np.allclose(got, want / want.sum(1, keepdims=True), atol=1e-6)
 
 
+def test_segments_of_spliced_texts(model, split):
+    """Words of held-out texts in two languages: nine in ten get their own language."""
+    rng = random.Random(4)
+    known = {t for t, _ in split[0]}
+    rows = [(t.split("\n")[0], y) for t, y in split[1] if t not in known and not any(c in t for c in "ÃÂ�¤¥")]
+    rows = [x for x in rows if 30 < len(x[0]) < 300]
+    right = total = found = pairs = 0
+    for _ in range(200):
+        (a, x), (b, y) = rng.sample(rows, 2)
+        if x == y:
+            continue
+        (got,) = K.label_batch(model, [a + "\n" + b])
+        pairs += 1
+        found += {x, y} == {z for z, _ in K.text_languages(got)}
+        for lo, hi, z, _, _ in got:
+            for c, want in ((max(0, min(hi, len(a)) - lo), x), (max(0, hi - max(lo, len(a) + 1)), y)):
+                total, right = total + c, right + c * (z == want)
+    assert pairs > 100 and right / total > 0.95 and found / pairs > 0.9
+
+
+def test_steps_are_learned(model):
+    """Staying is likelier inside a sentence than at its start, and steps differ."""
+    import numpy as np
+
+    stay = [np.diag(s).mean() for s in model.steps]
+    assert 0.5 < stay[0] < stay[1] <= 1 and np.unique(model.steps.round(9)).size > 50
+
+
+def test_splicing_keeps_labels():
+    sentences = [(0, ["a"] * 9)] * 300 + [(1, ["b"] * 9)] * 300
+    got = [x for s in K.spliced(sentences) for x in s]
+    assert all((w == "a") == (y == 0) for w, y, _ in got) and len(got) >= 5400 and max(map(len, K.spliced(sentences))) <= K.SEQUENCE
+
+
 def test_locales():
     cases = {"en-IN": "en", "English": "en", "eng": "en", "cs_CZ": "cs", "zh-cn": "zh", "czech": "cs", "??": None, "zxx": None, "": None, None: None, "pt-BR": None}
     assert {k: K.locale_language(k) for k in cases} == cases
@@ -64,4 +98,4 @@ def test_frame(spark, model):
     df = spark.createDataFrame(rows, "payload_id bigint, source_text string, locale string, lang int")
     assert sorted(tuple(r)[:2] for r in K.mislabelled(df, model).collect()) == [(1, "en"), (6, "en")]
     assert {r.payload_id for r in K.label(df, model).collect()} >= {1, 5, 6} and K.mislabelled(df.limit(0), model).count() == 0
-    assert K.fit([], []).switch
+    assert len(K.fit([]).steps) == 2
