@@ -12,6 +12,9 @@ Defined results
 * speech before the first label is a turn of ``UNK``;
 * every label opens a turn, also when the speaker stays; a turn without words
   (time stamps, fillers, sounds, emoji only) is dropped and not numbered;
+* a timed segment that starts within ROLLING seconds of the last one of its speaker, or
+  before that one ends, and says nothing but its end, is a rolling caption and no turn;
+  said again later, or without times, it is speech;
 * equal start times keep the order of the text; repeated rows are read one by one;
   extra columns are ignored.
 """
@@ -178,20 +181,39 @@ def turns(text: str | None, pause: float | None = None) -> list[tuple[int, str,
     if read is None:
         return []
     out: list[tuple[int, str, str, float | None]] = []
-    for at, _, who, _, body in sweep(read[0]):
+    shown: float | None = None  # start and end of the last segment, turn or not
+    until: float | None = None
+    for at, end, who, _, body in sweep(read[0]):
         for piece, when in split_pauses(body, at, pause):
             speech = bare(piece)
             if not _SPEECH.search(speech):
                 continue
             if out and out[-1][1] == who:
                 n = overlap(out[-1][2], speech)
-                if n == len(speech):
-                    n = 0  # a repeated sentence is speech, not a rolling caption
+                again = repeats(shown, until, when)
+                if n == len(speech) and again:
+                    shown, until = when, end
+                    continue  # a caption that only shows what the last one showed
+                # a whole sentence said again is speech, and so is what comes again later
+                n = 0 if n == len(speech) or again is False else n
                 speech = speech[n:].lstrip() if n else speech
             out.append((len(out) + 1, who, speech, when))
+            shown, until = when, end
     return out
 
 
+#: Seconds within which a caption that repeats the last one is the same caption rolling on.
+ROLLING = 3.0
+
+
+def repeats(last: float | None, until: float | None, now: float | None) -> bool | None:
+    """True if a segment starts while the last one is still shown, False if later, None
+    where there are no times."""
+    if last is None or now is None:
+        return None
+    return now - last <= ROLLING or (until is not None and now < until)
+
+
 def split_pauses(body: str, at: float | None, pause: float | None):
     """Split speech under one label where the time stamps inside it leave a gap above
     the calibrated pause. Without a calibration nothing is split."""

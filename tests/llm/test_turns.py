@@ -51,3 +51,22 @@ def test_frame(spark):
     df = spark.createDataFrame(rows, "payload_id bigint, source_text string, speaker int")
     assert sorted(r.payload_id or 0 for r in K.speaker_turns(df).collect()) == [0, 1, 4, 5]
     assert K.speaker_turns(df.limit(0)).count() == 0 and K.calibrated_pause(df) is None
+
+
+def test_rolling_captions():
+    """A caption that shows the end of the last one again is no turn, in time order; said
+    again later, by another speaker or without times it is one."""
+    said = lambda text: [t[1:3] for t in K.turns(text)]
+    roll = "[00:00:01] [A1]: we go to the market [00:00:03] [A1]: to the market [00:00:05] [A1]: to the market and buy bread"
+    assert said(roll) == [("SPK1", "we go to the market"), ("SPK1", "and buy bread")]
+    shuffled = "[00:00:05] [A1]: to the market and buy bread [00:00:01] [A1]: we go to the market [00:00:03] [A1]: to the market"
+    assert said(shuffled) == said(roll)
+    assert len(said("[00:00:01] [A1]: that was it [00:01:01] [A1]: that was it")) == 2 == len(said("[A1]: that was it [A1]: that was it"))
+    assert said("[00:00:01] [A1]: that was it [00:01:01] [A1]: that was it indeed")[1] == ("SPK1", "that was it indeed")
+    assert len(said("[00:00:01] [A1]: that was it [00:00:02] [B1]: that was it")) == 2
+    assert len(said("00:00:01.000 --> 00:00:09.000 A1: that was it 00:00:06.000 --> 00:00:12.000 A1: that was it")) == 1
+
+
+def test_pauses():
+    text = "[00:00:01] [A1]: one two [00:00:02] three four [00:01:00] five six"
+    assert [t[2] for t in K.turns(text, 10.0)] == ["one two three four", "five six"] and len(K.turns(text)) == 1
