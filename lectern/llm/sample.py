@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 #: Times the wanted rows that the first cut of the hashes aims at.
-AMPLE = 4
+AMPLE = 2
 
 
 def bounded(df: DataFrame, key: str, rows: int, *columns: str) -> list[Row]:

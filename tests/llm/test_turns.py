@@ -63,8 +63,8 @@ def test_rolling_captions():
     assert said(shuffled) == said(roll)
     assert len(said("[00:00:01] [A1]: that was it [00:01:01] [A1]: that was it")) == 2 == len(said("[A1]: that was it [A1]: that was it"))
     assert said("[00:00:01] [A1]: that was it [00:01:01] [A1]: that was it indeed")[1] == ("SPK1", "that was it indeed")
-    assert len(said("[00:00:01] [A1]: that was it [00:00:02] [B1]: that was it")) == 2
-    assert len(said("00:00:01.000 --> 00:00:09.000 A1: that was it 00:00:06.000 --> 00:00:12.000 A1: that was it")) == 1
+    assert len(said("[00:00:01] [A1]: that was it [00:00:02] [B2]: that was it")) == 2
+    assert len(said("00:00:01.000 --> 00:00:09.000 [A1]: that was it 00:00:06.000 --> 00:00:12.000 [A1]: that was it")) == 1
 
 
 def test_pauses():
