@@ -38,8 +38,8 @@ from lectern.llm.turns import LABEL, is_label, bare
 from lectern.operators.arrow import map_columns
 
 # Placeholders for nothing, compared without case, quotes and brackets.
-NOTHING = "none null nil n/a na nan empty undefined blank notext nothing tbd todo missing"
-_NOTHING = set(NOTHING.split())
+NOTHING = ("none", "null", "nil", "n/a", "na", "nan", "empty", "undefined", "blank", "notext", "nothing", "tbd", "todo", "missing")
+_NOTHING = set(NOTHING)
 
 _NEG = (
     r"(?:can(?:no|['’])?t|cannot|could not|unable to|not able to|(?:will not|won['’]?t)(?: be able to)?|(?:have|need|must|going)(?: to)? decline(?: to)?|decline to|"
@@ -70,8 +70,10 @@ REFUSALS = {
     "ko": r"(?:요청|텍스트|내용|문장|콘텐츠).{0,14}(?:할 수 없|드릴 수 없|불가능|못 합)",
     "th": r"ไม่(?:สามารถ|อาจ).{0,24}(?:ดำเนินการ|แปล|แก้ไข|ช่วย|ประมวลผล).{0,24}(?:คำขอ|ข้อความ|เนื้อหา)",
 }
-_REFUSAL = re.compile("|".join(f"(?:{p})" for p in REFUSALS.values()), re.IGNORECASE)
-REFUSAL_LENGTH = 320
+_OTHER_SCRIPTS = ("ru", "ar", "hi", "zh", "ja", "ko", "th")
+_REFUSAL = re.compile("|".join(f"(?:{p})" for k, p in REFUSALS.items() if k not in _OTHER_SCRIPTS), re.IGNORECASE)
+_REFUSAL_OTHER = re.compile("|".join(f"(?:{REFUSALS[k]})" for k in _OTHER_SCRIPTS), re.IGNORECASE)
+_NOT_LATIN = re.compile("[\u0370-\u1dff\u2e80-\uffdc]")
 
 _TOKEN = re.compile(r"[a-zɐ-ʯ'ªº]+|[À-ɏ]+|[Ѐ-ԯ]+|[؀-ۿ]+|[ऀ-ॿ]+|[가-힯ᄀ-ᇿ]+|\d+|[㐀-鿿぀-ヿ฀-๿]|[^\W\d_]+")
 
@@ -223,11 +225,12 @@ def is_empty(text: str | None) -> bool:
     if text is None or not text.strip():
         return True
     core = re.sub(r"[^\w/]", "", text.lower())
-    return core.strip("_/") == "" or (len(text) < 24 and core in _NOTHING)
+    return core.strip("_/") == "" or core in _NOTHING
 
 
 def is_refusal(text: str) -> bool:
-    return len(text) <= REFUSAL_LENGTH and bool(_REFUSAL.search(text))
+    """True if a task is declined anywhere in a text, however long."""
+    return _REFUSAL.search(text) is not None or (_NOT_LATIN.search(text) is not None and _REFUSAL_OTHER.search(text) is not None)
 
 
 _WORD = re.compile(r"[^\W_]+")

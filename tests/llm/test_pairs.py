@@ -47,7 +47,7 @@ def judge():
     import pyarrow.parquet as pq
 
     docs = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text", "lang"]).to_pylist()
-    lang = langid.fit([(d["text"], d["lang"]) for d in docs if d["lang"] and d["text"] and 40 <= len(d["text"]) <= 4000][:500], [])
+    lang = langid.fit([(d["text"], d["lang"]) for d in docs if d["lang"] and d["text"] and 40 <= len(d["text"]) <= 4000][:500])
     return K.Judge(lang, Chain(), {"latin": 1.0})
 
 
