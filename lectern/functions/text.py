@@ -130,7 +130,9 @@ def unquote(c: Column) -> Column:
 
 def diff_words(c: Column) -> Column:
     """Lower-case words with ``://`` and ``. : , ; /`` split out."""
-    spaced = F.regexp_replace(F.lower(c), r"(://|[.:,;/])", " $1 ")
+    # two capitals whose small form hangs on the place or has two characters are mapped first
+    low = F.lower(F.translate(c, "\u0130\u03a3", "i\u03c3"))
+    spaced = F.regexp_replace(low, r"(://|[.:,;/])", " $1 ")
     return F.filter(F.split(spaced, r"[ \t\n\r]+"), lambda w: w != "")
 
 
@@ -191,7 +193,7 @@ def change_segments(marked: Column) -> Column:
 
 
 def join_changes(segments: Column) -> Column:
-    kept = F.filter(F.transform(segments, F.trim), lambda s: s != "")
+    kept = F.filter(F.transform(segments, lambda s: F.trim(s)), lambda s: s != "")
     whole = F.array_join(kept, "")
     return F.when(whole.rlike(f"[{K.NO_SPACE}{K.GROUPS['hangul']}]"), whole).otherwise(F.array_join(kept, " "))
 

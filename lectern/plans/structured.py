@@ -27,7 +27,7 @@ FAILURES = (
     (3, "busy"),
     (4, "request was throttled"),
 )
-SELECTORS = ("LEXICAL", "PUNCT, CASING, 7", "bogus", "4,1", "ALL", "0,9", "[NUMERAL]", "SPEAKER,DISFLUENCY")
+SELECTORS = ("LEXICAL", "PUNCT, CASING, 7", "bogus", "4,1", "ALL", "0,9", "[NUMERAL]", "SPEAKER,DISFLUENCY", '["3", "PUNCT"]')
 FAMILY = "alpha"
 MODELS = ("alpha-x", "beta-y", "Alpha-z", "other")
 LOGS = (
@@ -83,7 +83,7 @@ def q_payload_shape(spark, folder):
     clean = F.transform(F.coalesce("no_touch_tokens", F.array().cast("array<string>")), X.sanitize)
     return payloads(spark, folder).select(
         "payload_id", F.lit(",".join(order)).alias("keys"), X.sanitize(F.col("source_text")).alias("source_text"), X.sanitize(F.col("translation")).alias("translation"),
-        F.array_join(clean, "|").alias("no_touch"), X.sanitize(F.col("ct_punct.result")).alias("punct"),
+        F.array_join(clean, "|").alias("no_touch"), X.sanitize(F.col("ct_punct.result")).alias("punct"), X.sanitize(F.col("ct_casing.result")).alias("casing"),
     )
 
 
@@ -127,8 +127,10 @@ def q_repair_prompts(spark, folder):
 
 
 def q_eval_prompts(spark, folder):
-    edits = F.array_join(F.transform("ct_punct.edits", lambda e: F.array_join(e, ">")), ";")
-    return payloads(spark, folder).select("payload_id", F.md5(P.evaluation(AUDIT, F.col("source_text"), F.col("corrected_text"), S.describe("PUNCT"), edits)).alias("h"))
+    none = F.array().cast("array<array<string>>")
+    each = [F.array_join(F.transform(F.coalesce(f"{f}.edits", none), lambda e: F.array_join(e, ">")), ";") for f in FIELDS]
+    edits = F.concat_ws("|", *each)
+    return payloads(spark, folder).select("payload_id", F.md5(P.evaluation(AUDIT, F.col("source_text"), F.col("corrected_text"), S.describe("ALL"), edits)).alias("h"))
 
 
 def q_retry_hint(spark, folder):
@@ -176,15 +178,15 @@ def q_batch_results(spark, folder):
     return payloads(spark, folder).select(body.alias("body")).select(F.regexp_extract(read["custom_id"], "^idx-(.*)$", 1).cast("bigint").alias("payload_id"), kind.alias("kind"))
 
 
-def _text_lines(df: DataFrame, column: str, out: str) -> DataFrame:
-    return df.filter(F.col(column).isNotNull()).select("payload_id", F.posexplode(F.split(column, "\n")).alias("pos", out))
-
-
 def q_eval_pairs(spark, folder):
-    """Lines of source and answer paired by position, padded to the longer side."""
-    p = payloads(spark, folder)
-    both = _text_lines(p, "source_text", "src").join(_text_lines(p, "corrected_text", "out"), ["payload_id", "pos"], "full_outer")
-    return both.select("payload_id", "pos", F.coalesce("src", F.lit("")).alias("src"), F.coalesce("out", F.lit("")).alias("out"))
+    """Lines of source and answer paired by position, padded to the longer side: both
+    sides are in one row, so nothing is joined."""
+    both = F.arrays_zip(
+        F.coalesce(F.split("source_text", "\n"), F.array().cast("array<string>")).alias("src"),
+        F.coalesce(F.split("corrected_text", "\n"), F.array().cast("array<string>")).alias("out"),
+    )
+    rows = payloads(spark, folder).select("payload_id", F.posexplode(both).alias("pos", "p"))
+    return rows.select("payload_id", "pos", F.coalesce("p.src", F.lit("")).alias("src"), F.coalesce("p.out", F.lit("")).alias("out"))
 
 
 def edit_error_rate(edits: Column, invalid: Column, missing: Column) -> Column:
@@ -197,11 +199,12 @@ def _fold(c: Column) -> Column:
 
 
 def q_eval_score(spark, folder):
-    """Scores of judged edits: invalid and missing edits, without missing ones that
-    change nothing or that contradict an invalid edit."""
+    """Scores of judged edits of all steps, those of casing taken as missing: invalid and
+    missing edits, without missing ones that change nothing or that contradict an invalid
+    edit."""
     none = F.array().cast("array<array<string>>")
     p = payloads(spark, folder).filter("payload_id IS NOT NULL")
-    edits = F.concat(F.coalesce("ct_punct.edits", none), F.coalesce("ct_disfluency.edits", none))
+    edits = F.concat(*[F.coalesce(f"{f}.edits", none) for f in FIELDS if f != "ct_casing"])
     judged = F.transform(edits, lambda e: F.struct(e[0].alias("a"), e[1].alias("b"), F.when(e[1] == "", "INVALID").when(F.col("payload_id") % 7 == 0, "STEP_MISMATCH").otherwise("VALID").alias("outcome")))
     missing = F.transform(F.coalesce("ct_casing.edits", none), lambda e: F.struct(e[0].alias("span"), e[1].alias("expected")))
     rows = p.select("payload_id", judged.alias("e"), missing.alias("m"))
@@ -229,10 +232,10 @@ def q_eval_overall(spark, folder):
 
 
 def q_report_read(spark, folder):
-    """Run errors kept as a JSON map, read back to rows."""
-    rows = table(spark, folder, "jobs").filter("size(errors) > 0")
-    as_json = rows.select(F.to_json(F.create_map("job_id", F.element_at("errors", 1))).alias("j"))
-    return as_json.select(F.explode(F.from_json("j", "map<string,string>")).alias("job_id", "error"))
+    """Run errors kept as JSON maps, read back to rows: all errors of every job."""
+    rows = table(spark, folder, "jobs").select("job_id", F.posexplode("errors").alias("k", "error"))
+    as_json = rows.select(F.to_json(F.create_map(F.concat_ws("#", "job_id", F.col("k").cast("string")), "error")).alias("j"))
+    return as_json.select(F.explode(F.from_json("j", "map<string,string>")).alias("key", "error"))
 
 
 def _time(c: str) -> Column:
@@ -285,10 +288,13 @@ _ERROR = (
     + " ".join(f"WHEN len(list_filter({_E(f)}, lambda e: len(e) <> 2)) > 0 THEN '{f}'" for f in FIELDS)
     + " END"
 )
+_ALL = reduce(lambda a, b: f"list_concat({a}, {b})", [_E(f) for f in FIELDS if f != "ct_casing"])
+_EACH = "concat_ws('|', " + ", ".join(f"coalesce(array_to_string(list_transform({_E(f)}, lambda e: array_to_string(e, '>')), ';'), '')" for f in FIELDS) + ")"
 _QUIET = ", ".join(f"CASE WHEN len({_E(f)}) > 0 THEN '{f}' END" for f in FIELDS if f not in S.active_fields("PUNCT, CASING"))
 _LAST = "coalesce(" + ", ".join(f"nullif({f}.result, '')" for f in reversed(FIELDS)) + ", corrected_text, '')"
-_KEYS = ",".join(
-    ["source_filename", "source_text", *[k for k in S.REQUIRED if k != "tokenization" and (k in S.active_fields("PUNCT, CASING") or not k.startswith("ct_"))], "corrected_text"]
+# written by hand, so that the check does not repeat the code
+_KEYS = (
+    "source_filename,source_text,translation,aggressiveness_level,speaker_scope,seg_start,seg_end,no_touch_tokens,ct_punct,ct_casing,corrected_text"
 )
 _FOLD = lambda x: f"trim(regexp_replace({x}, '[ \\t\\n\\r]+', ' ', 'g'))"
 _PROMPT = reduce(
@@ -296,19 +302,35 @@ _PROMPT = reduce(
     [("chain_steps", "'" + S.describe("ALL") + "'"), ("locale", "coalesce(locale, 'unknown')"), ("prev_context", "right(prv, 50)"), ("next_context", "left(nxt, 50)"), ("input_transcript", "source_text")],
     f"'{TEMPLATE}'",
 )
-_RESOLVED = ", ".join("('" + "', '".join([s, ",".join(S.resolve(s)), S.describe(s), ",".join(sorted(S.active_fields(s)))]) + "')" for s in SELECTORS)
+# Expected rows written by hand: selector, ids, description, fields.
+_EVERY = (
+    "0,1,2,3,4,5,6,7,8,9",
+    "0:SPEAKER, 1:COMBINE, 2:NO_TOUCH, 3:LEXICAL, 4:DISFLUENCY, 5:FORMAT, 6:NUMERAL, 7:PUNCT, 8:CASING, 9:REMAIN_FIX",
+    "ct_casing,ct_combine,ct_disfluency,ct_format,ct_lexical,ct_numeral,ct_punct,ct_remain_fix,ct_speaker",
+)
+_RESOLVED = (
+    ("LEXICAL", "2,3", "2:NO_TOUCH, 3:LEXICAL", "ct_lexical"),
+    ("PUNCT, CASING, 7", "7,8", "7:PUNCT, 8:CASING", "ct_casing,ct_punct"),
+    ("bogus", *_EVERY),
+    ("4,1", "2,4,1", "2:NO_TOUCH, 4:DISFLUENCY, 1:COMBINE", "ct_combine,ct_disfluency"),
+    ("ALL", *_EVERY),
+    ("0,9", "0,9", "0:SPEAKER, 9:REMAIN_FIX", "ct_remain_fix,ct_speaker"),
+    ("[NUMERAL]", "6", "6:NUMERAL", "ct_numeral"),
+    ("SPEAKER,DISFLUENCY", "0,2,4", "0:SPEAKER, 2:NO_TOUCH, 4:DISFLUENCY", "ct_disfluency,ct_speaker"),
+    ('["3", "PUNCT"]', "2,3,7", "2:NO_TOUCH, 3:LEXICAL, 7:PUNCT", "ct_lexical,ct_punct"),
+)
 
 SQL = {
     "q_payload_validate": f"SELECT payload_id, {_ERROR} IS NULL AS ok, {_ERROR} AS error, coalesce(array_to_string(list_filter([{_QUIET}], lambda x: x IS NOT NULL), ','), '') AS inactive_edits, md5({_LAST}) AS text_hash FROM payloads",
     "q_payload_newlines": f"SELECT payload_id, {s_newlines('ct_punct.result')} AS punct, {s_newlines('corrected_text')} AS text FROM payloads",
-    "q_payload_shape": f"SELECT payload_id, '{_KEYS}' AS keys, {s_sanitize('source_text')} AS source_text, {s_sanitize('translation')} AS translation, coalesce(array_to_string(list_transform(no_touch_tokens, lambda x: {s_sanitize('x')}), '|'), '') AS no_touch, {s_sanitize('ct_punct.result')} AS punct FROM payloads",
+    "q_payload_shape": f"SELECT payload_id, '{_KEYS}' AS keys, {s_sanitize('source_text')} AS source_text, {s_sanitize('translation')} AS translation, coalesce(array_to_string(list_transform(no_touch_tokens, lambda x: {s_sanitize('x')}), '|'), '') AS no_touch, {s_sanitize('ct_punct.result')} AS punct, {s_sanitize('ct_casing.result')} AS casing FROM payloads",
     "q_safe_default": f"SELECT payload_id, {_ERROR} IS NOT NULL AS is_default, CASE WHEN {_ERROR} IS NULL THEN translation ELSE '' END AS translation FROM payloads",
     "q_edits_by_step": " UNION ALL ".join(f"SELECT payload_id, '{S.STEPS[i]}' AS step, len({_E(f)})::BIGINT AS n FROM payloads" for i, f in S.STEP_FIELDS.items()),
-    "q_chain_resolve": f"SELECT * FROM (VALUES {_RESOLVED}) AS v(selector, ids, described, fields)",
+    "q_chain_resolve": f"SELECT * FROM {_spell(_RESOLVED, 'selector, ids, described, fields')}",
     "q_prompts": f"""WITH p AS (SELECT *, regexp_extract(custom_id, '^(idx-\\d+)', 1) AS custom FROM payloads WHERE source_text IS NOT NULL),
 n AS (SELECT *, lag(source_text) OVER w AS prv, lead(source_text) OVER w AS nxt FROM p WINDOW w AS (PARTITION BY custom ORDER BY seg_no NULLS FIRST, payload_id)) SELECT payload_id, md5({_PROMPT}) AS h FROM n""",
     "q_repair_prompts": f"WITH e AS (SELECT payload_id, translation, {_ERROR} AS error FROM payloads) SELECT payload_id, md5(replace(replace('{REPAIR}', '{{validation_error}}', error), '{{previous_output}}', coalesce(translation, '')) || chr(10) || chr(10) || 'target_schema:' || chr(10) || 'payload') AS h FROM e WHERE error IS NOT NULL",
-    "q_eval_prompts": f"SELECT payload_id, md5(replace(replace('{AUDIT}', '{{original_text}}', coalesce(source_text, '')), '{{patched_text}}', coalesce(corrected_text, '')) || chr(10) || chr(10) || 'chain_steps:' || chr(10) || '{S.describe('PUNCT')}' || chr(10) || chr(10) || 'extracted_edits:' || chr(10) || coalesce(array_to_string(list_transform(ct_punct.edits, lambda e: array_to_string(e, '>')), ';'), '')) AS h FROM payloads",
+    "q_eval_prompts": f"SELECT payload_id, md5(replace(replace('{AUDIT}', '{{original_text}}', coalesce(source_text, '')), '{{patched_text}}', coalesce(corrected_text, '')) || chr(10) || chr(10) || 'chain_steps:' || chr(10) || '{S.describe('ALL')}' || chr(10) || chr(10) || 'extracted_edits:' || chr(10) || {_EACH}) AS h FROM payloads",
     "q_retry_hint": f"SELECT id, try_cast(nullif(regexp_extract(lower(message), 'retry after\\s+(\\d+(?:\\.\\d+)?)\\s+second', 1), '') AS DOUBLE) AS seconds, regexp_matches(lower(message), '429|rate limit|throttl') AS retryable FROM {_spell(FAILURES, 'id, message')}",
     "q_error_kind": f"SELECT id, CASE WHEN starts_with(message, 'NON_REPAIRABLE:') THEN 'non_repairable' WHEN contains(message, 'Long-span preservation check failed:') THEN 'long_span' WHEN starts_with(message, 'JSON parse recursion error:') THEN 'recursion' ELSE 'other' END AS kind FROM {_spell(ERRORS, 'id, message')}",
     "q_model_family": f"SELECT model, starts_with(lower(model), '{FAMILY}') AS flag FROM {_spell(MODELS, 'model')}",
@@ -318,7 +340,7 @@ n AS (SELECT *, lag(source_text) OVER w AS prv, lead(source_text) OVER w AS nxt
     "q_eval_pairs": """WITH s AS (SELECT payload_id, unnest(range(len(l)))::INT AS pos, unnest(l) AS src FROM (SELECT payload_id, str_split(source_text, chr(10)) AS l FROM payloads WHERE source_text IS NOT NULL)),
 o AS (SELECT payload_id, unnest(range(len(l)))::INT AS pos, unnest(l) AS out FROM (SELECT payload_id, str_split(corrected_text, chr(10)) AS l FROM payloads WHERE corrected_text IS NOT NULL))
 SELECT coalesce(s.payload_id, o.payload_id) AS payload_id, coalesce(s.pos, o.pos) AS pos, coalesce(src, '') AS src, coalesce(out, '') AS out FROM s FULL JOIN o ON s.payload_id = o.payload_id AND s.pos = o.pos""",
-    "q_eval_score": f"""WITH p AS (SELECT payload_id, list_transform(list_concat({_E('ct_punct')}, {_E('ct_disfluency')}), lambda e: {{'a': e[1], 'b': e[2], 'o': CASE WHEN e[2] = '' THEN 'INVALID' WHEN payload_id % 7 = 0 THEN 'STEP_MISMATCH' ELSE 'VALID' END}}) AS e,
+    "q_eval_score": f"""WITH p AS (SELECT payload_id, list_transform({_ALL}, lambda e: {{'a': e[1], 'b': e[2], 'o': CASE WHEN e[2] = '' THEN 'INVALID' WHEN payload_id % 7 = 0 THEN 'STEP_MISMATCH' ELSE 'VALID' END}}) AS e,
   list_filter(list_transform({_E('ct_casing')}, lambda e: {{'s': e[1], 'x': e[2]}}), lambda m: {_FOLD('m.s')} <> {_FOLD('m.x')}) AS m FROM payloads),
 q AS (SELECT payload_id, len(e) AS n,
   len(list_filter(e, lambda e1: e1.o <> 'VALID')) - len(list_filter(e, lambda e2: len(list_filter(m, lambda m2: e2.o = 'INVALID' AND {_FOLD('e2.b')} = {_FOLD('m2.x')} AND {_FOLD('e2.a')} = {_FOLD('m2.s')})) > 0)) AS bad,
@@ -326,7 +348,7 @@ q AS (SELECT payload_id, len(e) AS n,
 SELECT payload_id, bad = 0 AND gap = 0 AS passed, round(CASE WHEN n + gap = 0 THEN 0.0 ELSE least(1.0, greatest(0.0, (bad + gap)::DOUBLE / (n + gap))) END, 9) AS rate, gap::BIGINT AS missing FROM q""",
     "q_eval_summary": "SELECT evaluator, result_file, count(*)::BIGINT AS lines, count(*) FILTER (passed)::BIGINT AS passed, count(*) FILTER (NOT coalesce(passed, false))::BIGINT AS failed, round_even(100.0::DOUBLE * count(*) FILTER (passed) / count(*), 2) AS rate FROM line_results GROUP BY ALL",
     "q_eval_overall": "SELECT evaluator, count(*)::BIGINT AS lines, round_even(100.0::DOUBLE * (1 - (count(*) - count(*) FILTER (passed))::DOUBLE / count(*)), 2) AS overall, round(avg(edit_error_rate), 6) AS error_rate FROM line_results GROUP BY ALL",
-    "q_report_read": "SELECT job_id, errors[1] AS error FROM jobs WHERE len(errors) > 0",
+    "q_report_read": "SELECT job_id || '#' || k AS key, error FROM (SELECT job_id, unnest(range(len(errors))) AS k, unnest(errors) AS error FROM jobs)",
     "q_jobs": "SELECT job_id, coalesce(strftime(make_timestamp(created_at * 1000000), '%Y-%m-%d %H:%M:%S'), '-') AS created, coalesce(strftime(make_timestamp(completed_at * 1000000), '%Y-%m-%d %H:%M:%S'), '-') AS completed, CASE WHEN request_counts IS NOT NULL THEN format('{}/{} ({} failed)', request_counts.completed, request_counts.total, request_counts.failed) ELSE '-' END AS counts, array_to_string(errors[1:3], '; ') AS errors FROM jobs",
     "q_job_groups": "SELECT coalesce(metadata.user, '-') AS user, coalesce(metadata.input_file, '-') AS input_file, count(*)::BIGINT AS n, min(created_at) AS oldest FROM jobs WHERE status IN ('validating','in_progress','finalizing','completed','failed') GROUP BY ALL",
     "q_merge": """WITH r AS (SELECT *, regexp_extract(custom_id, '^idx-(\\d+)', 1) AS line FROM payloads), f AS (SELECT * FROM r WHERE line <> '' QUALIFY row_number() OVER (PARTITION BY line, custom_id ORDER BY payload_id) = 1),

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import classes as K
+from lectern.functions import steps as S
 from lectern.functions import text as X
+from lectern.operators import chunks
 from lectern.operators.arrow import map_columns
 from lectern.session import prepare, spread
 from lectern.sources.tables import table
@@ -59,22 +61,23 @@ def q_estimate_segments(spark, folder):
     return documents(spark, folder).select(est).groupBy("segs").agg(F.count("*").alias("n"))
 
 
+#: Estimated segments at which a chunk closes.
+CHUNK = 4
+
+
 def q_chunk_ids(spark, folder):
     """Chunks of a document's lines: a chunk closes on the line where its running
     estimate reaches the target, then the count starts again."""
-    per_doc = documents(spark, folder).select("doc_id", F.transform(F.split("text", "\n"), lambda x: X.estimate_segments(x, LIMIT)).alias("e"))
-    state = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(0).alias("run"), F.lit(0).alias("id"))
-    fold = F.aggregate(
-        "e",
-        state,
-        lambda s, x: F.struct(
-            F.concat(s["ids"], F.array(s["id"])).alias("ids"),
-            F.when(s["run"] + x >= 4, 0).otherwise(s["run"] + x).alias("run"),
-            F.when(s["run"] + x >= 4, s["id"] + 1).otherwise(s["id"]).alias("id"),
-        ),
-    )
-    chunks = per_doc.select("doc_id", F.explode(fold["ids"]).alias("chunk_id"))
-    return chunks.groupBy("doc_id", "chunk_id").agg(F.count("*").alias("rows"))
+    rows = lines(spark, folder).select("doc_id", "pos", X.estimate_segments(F.col("line"), LIMIT).alias("e"))
+    return chunks.chunk_ids(rows, "doc_id", "pos", "e", CHUNK).groupBy("doc_id", "chunk_id").agg(F.count("*").alias("rows"))
+
+
+def q_file_chunks(spark, folder):
+    """Chunks over whole files: the lines of all documents of a source in order."""
+    rows = lines(spark, folder).join(table(spark, folder, "documents").select("doc_id", F.coalesce("source", F.lit("-")).alias("file")), "doc_id")
+    rows = rows.select("file", (F.col("doc_id") * (1 << 24) + F.col("pos")).alias("at"), X.estimate_segments(F.col("line"), LIMIT).alias("e"))
+    got = chunks.chunk_ids(rows, "file", "at", "e", CHUNK)
+    return got.groupBy("file").agg(F.count("*").alias("lines"), (F.max("chunk_id") + 1).alias("chunks"))
 
 
 def q_resume_align(spark, folder):
@@ -173,7 +176,7 @@ def q_first_casing(spark, folder):
 
 def q_word_diff_tokens(spark, folder):
     w = X.diff_words(F.col("text"))
-    return documents(spark, folder).filter(r"NOT text RLIKE '[\\x{0130}\\x{03A3}]'").select("doc_id", F.size(w).cast("bigint").alias("n"), F.md5(F.array_join(w, " ")).alias("h"))
+    return documents(spark, folder).select("doc_id", F.size(w).cast("bigint").alias("n"), F.md5(F.array_join(w, " ")).alias("h"))
 
 
 def q_compare_text(spark, folder):
@@ -207,14 +210,16 @@ def q_row_count(spark, folder):
 
 
 def q_edit_text(spark, folder):
-    """Edits written as marked text, parsed back, and their changes joined."""
-    rows = payloads(spark, folder).select("payload_id", F.posexplode("ct_punct.edits").alias("pos", "e")).filter("size(e) = 2")
+    """Edits of all steps written as marked text, parsed back, and their changes joined."""
+    none = F.array().cast("array<array<string>>")
+    steps = F.array(*[F.struct(F.lit(f).alias("step"), F.coalesce(f"{f}.edits", none).alias("edits")) for f in S.STEP_FIELDS.values()])
+    rows = payloads(spark, folder).select("payload_id", F.inline(steps)).select("payload_id", "step", F.posexplode("edits").alias("pos", "e")).filter("size(e) = 2")
     mark = lambda c: F.concat(F.lit("<chg>"), c, F.lit("</chg>"))
     text = F.concat(F.lit("["), mark(F.col("e")[0]), F.lit("] -> ["), mark(F.col("e")[1]), F.lit("]"))
-    both = rows.select("payload_id", "pos", text.alias("text"))
+    both = rows.select("payload_id", "step", "pos", text.alias("text"))
     before = F.regexp_extract("text", r"(?s)^\[(.*)\] -> \[(.*)\]$", 1)
     after = F.regexp_extract("text", r"(?s)^\[(.*)\] -> \[(.*)\]$", 2)
-    return both.select("payload_id", "pos", before.alias("before"), after.alias("after"), X.join_changes(X.change_segments(after)).alias("joined"))
+    return both.select("payload_id", "step", "pos", before.alias("before"), after.alias("after"), X.join_changes(X.change_segments(after)).alias("joined"))
 
 
 def double_marks(spark, folder):
@@ -314,6 +319,9 @@ f AS (SELECT doc_id, pos, 0 AS chunk_id, CASE WHEN e >= 4 THEN 0 ELSE e END AS r
   UNION ALL SELECT e.doc_id, e.pos, f.nxt, CASE WHEN f.run + e.e >= 4 THEN 0 ELSE f.run + e.e END, CASE WHEN f.run + e.e >= 4 THEN f.nxt + 1 ELSE f.nxt END
   FROM f JOIN e ON e.doc_id = f.doc_id AND e.pos = f.pos + 1)
 SELECT doc_id, chunk_id, count(*)::BIGINT AS rows FROM f GROUP BY ALL""",
+    "q_file_chunks": f"""WITH {_LINES}, e AS (SELECT coalesce(source, '-') AS file, list({s_estimate('line')}::BIGINT ORDER BY l.doc_id, pos) AS e FROM lines l JOIN documents d ON l.doc_id = d.doc_id GROUP BY ALL),
+f AS (SELECT file, len(e) AS lines, list_reduce(list_prepend(0::BIGINT, e), lambda a, x: CASE WHEN a % 1000 + x >= {CHUNK} THEN (a // 1000 + 1) * 1000 ELSE a + x END) AS s FROM e)
+SELECT file, lines::BIGINT AS lines, (s // 1000 + CASE WHEN s % 1000 > 0 THEN 1 ELSE 0 END)::INT AS chunks FROM f""",
     "q_resume_align": f"""WITH {_LINES}, prior AS (SELECT doc_id, pos, CASE WHEN doc_id % 10 = 0 THEN '%%PS%%' || line WHEN doc_id % 3 <> 0 THEN line ELSE '' END AS cell FROM lines WHERE pos % 5 <> 4)
 SELECT l.doc_id, l.pos, CASE WHEN starts_with(cell, '%%PS%%') THEN 'partial' WHEN {s_blank('cell')} THEN 'pending' ELSE 'done' END AS state
 FROM lines l LEFT JOIN prior p ON l.doc_id = p.doc_id AND l.pos = p.pos""",
@@ -337,14 +345,14 @@ g AS (SELECT *, CASE WHEN regexp_matches(s, '\\p{{P}}') AND want <> mark THEN re
   length(regexp_extract(corrected_text, '^([^\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]*)', 1)) AS n FROM payloads WHERE source_text IS NOT NULL AND corrected_text IS NOT NULL)
 SELECT payload_id, CASE WHEN have <> '' AND have <> want AND lower(have) = lower(want) AND len(list_filter(p, lambda x: lower(x) = lower(have) OR starts_with(lower(x), lower(have) || ' '))) = 0
   THEN substr(c, 1, n) || want || substr(c, n + length(have) + 1) ELSE c END AS t FROM f""",
-    "q_word_diff_tokens": f"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '(://|[.:,;/])', ' \\1 ', 'g'), '{_WS}+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[\\x{{0130}}\\x{{03A3}}]'))
+    "q_word_diff_tokens": f"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(lower(translate(text, 'İΣ', 'iσ')), '(://|[.:,;/])', ' \\1 ', 'g'), '{_WS}+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, len(w)::BIGINT AS n, md5(coalesce(array_to_string(w, ' '), '')) AS h FROM w""",
     "q_compare_text": f"SELECT payload_id, trim(regexp_replace(nfc_normalize(source_text), '{_WS}+', ' ', 'g')) AS t FROM payloads WHERE source_text IS NOT NULL",
     "q_no_space_chars": f"WITH c AS (SELECT payload_id, regexp_extract_all(source_text, '[{K.NO_SPACE}]') AS c FROM payloads WHERE source_text IS NOT NULL) SELECT payload_id, len(c)::BIGINT AS n, array_to_string(c, '') AS chars FROM c WHERE len(c) > 0",
     "q_join_rule": f"WITH {_LINES}, n AS (SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM lines) SELECT doc_id, pos, {s_needs('line', 'nxt')} AS needs FROM n WHERE nxt IS NOT NULL",
     "q_row_count": f"WITH {_LINES} SELECT count(*)::BIGINT AS rows, count(*) FILTER (NOT {s_blank('line')})::BIGINT AS non_blank FROM lines",
-    "q_edit_text": f"""WITH e AS (SELECT payload_id, unnest(range(len(ct_punct.edits)))::INT AS pos, unnest(ct_punct.edits) AS e FROM payloads)
-SELECT payload_id, pos, '<chg>' || e[1] || '</chg>' AS before, '<chg>' || e[2] || '</chg>' AS after, trim(e[2]) AS joined FROM e WHERE len(e) = 2""",
+    "q_edit_text": "WITH a AS (" + " UNION ALL ".join(f"SELECT payload_id, '{f}' AS step, unnest(range(len({f}.edits)))::INT AS pos, unnest({f}.edits) AS e FROM payloads" for f in S.STEP_FIELDS.values()) + """)
+SELECT payload_id, step, pos, '<chg>' || e[1] || '</chg>' AS before, '<chg>' || e[2] || '</chg>' AS after, trim(e[2]) AS joined FROM a WHERE len(e) = 2""",
     "q_double_punct_extract": f"WITH {_LINES}, {_PUNCT}, m AS (SELECT key, count(*)::BIGINT AS n, min({{'d': doc_id, 'p': pos}}) AS f FROM kept GROUP BY key) SELECT key, n, f.d AS first_doc, f.p AS first_pos FROM m",
     "q_missing_verdicts": f"WITH {_LINES}, {_PUNCT} SELECT DISTINCT key FROM kept WHERE key NOT IN {VERDICT_KEYS}",
     "q_line_text": "SELECT payload_id, CASE WHEN payload_id % 2 = 0 THEN corrected_text ELSE trim(translate(corrected_text, chr(9) || chr(10), '  ')) END AS text FROM payloads WHERE corrected_text IS NOT NULL",

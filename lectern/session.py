@@ -51,13 +51,12 @@ def ship(spark: SparkSession) -> None:
         return
     _shipped.add(sc.applicationId)
     root = os.path.dirname(os.path.abspath(__file__))
-    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
-    shared = shared.removeprefix("file://")
+    shared = (named_dir(spark) or "").removeprefix("file://")
     if shared.startswith("/"):  # the folder that all executors share
         os.makedirs(shared, exist_ok=True)
         path = os.path.join(shared, f"lectern-{sc.applicationId}.zip")
-    else:
-        path = os.path.join(tempfile.gettempdir(), f"lectern-{sc.applicationId}.zip")
+    else:  # the driver's own folder, from where it serves the file
+        path = os.path.join(tempfile.mkdtemp(prefix="lectern-"), "lectern.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _, files in os.walk(root):
             for name in files:
@@ -67,17 +66,21 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(path)  # the driver serves it; executors fetch their own copy
 
 
+def named_dir(spark: SparkSession) -> str | None:
+    """The folder named in ``spark.checkpoint.dir``."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where it is
-    unset, as in tests."""
+    """The shared folder that the cluster names. Only a local session, as in tests, may
+    do without one and gets a temporary folder; elsewhere that is an error."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.conf.get("spark.checkpoint.dir", None)
+    named = named_dir(spark)
     if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = os.path.join(tempfile.gettempdir(), "lectern-checkpoint")
-        sc.setCheckpointDir(named)
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
 

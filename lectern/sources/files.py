@@ -1,19 +1,25 @@
-"""Readers and writers of line and table files."""
+"""Readers and writers of line and table files. Files are read by splits: what holds for
+a whole file (encoding, delimiter, header, line numbers) is found by aggregations and
+joined back, so no task loads a file."""
 
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
-from lectern.operators.arrow import map_columns
+from lectern.operators.arrow import map_columns, map_partition
+from lectern.operators.lookup import salted
+from lectern.operators.segment import split
 from lectern.session import checkpoint_dir
 
 # Encodings in the order in which they are tried; the last never fails.
 ENCODINGS = ("utf-8", "utf-8-sig", "cp1250", "cp1252", "latin-1")
+_LEGACY = ENCODINGS[2:]
 
 
 def decode(data: bytes | None) -> tuple[str | None, str | None]:
@@ -51,20 +57,93 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return placed.join(before, ["file", "part"]).select("file", (F.col("before") + F.col("k") - F.col("k0")).alias("line_no"), "line")
 
 
+def file_encodings(lines: DataFrame) -> DataFrame:
+    """(file, encoding, plain) of lines whose text is the bytes as read: the first encoding
+    that fits all lines of a file; ``plain`` files hold ASCII alone. Only the lines of
+    files that are no UTF-8 are looked at outside the JVM."""
+    flags = lines.groupBy("file").agg(
+        F.bool_and(F.is_valid_utf8("line")).alias("utf8"), F.bool_and(~F.col("line").rlike(r"[^\x00-\x7F]")).alias("plain")
+    )
+
+    def kernel(batches):
+        bad: dict[str, set[str]] = {}
+        for columns in batches:
+            for name, data in zip(columns["file"], columns["data"]):
+                mine = bad.setdefault(name, set())
+                for e in _LEGACY[:-1]:
+                    if e not in mine:
+                        try:
+                            bytes(data).decode(e)
+                        except UnicodeDecodeError:
+                            mine.add(e)
+        rows = [(f, e) for f, es in bad.items() for e in _LEGACY if e not in es]
+        yield {"file": [r[0] for r in rows], "encoding": [r[1] for r in rows], "tasks": [1] * len(rows)}
+
+    foreign = salted(lines, flags.filter("NOT utf8").select("file"), "file", ("line_no",))
+    fits = map_partition(foreign.select("file", F.col("line").cast("binary").alias("data")), kernel, "file string, encoding string, tasks bigint")
+    votes = fits.groupBy("file", "encoding").agg(F.sum("tasks").alias("n"))
+    most = votes.groupBy("file").agg(F.max(F.when(F.col("encoding") == _LEGACY[-1], F.col("n"))).alias("all"))
+    rank = F.array_position(F.array(*map(F.lit, ENCODINGS)), F.col("encoding"))
+    best = votes.join(most, "file").filter("n = all").groupBy("file").agg(F.min_by("encoding", rank).alias("legacy"))
+    return flags.join(best, "file", "left").select("file", F.when(F.col("utf8"), "utf-8").otherwise(F.coalesce("legacy", F.lit(_LEGACY[-1]))).alias("encoding"), "plain")
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, line, encoding): lines decoded by the encoding of their file, in
+    composed form (NFC), without a byte order mark."""
+    lines = numbered_lines(spark, path)
+    known = salted(lines, file_encodings(lines), "file", ("line_no",))
+
+    def kernel(columns: dict) -> dict:
+        out = []
+        for no, data, e in zip(columns["line_no"], columns["data"], columns["encoding"]):
+            text = bytes(data).decode(e)
+            out.append(unicodedata.normalize("NFC", text.removeprefix("﻿") if no == 0 else text))
+        return {"file": columns["file"], "line_no": columns["line_no"], "line": out, "encoding": columns["encoding"]}
+
+    rest = known.filter("NOT plain").select("file", "line_no", F.col("line").cast("binary").alias("data"), "encoding")
+    return known.filter("plain").select("file", "line_no", "line", "encoding").unionByName(
+        map_columns(rest, kernel, "file string, line_no bigint, line string, encoding string")
+    )
+
+
+def file_shapes(lines: DataFrame) -> DataFrame:
+    """(file, delimiter, most, header_no) of files: table files (``.tsv``) whose first
+    non-blank line has no tab but two words or more are divided by white space, into at
+    most as many cells as that line; ``header_no`` is the first line where it is a header."""
+    first = lines.filter(~X.is_blank(F.col("line"))).groupBy("file").agg(F.min(F.struct("line_no", "line")).alias("f"))
+    line = F.col("f.line")
+    words = F.filter(F.split(line, r"\s+"), lambda w: w != "")
+    table = F.lower("file").endswith(".tsv")
+    white = table & ~F.contains(line, F.lit("\t")) & (F.size(words) >= 2)
+    cells = F.when(F.contains(line, F.lit("\t")), F.split(line, "\t")).when(F.size(words) >= 2, words).otherwise(F.array(F.trim(line)))
+    return first.select(
+        "file",
+        F.when(white, " ").otherwise("\t").alias("delimiter"),
+        F.when(white, F.size(words)).otherwise(-1).alias("most"),
+        F.when(X.is_header(cells), F.col("f.line_no")).alias("header_no"),
+    )
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, cells, source_id, text, is_header, is_comment) of tab tables, of
-    tables by white space and of plain lines."""
-    rows = numbered_lines(spark, path)
-    cells = F.when(F.contains("line", F.lit("\t")), F.split("line", "\t")).otherwise(F.array("line"))
-    rows = rows.withColumn("cells", cells)
-    return rows.select(
+    """(file, line_no, cells, source_id, text, is_header, is_comment, delimiter) of tab
+    tables, of tables by white space and of plain lines. Blank rows of tables are left
+    out, blank lines of plain files stay."""
+    lines = read_lines(spark, path).drop("encoding")
+    rows = salted(lines, file_shapes(lines), "file", ("line_no",), "left").withColumn("delimiter", F.coalesce("delimiter", F.lit("\t")))
+    line, white = F.col("line"), F.col("delimiter") == " "
+    by_space = F.split(F.regexp_replace(line, r"^\s+", ""), r"\s+", F.coalesce("most", F.lit(-1)))
+    rows = rows.withColumn("cells", F.when(white, by_space).when(F.contains(line, F.lit("\t")), F.split(line, "\t")).otherwise(F.array(line)))
+    table = F.lower("file").endswith(".tsv")
+    return rows.filter(~(table & X.is_blank(line))).select(
         "file",
         "line_no",
         "cells",
         X.source_id(F.col("cells")).alias("source_id"),
-        X.strip_tags(F.element_at("cells", -1)).alias("text"),
-        ((F.col("line_no") == 0) & X.is_header(F.col("cells"))).alias("is_header"),
-        X.is_comment(F.col("line")).alias("is_comment"),
+        F.trim(X.strip_tags(F.element_at("cells", -1))).alias("text"),
+        F.coalesce(F.col("line_no") == F.col("header_no"), F.lit(False)).alias("is_header"),
+        X.is_comment(line).alias("is_comment"),
+        "delimiter",
     )
 
 
@@ -73,7 +152,25 @@ def read_json_texts(spark: SparkSession, path: str) -> DataFrame:
     ``transcriptions``; items that are no text are skipped."""
     raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value"))
     listed = F.coalesce(F.from_json("value", "array<string>"), F.from_json("value", "transcriptions array<string>")["transcriptions"])
-    return raw.select("file", F.posexplode(listed).alias("pos", "text"))
+    return raw.select("file", F.posexplode(listed).alias("pos", "text")).withColumn("text", F.trim(X.strip_tags(F.col("text"))))
+
+
+def read_payloads(spark: SparkSession, path: str, schema: str, whole: bool = False) -> DataFrame:
+    """Payload records by ``schema``: one JSON object a line, or (``whole``) files that
+    hold a list of objects or one object. What is no object is left out."""
+    raw = spark.read.text(path, wholetext=whole)
+    if whole:
+        some = F.from_json("value", f"array<struct<{schema}>>")
+        raw = raw.select(F.explode(F.when(F.ltrim("value").startswith("["), some).otherwise(F.array(F.from_json("value", schema)))).alias("r"))
+    else:
+        raw = raw.filter(F.ltrim("value").startswith("{")).select(F.from_json("value", schema).alias("r"))
+    rows = raw.select("r.*")
+    return rows.filter(F.greatest(*[F.col(c).isNotNull().cast("int") for c in rows.columns], F.lit(0)) == 1)
+
+
+def without_comments(template: str) -> str:
+    """A prompt template without the lines that begin with ``#``."""
+    return "\n".join(row for row in template.split("\n") if not row.lstrip().startswith("#"))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -89,3 +186,41 @@ def write_lines(df: DataFrame, path: str, line: str, *keys: str) -> None:
 def write_records(df: DataFrame, path: str, mode: str = "append") -> None:
     """One compact JSON record a line."""
     df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode(mode).text(path)
+
+
+def write_snapshot(df: DataFrame, path: str, chunk: str) -> None:
+    """Rows of some chunks in a folder each: a chunk that is written again replaces what
+    it wrote before, the others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(chunk).parquet(path)
+
+
+def output_line(text: Column, state: Column, original: Column, earlier: Column) -> Column:
+    """The line that a snapshot holds for a row: comments as they are, rows that are not
+    done as an earlier output has them (or empty), results in output form, markers of
+    partial results untouched."""
+    result = F.when(text.startswith("%%PS%%"), text).otherwise(X.sanitize(text))
+    return F.when(X.is_comment(original), original).when(state == "done", result).otherwise(F.coalesce(earlier, F.lit("")))
+
+
+def segment_rows(df: DataFrame, id_col: str, row_col: str, limit: int) -> DataFrame:
+    """(id, seg, total, row): table rows whose text is longer than ``limit`` in several,
+    the first cell marked with the segment; (id, seg, total) is the line map by which the
+    output is put together again."""
+
+    def kernel(columns: dict) -> dict:
+        out = {n: [] for n in (id_col, "seg", "total", "row")}
+        for i, row in zip(columns[id_col], columns[row_col]):
+            *prefix, text = row.split("\t")
+            body = text.strip()
+            cuts = split(body, limit) if 0 < limit < len(body) else []
+            for k, (a, b) in enumerate(cuts):
+                marked = [f"{prefix[0]}_seg{k}of{len(cuts)}", *prefix[1:]] if prefix else []
+                for n, v in zip(out, (i, k, len(cuts), "\t".join([*marked, body[a:b]]))):
+                    out[n].append(v)
+            if not cuts:
+                for n, v in zip(out, (i, 0, 1, row)):
+                    out[n].append(v)
+        return out
+
+    rows = df.select(id_col, row_col).filter(F.col(row_col).isNotNull())
+    return map_columns(rows, kernel, f"{id_col} bigint, seg int, total int, row string")

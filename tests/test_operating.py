@@ -289,3 +289,27 @@ def test_salted_join_equals_a_join(spark):
     right = spark.createDataFrame([("hot", 1), ("3", 2)], "key string, v int")
     for how in ("inner", "left"):
         assert sorted(lookup.salted(left, right, "key", ("id",), how).select("id", "v").collect()) == sorted(left.join(right, "key", how).select("id", "v").collect())
+
+
+# ---------------------------------------------------------------- chunks
+
+
+@pytest.mark.parametrize("block", [7, 50, 10_000])
+def test_chunks_by_a_plain_fold(spark, monkeypatch, block):
+    """Chunks over ranges of any size equal one pass, also where a group spans ranges."""
+    import random
+
+    from lectern.operators import chunks
+
+    monkeypatch.setattr(chunks, "BLOCK", block)
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot", "hot", "hot", "b", None]), k, rng.choice([0, 1, 1, 2, 3, 9, None])) for k in range(300)]
+    df = spark.createDataFrame(rows, "g string, k int, e int").repartition(5)
+    want, state = {}, {}
+    for g, k, e in rows:
+        run, chunk = state.get(g, (0, 0))
+        want[k] = chunk
+        run += e or 0
+        state[g] = (0, chunk + 1) if run >= 5 else (run, chunk)
+    assert {r.k: r.chunk_id for r in chunks.chunk_ids(df, "g", "k", "e", 5).collect()} == want
+    assert chunks.chunk_ids(df.limit(0), "g", "k", "e", 5).count() == 0
