@@ -72,9 +72,9 @@ def locale_language(locale: str | None) -> str | None:
 
 
 _SKIP = re.compile(
-    r"https?://\S+|www\.[\w.\-]+(?<=[a-z])|\S+@\S+\.\S+|\[[^\]\n]{1,24}\]|<[^>\n]{1,24}>|\{[^}\n]{1,24}\}|\(\([^)\n]{1,24}\)\)|\((?:laughter|host|guest)\)"
+    r"https?://\S+|www\.[\w.\-]+(?<=[a-z])|(?<!\S)\S+@\S+\.\S+|\[[^\]\n]{1,24}\]|<[^>\n]{1,24}>|\{[^}\n]{1,24}\}|\(\([^)\n]{1,24}\)\)|\((?:laughter|host|guest)\)"
     r"|(?<!\w)_[^\W\d_][\w .]{0,20}_(?!\w)|\*+[^*\n]{1,24}\*+|(?<![^\W_])(?:speaker|spk|spkr)[ _]?(?:\d+|[a-z])?(?![^\W_])"
-    r"|[A-Za-z]*\d[A-Za-z\d.,:]*",
+    r"|(?<![A-Za-z])[A-Za-z]*\d[A-Za-z\d.,:]*",
     re.IGNORECASE,
 )
 _UNIT = re.compile(
@@ -426,9 +426,9 @@ def text_languages(found: list[tuple]) -> list[tuple[str, float]]:
     return [(x, mass[x] / weight[x]) for x in sorted(strong | {main})]
 
 
-def label_batch(model: Model, texts: list[str]) -> list[list[tuple]]:
-    """Segments of every text of a batch."""
-    clean = [one_form(t) if t else "" for t in texts]
+def label_batch(model: Model, texts: list[str], folded=frozenset()) -> list[list[tuple]]:
+    """Segments of every text of a batch; those in ``folded`` are in one form already."""
+    clean = [t if t in folded else one_form(t) if t else "" for t in texts]
     words = [units(t) for t in clean]
     post = model.marginals(words)
     return [segments(t, w, p) for t, w, p in zip(clean, words, post)]

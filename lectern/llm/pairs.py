@@ -56,7 +56,8 @@ _NOUN = (
 # Grammars of a declined task, one per language.
 REFUSALS = {
     "en": rf"\b{_NEG}\b[^.!?\n]{{0,20}}?\b{_VERB}\b(?! you\b)[^.!?\n]{{0,60}}?\b{_NOUN}|\b{_NOUN} (?:cannot|can['’]?t|could not|may not) be \w+|\bas an? (?:ai|language model|assistant)\b",
-    "de": r"\b(?:kann|darf|konnte|möchte)\b.{0,40}\b(?:anfrage|text|inhalt|segment|eingabe|aufgabe|transkript)\w*\b.{0,30}\bnicht\b|\bnicht\b.{0,30}\b(?:anfrage|text|inhalt|segment|eingabe|aufgabe|transkript)\w*\b.{0,30}(?:bearbeiten|korrigieren|übersetzen|verarbeiten|helfen)",
+    "de": r"\b(?:kann|darf|konnte|möchte)\b.{0,40}\b(?:anfrage|text|inhalt|segment|eingabe|aufgabe|transkript)\w*\b.{0,30}\bnicht\b|\bnicht\b.{0,30}\b(?:anfrage|text|inhalt|segment|eingabe|aufgabe|transkript)\w*\b.{0,30}(?:bearbeiten|korrigieren|übersetzen|verarbeiten|helfen)"
+    r"|\b(?:anfrage|text|inhalt|segment|eingabe|aufgabe|transkript)\w*\b.{0,30}\b(?:kann|darf|konnte|könnte)\b.{0,30}\bnicht (?:bearbeiten|bearbeitet|korrigieren|übersetzen|verarbeiten|verarbeitet|erfüllen)",
     "fr": r"(?:ne (?:peux|puis|pouvons) pas|pas en mesure|impossible)\b.{0,30}\b(?:traiter|corriger|traduire|aider|répondre|continuer)\b.{0,40}\b(?:demande|texte|contenu|requête|segment|transcription)",
     "es": r"\bno (?:puedo|podemos|es posible|me es posible)\b.{0,30}\b(?:ayudar|procesar|corregir|traducir|completar|continuar)\b.{0,40}\b(?:solicitud|texto|contenido|petición|segmento|transcripción)",
     "pl": r"\bnie (?:mogę|możemy|jestem w stanie)\b.{0,30}\b(?:przetworzyć|poprawić|przetłumaczyć|pomóc|wykonać|edytować)\b.{0,40}\b(?:tekst|prośb|żądan|treś|zapytan|segment)",
@@ -70,10 +71,25 @@ REFUSALS = {
     "ko": r"(?:요청|텍스트|내용|문장|콘텐츠).{0,14}(?:할 수 없|드릴 수 없|불가능|못 합)",
     "th": r"ไม่(?:สามารถ|อาจ).{0,24}(?:ดำเนินการ|แปล|แก้ไข|ช่วย|ประมวลผล).{0,24}(?:คำขอ|ข้อความ|เนื้อหา)",
 }
-_OTHER_SCRIPTS = ("ru", "ar", "hi", "zh", "ja", "ko", "th")
-_REFUSAL = re.compile("|".join(f"(?:{p})" for k, p in REFUSALS.items() if k not in _OTHER_SCRIPTS), re.IGNORECASE)
-_REFUSAL_OTHER = re.compile("|".join(f"(?:{REFUSALS[k]})" for k in _OTHER_SCRIPTS), re.IGNORECASE)
-_NOT_LATIN = re.compile("[\u0370-\u1dff\u2e80-\uffdc]")
+# Stems of the task nouns, one of which every refusal of a language holds.
+REFUSAL_STEMS = {
+    "en": ("request", "segment", "transcript", "content", "material", "text", "input", "recording", "correction", "translation", "result", "task", "passage",
+           "document", "output", "prompt", "answer", "that.", "that!", "this.", "this!", "this one", "that one", "as a ai", "as an ai", "language model", "assistant"),
+    "de": ("anfrage", "text", "inhalt", "segment", "eingabe", "aufgabe", "transkript"),
+    "fr": ("demande", "texte", "contenu", "requête", "segment", "transcription"),
+    "es": ("solicitud", "texto", "contenido", "petición", "segmento", "transcripción"),
+    "pl": ("tekst", "prośb", "żądan", "treś", "zapytan", "segment"),
+    "cs": ("požadav", "text", "obsah", "žádost", "segment"),
+    "id": ("permintaan", "teks", "konten", "segmen", "transkrip"),
+    "ru": ("запрос", "текст", "содерж", "задани", "сегмент"),
+    "ar": ("الطلب", "النص", "المحتوى", "المقطع"),
+    "hi": ("अनुरोध", "पाठ", "सामग्री", "टेक्स्ट", "लेख"),
+    "zh": ("请求", "文本", "内容", "要求", "片段", "任务"),
+    "ja": ("リクエスト", "依頼", "内容", "テキスト", "文章", "要求"),
+    "ko": ("요청", "텍스트", "내용", "문장", "콘텐츠"),
+    "th": ("คำขอ", "ข้อความ", "เนื้อหา"),
+}
+_REFUSAL = {k: re.compile(p, re.IGNORECASE) for k, p in REFUSALS.items()}
 
 _TOKEN = re.compile(r"[a-zɐ-ʯ'ªº]+|[À-ɏ]+|[Ѐ-ԯ]+|[؀-ۿ]+|[ऀ-ॿ]+|[가-힯ᄀ-ᇿ]+|\d+|[㐀-鿿぀-ヿ฀-๿]|[^\W\d_]+")
 
@@ -182,6 +198,8 @@ def tiling(a: list[str], b: list[str], least: int = 2, bridge: bool = False) ->
 
 def tiled(a: list[str], b: list[str], least: float) -> float:
     """The tiling of ``a`` with ``b``, or its upper bound where that is below ``least``."""
+    if a == b:
+        return 1.0
     bound = common(a, b)
     return bound if bound < least else tiling(a, b, bridge=True)
 
@@ -221,16 +239,24 @@ def left_open(text: str) -> bool:
     return bool(stack) or bool(re.search(r"(?:^|\n)\s*(?:[-*•]|\d+[.)])\s*$", text))
 
 
+#: More letters and digits than any placeholder has.
+_SAYS_SOMETHING = re.compile(rf"(?:[\W_]*[^\W_]){{{max(map(len, NOTHING)) + 1}}}")
+
+
 def is_empty(text: str | None) -> bool:
     if text is None or not text.strip():
         return True
+    if _SAYS_SOMETHING.match(text):
+        return False
     core = re.sub(r"[^\w/]", "", text.lower())
     return core.strip("_/") == "" or core in _NOTHING
 
 
 def is_refusal(text: str) -> bool:
-    """True if a task is declined anywhere in a text, however long."""
-    return _REFUSAL.search(text) is not None or (_NOT_LATIN.search(text) is not None and _REFUSAL_OTHER.search(text) is not None)
+    """True if a task is declined anywhere in a text, however long. The grammar of a
+    language is tried where one of its nouns stands."""
+    low = text.lower()
+    return any(_REFUSAL[k].search(text) for k, stems in REFUSAL_STEMS.items() if any(x in low for x in stems))
 
 
 _WORD = re.compile(r"[^\W_]+")
@@ -307,7 +333,7 @@ class Judge:
             work.append(item)
         langs: dict[str, dict[str, float]] = {}
         texts = list(ask)
-        for text, found in zip(texts, langid.label_batch(self.languages, texts)):
+        for text, found in zip(texts, langid.label_batch(self.languages, texts, {item["said"] for item in work})):
             weight: dict[str, float] = {}
             for _, _, lang, conf, letters in found:
                 weight[lang] = weight.get(lang, 0.0) + conf * letters

@@ -103,3 +103,17 @@ def test_copy_of_polish_is_no_english(judge):
     text = 'Oskar powiedział "to na pewno i tak do mnie należy, możemy iść" i wrócił do domu, on i ja idziemy do szkoły.'
     assert judge.batch([text], [text], [text]) == [[("translation", "copy")]]
     assert not K._english(text) and not K._english("Le thé, this") and K._english("Where is the parcel that you told them about?")
+
+
+def test_stems_cover_the_grammars():
+    """Whatever a grammar finds holds one of its stems: those of the answers that are
+    refusals, and samples of every grammar."""
+    said = [
+        "I cannot process this transcript.", "As an AI language model I stop here.", "This content cannot be processed.", "I'm unable to help with that.",
+        "Diese Anfrage kann ich leider nicht bearbeiten.", "Je ne peux pas traiter cette demande.", "No puedo procesar esta solicitud.", "Nie mogę przetworzyć tego tekstu, prośba odrzucona.",
+        "Tento požadavek nemohu zpracovat.", "Saya tidak dapat memproses permintaan ini.", "Я не могу обработать этот запрос.", "لا يمكنني معالجة هذا الطلب",
+        "मैं यह अनुरोध पूरा नहीं कर सकता", "抱歉，我无法处理该请求。", "このリクエストには対応できません。", "이 요청을 처리할 수 없습니다.", "ไม่สามารถดำเนินการตามคำขอนี้ได้",
+    ]
+    for text in said:
+        assert K.is_refusal(text), text
+        assert K.is_refusal("Word after word. " * 200 + text)
