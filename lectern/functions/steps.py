@@ -67,3 +67,17 @@ def active_fields(selector) -> set[str]:
 
 def describe(selector) -> str:
     return ", ".join(f"{i}:{STEPS[i]}" for i in resolve(selector))
+
+
+def payload_schema() -> dict:
+    """JSON schema of a payload, as services take it that answer by schema."""
+    text = {"type": "string"}
+    texts = {"type": "array", "items": text}
+
+    def one(properties: dict) -> dict:
+        return {"type": "object", "additionalProperties": False, "properties": properties, "required": list(properties)}
+
+    step = one({"edits": {"type": "array", "items": {**texts, "minItems": 2, "maxItems": 2}}, "result": text})
+    level, scope = {"type": "string", "enum": list(LEVELS)}, {"type": "string", "enum": list(SCOPES)}
+    known = {"tokenization": one({"tokens": texts}), "translation": text, "aggressiveness_level": level, "speaker_scope": scope, "seg_start": level, "seg_end": level, "no_touch_tokens": texts}
+    return {"name": "patch_output", "strict": True, "schema": one({k: known.get(k, step) for k in REQUIRED})}

@@ -12,7 +12,7 @@ from lectern.functions import tokens as K
 from lectern.operators import aligned, answers, bulk, evaluation, guards, mining, model, pairing, segment
 from lectern.operators.arrow import map_columns
 from lectern.operators.lookup import salted
-from lectern.plans.textual import VERDICT_KEYS, documents, lines, payloads
+from lectern.plans.textual import _TAB, VERDICT_KEYS, documents, lines, payloads, s_blank, tab_rows
 from lectern.session import cut, prepare, spread
 from lectern.sources import files
 from lectern.sources.tables import table
@@ -358,6 +358,52 @@ def q_decode(spark, folder):
     return map_columns(spread(rows), kernel, "doc_id bigint, encoding string, same boolean")
 
 
+def q_read_table(spark, folder):
+    """Table rows written to files and read back with the encoding, delimiter and header
+    of their file."""
+    path = files.scratch(spark, "table")
+    tab_rows(spark, folder).select("row").write.text(path)
+    got = files.read_table(spark, path).filter("NOT is_header")
+    return got.select(F.element_at("cells", 1).alias("first"), "source_id", F.md5("text").alias("h"), "is_comment", "delimiter")
+
+
+def q_segment_rows(spark, folder):
+    """Rows with long texts in several, and the line map that puts them together."""
+    prepare(spark)
+    return files.segment_rows(spread(tab_rows(spark, folder)), "doc_id", "row", LIMIT).select("doc_id", "seg", "total", F.md5("row").alias("h"))
+
+
+def q_segment_rows_back(spark, folder):
+    """Whether the segments of a row, in the order of the line map, hold its text."""
+    prepare(spark)
+    rows = files.segment_rows(spread(tab_rows(spark, folder)), "doc_id", "row", LIMIT)
+    text = F.element_at(F.split("row", "\t"), -1)
+    whole = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seg", text.alias("t")))).alias("s"), F.max("total").alias("total"))
+    back = whole.select("doc_id", F.array_join(F.transform("s", lambda x: x["t"]), "").alias("t"), (F.size("s") == F.col("total")).alias("all"))
+    trim = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    return back.join(tab_rows(spark, folder), "doc_id").select("doc_id", (F.col("all") & (trim(F.col("t")) == trim(text))).alias("ok"))
+
+
+def q_snapshot(spark, folder):
+    """Chunks of lines written, some written again with their results: lines and done
+    lines of every chunk."""
+    path = files.scratch(spark, "snapshot")
+    rows = lines(spark, folder).withColumn("chunk", (F.col("doc_id") % 7).cast("int"))
+    state = F.when(F.col("pos") % 3 == 0, "failed").otherwise("done")
+    out = lambda s: files.output_line(F.col("line"), s, F.col("line"), F.lit(None).cast("string"))
+    files.write_snapshot(rows.select("chunk", "doc_id", "pos", out(state).alias("line")), path, "chunk")
+    files.write_snapshot(rows.filter("chunk < 3").select("chunk", "doc_id", "pos", out(F.lit("done")).alias("line")), path, "chunk")
+    return spark.read.parquet(path).groupBy("chunk").agg(F.count("*").alias("n"), F.count_if(F.col("line") != "").alias("filled"))
+
+
+def q_payload_files(spark, folder):
+    """Payload records written as JSON lines and read back."""
+    path = files.scratch(spark, "payloads")
+    files.write_records(payloads(spark, folder).select("payload_id", "source_text", "corrected_text", "ct_punct"), path, "overwrite")
+    back = files.read_payloads(spark, path, "payload_id bigint, source_text string, corrected_text string, ct_punct struct<edits:array<array<string>>,result:string>")
+    return back.select("payload_id", F.md5("source_text").alias("s"), F.md5("corrected_text").alias("c"), F.size(F.coalesce("ct_punct.edits", F.array().cast("array<array<string>>"))).cast("bigint").alias("edits"))
+
+
 def q_write_roundtrip(spark, folder):
     """Rows written as lines and as records in the shared folder and read back."""
     rows = documents(spark, folder).select("doc_id", X.sanitize(F.col("text")).alias("text"))
@@ -381,6 +427,12 @@ def q_stream_ingest(spark, folder):
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 SQL: dict[str, str] = {
+    "q_read_table": f"""WITH {_TAB}, c AS (SELECT row, CASE WHEN contains(row, chr(9)) THEN str_split(row, chr(9)) ELSE [row] END AS c FROM tab)
+SELECT c[1] AS first, list_filter(c[1:-2], lambda x: NOT {s_blank('x')})[-1] AS source_id, md5(trim(regexp_replace(c[-1], '(?i)</?(?:b|strong|em|i)>', '', 'g'))) AS h, ltrim(row)[1] = '#' AS is_comment, chr(9) AS delimiter FROM c""",
+    "q_segment_rows_back": "SELECT doc_id, true AS ok FROM documents WHERE text IS NOT NULL",
+    "q_snapshot": r"""WITH l AS (SELECT doc_id, (doc_id % 7)::INT AS chunk, unnest(range(len(l))) AS pos, unnest(l) AS line FROM (SELECT doc_id, str_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))
+SELECT chunk, count(*)::BIGINT AS n, count(*) FILTER (ltrim(line)[1] = '#' OR ((chunk < 3 OR pos % 3 <> 0) AND trim(regexp_replace(line, '[\x00-\x1F\x7F\x{85}\x{2028}\x{2029}]', ' ', 'g')) <> ''))::BIGINT AS filled FROM l GROUP BY chunk""",
+    "q_payload_files": "SELECT payload_id, md5(source_text) AS s, md5(corrected_text) AS c, coalesce(len(ct_punct.edits), 0)::BIGINT AS edits FROM payloads",
     "q_segment_roundtrip": "SELECT doc_id, true AS ok FROM documents WHERE text IS NOT NULL",
     "q_write_roundtrip": "SELECT count(*)::BIGINT AS rows, count(*)::BIGINT AS lines_equal, count(*)::BIGINT AS records_equal FROM documents WHERE text IS NOT NULL",
 }

@@ -81,15 +81,17 @@ def q_file_chunks(spark, folder):
 
 
 def q_resume_align(spark, folder):
-    """State of every line against an earlier output: done, partial, pending."""
-    rows = lines(spark, folder)
-    prior = rows.select(
-        "doc_id",
-        "pos",
-        F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("%%PS%%"), "line")).when(F.col("doc_id") % 3 != 0, F.col("line")).otherwise("").alias("cell"),
-    ).filter("pos % 5 <> 4")
+    """State of every line against an earlier output: done, partial, pending. The earlier
+    output is made from the same rows here, so both sides are aligned within a row."""
+
+    def cell(line, pos):
+        kept = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("%%PS%%"), line)).when(F.col("doc_id") % 3 != 0, line).otherwise("")
+        return F.when(pos % 5 != 4, kept)
+
+    prior = F.transform(F.split("text", "\n"), cell)
+    rows = documents(spark, folder).select("doc_id", F.posexplode(prior).alias("pos", "cell"))
     state = F.when(F.col("cell").startswith("%%PS%%"), "partial").when(X.is_blank(F.col("cell")), "pending").otherwise("done")
-    return rows.select("doc_id", "pos").join(prior, ["doc_id", "pos"], "left").select("doc_id", "pos", state.alias("state"))
+    return rows.select("doc_id", "pos", state.alias("state"))
 
 
 def q_sanitize(spark, folder):
@@ -199,6 +201,13 @@ def q_no_space_chars(spark, folder):
     return found.filter("size(c) > 0").select("payload_id", F.size("c").cast("bigint").alias("n"), F.array_join("c", "").alias("chars"))
 
 
+def q_no_space_positions(spark, folder):
+    """Characters of the scripts without spaces with their offsets."""
+    rows = payloads(spark, folder).filter(F.col("source_text").rlike(f"[{K.NO_SPACE}]"))
+    chars = rows.select("payload_id", F.posexplode(F.split("source_text", "")).alias("pos", "ch"))
+    return chars.filter(F.col("ch").rlike(f"^[{K.NO_SPACE}]$") & ~F.col("ch").rlike(r"^[\p{P}\p{S}]$"))
+
+
 def q_join_rule(spark, folder):
     w = Window.partitionBy("doc_id").orderBy("pos")
     rows = lines(spark, folder).withColumn("nxt", F.lead("line").over(w)).filter("nxt IS NOT NULL")
@@ -349,6 +358,8 @@ SELECT payload_id, CASE WHEN have <> '' AND have <> want AND lower(have) = lower
 SELECT doc_id, len(w)::BIGINT AS n, md5(coalesce(array_to_string(w, ' '), '')) AS h FROM w""",
     "q_compare_text": f"SELECT payload_id, trim(regexp_replace(nfc_normalize(source_text), '{_WS}+', ' ', 'g')) AS t FROM payloads WHERE source_text IS NOT NULL",
     "q_no_space_chars": f"WITH c AS (SELECT payload_id, regexp_extract_all(source_text, '[{K.NO_SPACE}]') AS c FROM payloads WHERE source_text IS NOT NULL) SELECT payload_id, len(c)::BIGINT AS n, array_to_string(c, '') AS chars FROM c WHERE len(c) > 0",
+    "q_no_space_positions": f"""WITH c AS (SELECT payload_id, unnest(range(length(source_text)))::INT AS pos, unnest(str_split(source_text, '')) AS ch FROM payloads WHERE regexp_matches(source_text, '[{K.NO_SPACE}]'))
+SELECT payload_id, pos, ch FROM c WHERE regexp_full_match(ch, '[{K.NO_SPACE}]') AND NOT regexp_full_match(ch, '[\\p{{P}}\\p{{S}}]')""",
     "q_join_rule": f"WITH {_LINES}, n AS (SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM lines) SELECT doc_id, pos, {s_needs('line', 'nxt')} AS needs FROM n WHERE nxt IS NOT NULL",
     "q_row_count": f"WITH {_LINES} SELECT count(*)::BIGINT AS rows, count(*) FILTER (NOT {s_blank('line')})::BIGINT AS non_blank FROM lines",
     "q_edit_text": "WITH a AS (" + " UNION ALL ".join(f"SELECT payload_id, '{f}' AS step, unnest(range(len({f}.edits)))::INT AS pos, unnest({f}.edits) AS e FROM payloads" for f in S.STEP_FIELDS.values()) + """)

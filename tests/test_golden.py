@@ -124,7 +124,10 @@ def test_mining():
 def test_steps():
     assert S.resolve(None) == list("0123456789") == S.resolve("bogus")
     assert S.resolve("LEXICAL") == ["2", "3"] and S.resolve("PUNCT, CASING, 7") == ["7", "8"]
-    assert S.resolve('["4","1"]') == ["2", "4", "1"]
+    assert S.resolve('["4","1"]') == ["2", "4", "1"] and S.resolve(["PUNCT", "CASING,7"]) == ["7", "8"] and S.resolve("[3, 'PUNCT']") == ["2", "3", "7"]
+    assert S.expand_selector(["[NUMERAL]", " ", None, 3]) == ["[NUMERAL]"] and S.expand_selector("[]") == [] and S.expand_selector(None) == []
+    schema = S.payload_schema()["schema"]
+    assert set(schema["required"]) == set(S.REQUIRED) and answers.payload_error(answers.empty_payload() | {"speaker_scope": "single"}) is None
 
 
 def test_decode():
