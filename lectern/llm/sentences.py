@@ -5,8 +5,10 @@ closing quotes and brackets behind them, and white space after Thai, which has n
 end marks) tags each place as boundary or inside and is decoded by Viterbi. The
 weights are a structured perceptron's, averaged, learned from a bounded sample of
 rows whose punctuation step lists the sentence ends it added; every training text
-is also seen in lower case and upper case, and Thai with its unpunctuated spaces, so
-that the words on both sides decide where case or marks tell nothing.
+is also seen in lower case and upper case, closed up, and, in the script that has no
+end marks (Thai), stripped of all punctuation, so that the words on both sides decide
+where case or marks tell nothing. Stretches of other scripts that no end mark closes can
+be read by a second chain over the gaps between words, trained on stripped text.
 
 Defined results
 ---------------
@@ -354,8 +356,10 @@ def training_data(rows: list[tuple[str, list]]) -> list[tuple[list, list[bool]]]
         ends = labelled_ends(text, edits)
         if ends is None:
             continue
-        close, moved = _closed_up(text, ends)
-        for version, ends in ((text, ends), (_same_length(text, str.lower), ends), (_same_length(text, str.upper), ends), (close, moved)):
+        versions = [(text, ends), (_same_length(text, str.lower), ends), (_same_length(text, str.upper), ends), _closed_up(text, ends)]
+        if _THAI_END.search(text[: ends[0]]):  # a script without end marks is learned without any mark
+            versions.append(stripped(text, ends))
+        for version, ends in versions:
             cands = places(version)
             known = {c[0] for c in cands}
             if set(ends) - {len(version.rstrip())} <= known:
