@@ -14,6 +14,7 @@ Defined results
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -26,6 +27,7 @@ from lectern.functions.classes import GROUPS, python_class
 from lectern.operators.arrow import map_columns, map_partition
 from lectern.operators.lookup import salted
 from lectern.operators.segment import CLOSERS, MARKS
+from lectern.session import cut
 
 #: Longest word of a key, examples of a key, partial examples kept per task at once.
 LONGEST, EXAMPLES, HELD_KEYS = 20, 3, 100_000
@@ -356,21 +358,48 @@ def apply_text(text: str, kind: str, verdicts) -> tuple[str, int]:
     return text, fixes
 
 
+#: Verdicts that may be sent to all tasks.
+SENT_VERDICTS = 200_000
+
+
 def apply_joined(df: DataFrame, id_col: str, text_col: str, kind: str, verdicts: DataFrame) -> DataFrame:
     """(id, text, fixes) of the lines that a verdict changes, for verdicts (key, verdict)
-    of any number. Lines without a judged key are not shuffled and not given back."""
+    of any number. The verdicts that ask for a change are written once and counted: as
+    many as may be sent go to the tasks that read the lines, and nothing is shuffled; more
+    are joined with the keys of the lines, of which only those with a candidate move."""
     rule = KINDS[kind]
-    wanted = verdicts.filter(F.col("verdict") != F.col("key")) if kind == "double_mark" else verdicts.filter(F.col("verdict") == rule.yes)
-    found = candidates(df, id_col, text_col, kind).select(id_col, "key").distinct()
-    mine = salted(found, wanted.select("key", "verdict"), "key", (id_col,))
-    mine = mine.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("key", "verdict"))).alias("told"))
-    rows = df.select(id_col, text_col).filter(F.col(text_col).isNotNull()).join(mine, id_col)
+    asks = F.col("verdict") != F.col("key") if kind == "double_mark" else F.col("verdict") == rule.yes
+    wanted = cut(verdicts.filter(asks).select("key", "verdict"))
+    rows = df.select(id_col, text_col).filter(F.col(text_col).isNotNull())
+    schema = f"{id_col} bigint, text string, fixes int"
+    sent = None
+    if wanted.count() <= SENT_VERDICTS:
+        sent = df.sparkSession.sparkContext.broadcast({r.key: r.verdict for r in wanted.collect()})
+    else:
+        rows = _with_keys(rows, id_col, text_col, kind)
+        held = salted(rows.select(id_col, F.explode("keys").alias("key")), wanted, "key", (id_col,))
+        told = held.groupBy(id_col).agg(F.map_from_entries(F.collect_set(F.struct("key", "verdict"))).alias("told"))
+        rows = rows.drop("keys").join(told, id_col)
+
+    def kernel(columns: dict) -> dict:
+        maps = (dict(t) for t in columns["told"]) if sent is None else itertools.repeat(sent.value)
+        got = [(i, *apply_text(t, kind, m)) for i, t, m in zip(columns[id_col], columns[text_col], maps)]
+        got = [g for g in got if g[2]]
+        return {id_col: [g[0] for g in got], "text": [g[1] for g in got], "fixes": [g[2] for g in got]}
+
+    return map_columns(rows, kernel, schema)
+
+
+def _with_keys(rows: DataFrame, id_col: str, text_col: str, kind: str) -> DataFrame:
+    """(id, text, keys) of the lines that hold a candidate."""
+    scan = KINDS[kind].scan
 
     def kernel(columns: dict) -> dict:
-        got = [apply_text(t, kind, dict(told)) for t, told in zip(columns[text_col], columns["told"])]
-        return {id_col: columns[id_col], "text": [g[0] for g in got], "fixes": [g[1] for g in got]}
+        got = [(i, t, sorted({h.key for h in scan(t)})) for i, t in zip(columns[id_col], columns[text_col])]
+        got = [g for g in got if g[2]]
+        return {id_col: [g[0] for g in got], text_col: [g[1] for g in got], "keys": [g[2] for g in got]}
 
-    return map_columns(rows.select(id_col, text_col, "told"), kernel, f"{id_col} bigint, text string, fixes int")
+    return map_columns(rows, kernel, f"{id_col} bigint, {text_col} string, keys array<string>")
 
 
 # ---------------------------------------------------------------- speaker labels

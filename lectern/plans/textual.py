@@ -74,7 +74,7 @@ def q_chunk_ids(spark, folder):
 
 def q_file_chunks(spark, folder):
     """Chunks over whole files: the lines of all documents of a source in order."""
-    rows = lines(spark, folder).join(table(spark, folder, "documents").select("doc_id", F.coalesce("source", F.lit("-")).alias("file")), "doc_id")
+    rows = documents(spark, folder).select("doc_id", F.coalesce("source", F.lit("-")).alias("file"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     rows = rows.select("file", (F.col("doc_id") * (1 << 24) + F.col("pos")).alias("at"), X.estimate_segments(F.col("line"), LIMIT).alias("e"))
     got = chunks.chunk_ids(rows, "file", "at", "e", CHUNK)
     return got.groupBy("file").agg(F.count("*").alias("lines"), (F.max("chunk_id") + 1).alias("chunks"))

@@ -1,6 +1,7 @@
 """Readers and writers of line and table files. Files are read by splits: what holds for
-a whole file (encoding, delimiter, header, line numbers) is found by aggregations and
-joined back, so no task loads a file."""
+a whole file (encoding, delimiter, header, line numbers) is found by aggregations whose
+results, a row a file or split, are sent to the lines, so no task loads a file and no
+line is shuffled."""
 
 from __future__ import annotations
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as X
 from lectern.operators.arrow import map_columns, map_partition
-from lectern.operators.lookup import salted
+from lectern.operators.lookup import checked
 from lectern.operators.segment import split
 from lectern.session import checkpoint_dir
 
@@ -54,7 +55,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     placed = placed.withColumn("part", F.shiftright("id", 33)).withColumn("k", F.col("id").bitwiseAND((1 << 33) - 1))
     sizes = placed.groupBy("file", "part").agg(F.count("*").alias("n"), F.min("k").alias("k0"))
     before = sizes.select("file", "part", "k0", (F.sum("n").over(Window.partitionBy("file").orderBy("part")) - F.col("n")).alias("before"))
-    return placed.join(before, ["file", "part"]).select("file", (F.col("before") + F.col("k") - F.col("k0")).alias("line_no"), "line")
+    return checked(placed, before, ["file", "part"], ("id",)).select("file", (F.col("before") + F.col("k") - F.col("k0")).alias("line_no"), "line")
 
 
 def file_encodings(lines: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def file_encodings(lines: DataFrame) -> DataFrame:
         rows = [(f, e) for f, es in bad.items() for e in _LEGACY if e not in es]
         yield {"file": [r[0] for r in rows], "encoding": [r[1] for r in rows], "tasks": [1] * len(rows)}
 
-    foreign = salted(lines, flags.filter("NOT utf8").select("file"), "file", ("line_no",))
+    foreign = checked(lines, flags.filter("NOT utf8").select("file"), "file", ("line_no",))
     fits = map_partition(foreign.select("file", F.col("line").cast("binary").alias("data")), kernel, "file string, encoding string, tasks bigint")
     votes = fits.groupBy("file", "encoding").agg(F.sum("tasks").alias("n"))
     most = votes.groupBy("file").agg(F.max(F.when(F.col("encoding") == _LEGACY[-1], F.col("n"))).alias("all"))
@@ -92,7 +93,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line, encoding): lines decoded by the encoding of their file, in
     composed form (NFC), without a byte order mark."""
     lines = numbered_lines(spark, path)
-    known = salted(lines, file_encodings(lines), "file", ("line_no",))
+    known = checked(lines, file_encodings(lines), "file", ("line_no",))
 
     def kernel(columns: dict) -> dict:
         out = []
@@ -130,7 +131,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     tables, of tables by white space and of plain lines. Blank rows of tables are left
     out, blank lines of plain files stay."""
     lines = read_lines(spark, path).drop("encoding")
-    rows = salted(lines, file_shapes(lines), "file", ("line_no",), "left").withColumn("delimiter", F.coalesce("delimiter", F.lit("\t")))
+    rows = checked(lines, file_shapes(lines), "file", ("line_no",), "left").withColumn("delimiter", F.coalesce("delimiter", F.lit("\t")))
     line, white = F.col("line"), F.col("delimiter") == " "
     by_space = F.split(F.regexp_replace(line, r"^\s+", ""), r"\s+", F.coalesce("most", F.lit(-1)))
     rows = rows.withColumn("cells", F.when(white, by_space).when(F.contains(line, F.lit("\t")), F.split(line, "\t")).otherwise(F.array(line)))

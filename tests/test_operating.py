@@ -267,7 +267,7 @@ def test_judge_refusals():
     assert mining.judge_batch(Stubborn(TimeoutError()), "missing_space", items) == ["UNRESOLVED"]
 
 
-def test_patterns_and_application(spark, tmp_path):
+def test_patterns_and_application(spark, tmp_path, monkeypatch):
     rows = [(k, "Hello.World and ok.fine" if k % 2 else "Hello.World", "x") for k in range(50)] + [(99, None, "x"), (100, "", "x")]
     df = spark.createDataFrame(rows, "id bigint, line string, key string").repartition(7)
     got = {r.key: r for r in mining.patterns(df, "id", "line", "missing_space").collect()}
@@ -277,6 +277,9 @@ def test_patterns_and_application(spark, tmp_path):
     mining.write_verdicts(verdicts, str(tmp_path / "v"))
     done = mining.apply_joined(df, "id", "line", "missing_space", mining.load_verdicts(spark, str(tmp_path / "v"))).collect()
     assert len(done) == 50 and {r.text for r in done} == {"Hello. World and ok.fine", "Hello. World"}
+    by_map = sorted(tuple(r) for r in done)
+    monkeypatch.setattr(mining, "SENT_VERDICTS", 0)
+    assert by_map == sorted(tuple(r) for r in mining.apply_joined(df, "id", "line", "missing_space", verdicts).collect())
     (tmp_path / "m.json").write_text('{\n"verdicts": {"a": "YES", "b": "UNRESOLVED"}}')
     assert [tuple(r) for r in mining.load_verdicts(spark, str(tmp_path / "m.json"), whole=True).collect()] == [("a", "YES")]
     judged = mining.judge(mining.patterns(df, "id", "line", "missing_space"), "missing_space", lambda: mining.SeededJudge("missing_space"), verdicts.filter("key = 'ok.fine'"))
@@ -288,6 +291,8 @@ def test_salted_join_equals_a_join(spark):
     left = spark.range(500).selectExpr("id", "if(id < 400, 'hot', cast(id % 7 as string)) AS key")
     right = spark.createDataFrame([("hot", 1), ("3", 2)], "key string, v int")
     for how in ("inner", "left"):
+        got = lookup.checked(left, right, "key", ("id",), how).select("id", "v").collect()
+        assert sorted(got) == sorted(lookup.checked(left, right, "key", ("id",), how, most=1).select("id", "v").collect())
         assert sorted(lookup.salted(left, right, "key", ("id",), how).select("id", "v").collect()) == sorted(left.join(right, "key", how).select("id", "v").collect())
 
 
