@@ -12,7 +12,7 @@ from lectern.functions import tokens as K
 from lectern.operators import aligned, answers, bulk, evaluation, guards, mining, model, pairing, segment
 from lectern.operators.arrow import map_columns
 from lectern.operators.lookup import salted
-from lectern.plans.textual import _TAB, VERDICT_KEYS, documents, lines, payloads, s_blank, tab_rows
+from lectern.plans.textual import _LINES, _TAB, MARKS, VERDICT_KEYS, documents, lines, payloads, s_blank, s_sanitize, tab_rows
 from lectern.session import cut, prepare, spread
 from lectern.sources import files
 from lectern.sources.tables import table
@@ -206,10 +206,7 @@ def q_patch_fake(spark, folder):
     return model.patch(_texts(spark, folder), "payload_id", "source_text", model.FakeClient, QUICK, limit=LIMIT)
 
 
-def q_retry_states(spark, folder):
-    """Outcome and attempts for every fault, on every text."""
-    faults = ({}, {0: "timeout"}, {0: "timeout", 1: "timeout"}, {0: "limit"}, {0: "broken"}, {0: "prose"}, {0: "empty", 1: "empty"}, {0: "short"}, {0: "model"}, {0: "model", 1: "model"})
-
+def _outcomes(spark, folder, faults):
     def kernel(c):
         out = {"payload_id": [], "fault": [], "outcome": [], "attempts": []}
         for i, t in zip(c["payload_id"], c["source_text"]):
@@ -222,6 +219,25 @@ def q_retry_states(spark, folder):
     return map_columns(_texts(spark, folder), kernel, "payload_id bigint, fault int, outcome string, attempts int")
 
 
+def q_retry_states(spark, folder):
+    """Outcome and attempts for every fault of the service, on every text."""
+    both = lambda x: {0: x, 1: x}
+    return _outcomes(spark, folder, ({}, {0: "timeout"}, both("timeout"), {0: "limit"}, {0: "broken"}, {0: "prose"}, both("empty"), {0: "model"}, both("model")))
+
+
+def q_retry_short(spark, folder):
+    """Outcome and attempts where the answer leaves most of the text out."""
+    return _outcomes(spark, folder, ({0: "short"},))
+
+
+def q_verdict_files(spark, folder):
+    """Verdicts written and read back; open ones are left out."""
+    path = files.scratch(spark, "verdicts")
+    verdict = F.element_at(F.array(F.lit("YES"), F.lit("NO"), F.lit("UNRESOLVED")), (F.col("payload_id") % 3 + 1).cast("int"))
+    mining.write_verdicts(payloads(spark, folder).select(F.concat(F.lit('k"'), "payload_id").alias("key"), verdict.alias("verdict")), path)
+    return mining.load_verdicts(spark, path)
+
+
 def q_double_punct_apply(spark, folder):
     """Pairs of marks replaced by their first mark, for the keys with a verdict."""
     verdicts = spark.createDataFrame([(k, k[0]) for k in VERDICT_KEYS], "key string, verdict string")
@@ -259,6 +275,15 @@ def q_letter_digit_apply(spark, folder):
     return _apply(spark, folder, "letter_digit")
 
 
+def _key_counts(spark, folder, kind):
+    return mining.patterns(_lines(spark, folder), "line_id", "line", kind).select("key", "n")
+
+
+def q_digit_letter_counts(spark, folder):
+    """Occurrences of every key."""
+    return _key_counts(spark, folder, "digit_letter")
+
+
 def q_digit_letter_extract(spark, folder):
     return _extract(spark, folder, "digit_letter")
 
@@ -418,17 +443,33 @@ def q_write_roundtrip(spark, folder):
 
 
 def q_stream_ingest(spark, folder):
-    """Lines through micro-batches with a checkpoint: rows per batch."""
+    """Lines through micro-batches with a checkpoint: all arrive, in several batches."""
     source, target, check = (files.scratch(spark, n) for n in ("source", "target", "check"))
     lines(spark, folder).repartition(6, "doc_id").write.parquet(source)
     stream.ingest(spark, source, spark.read.parquet(source).schema, target, check, lambda b: b.withColumn("line", X.sanitize(F.col("line"))))
-    return spark.read.parquet(target).groupBy("batch_id").agg(F.count("*").alias("rows"))
+    got = spark.read.parquet(target)
+    return got.agg(F.count("*").alias("rows"), (F.count_distinct("batch_id") > 1).alias("several"), F.sum(F.length("line")).alias("characters"))
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 SQL: dict[str, str] = {
     "q_read_table": f"""WITH {_TAB}, c AS (SELECT row, CASE WHEN contains(row, chr(9)) THEN str_split(row, chr(9)) ELSE [row] END AS c FROM tab)
 SELECT c[1] AS first, list_filter(c[1:-2], lambda x: NOT {s_blank('x')})[-1] AS source_id, md5(trim(regexp_replace(c[-1], '(?i)</?(?:b|strong|em|i)>', '', 'g'))) AS h, ltrim(row)[1] = '#' AS is_comment, chr(9) AS delimiter FROM c""",
+    "q_retry_states": """WITH p AS (SELECT payload_id, (payload_id % 9)::INT AS fault, regexp_full_match(source_text, '[\\s\\x{A0}\\x{3000}\\x{2000}-\\x{200A}]*') AS blank FROM payloads WHERE source_text IS NOT NULL)
+SELECT payload_id, fault, CASE WHEN fault IN (2, 8) THEN 'timeout' WHEN fault = 6 THEN 'invalid' WHEN blank THEN 'empty' ELSE 'ok' END AS outcome,
+  (CASE WHEN fault IN (2, 8) THEN 1 WHEN fault = 6 THEN 2 WHEN fault = 4 THEN CASE WHEN blank THEN 3 ELSE 2 END WHEN fault = 5 THEN 2 WHEN blank THEN 2 ELSE 1 END)::INT AS attempts FROM p""",
+    "q_json_extract": "SELECT payload_id, payload_id % 7 <> 6 AS found, CASE payload_id % 7 WHEN 6 THEN 0 WHEN 3 THEN 15 ELSE 16 END::INT AS keys FROM payloads WHERE source_text IS NOT NULL AND corrected_text IS NOT NULL",
+    "q_verdict_files": "SELECT 'k\"' || payload_id AS key, CASE payload_id % 3 WHEN 0 THEN 'YES' ELSE 'NO' END AS verdict FROM payloads WHERE payload_id % 3 <> 2",
+    "q_double_punct_apply": f"""WITH {_LINES}, k AS (SELECT doc_id * 16777216 + pos AS line_id, len(list_filter(regexp_extract_all(line, '([{MARKS}])[ \\t]*([{MARKS}])'), lambda x: x IN {VERDICT_KEYS}))::INT AS fixes FROM lines) SELECT line_id, fixes FROM k WHERE fixes > 0""",
+    "q_stream_ingest": f"WITH {_LINES} SELECT count(*)::BIGINT AS rows, true AS several, sum(length({s_sanitize('line')}))::BIGINT AS characters FROM lines",
+    "q_eval_outputs": """WITH f AS (SELECT evaluator, result_file, count(*)::BIGINT AS line_count, count(*) FILTER (passed)::BIGINT AS passed_lines, count(*) FILTER (NOT coalesce(passed, false))::BIGINT AS failed_lines, round_even(100.0::DOUBLE * count(*) FILTER (passed) / count(*), 2) AS pass_rate_percent FROM line_results GROUP BY ALL),
+s AS (SELECT evaluator, count(*)::BIGINT AS runs, round_even(avg(pass_rate_percent), 2) AS average, round_even(100.0::DOUBLE * (1 - sum(failed_lines)::DOUBLE / sum(line_count)), 2) AS overall FROM f GROUP BY evaluator)
+SELECT evaluator, result_file, line_count, passed_lines, failed_lines, pass_rate_percent, runs, average, overall FROM f JOIN s USING (evaluator)""",
+    # labels become one sign, then every single space between two pieces is looked at
+    "q_digit_letter_counts": f"""WITH {_LINES}, p AS (SELECT doc_id, pos, str_split(regexp_replace(line, '(?i)\\[[^\\]\\n]*\\]\\s*:|\\[\\s*(?:speaker|spk|spkr|s|sp|спикер)[^\\]\\n]*\\]|\\b(?:speaker|spk|spkr|s|sp|спикер) ?\\d+\\s*:', '§', 'g'), ' ') AS p FROM lines),
+g AS (SELECT unnest(p[:-2]) AS a, unnest(p[2:]) AS b FROM p WHERE len(p) > 1)
+SELECT replace(lower(regexp_extract(a, '([^\\s\\p{{P}}\\p{{S}}\\p{{Z}}]{{0,20}})$', 1) || ' ' || regexp_extract(b, '^[^\\s\\p{{P}}\\p{{S}}\\p{{Z}}]{{0,20}}')), 'ß', 'ss') AS key, count(*)::BIGINT AS n
+FROM g WHERE (regexp_matches(a, '\\p{{Nd}}$') AND regexp_matches(b, '^\\p{{Latin}}')) OR (regexp_matches(a, '\\p{{Latin}}$') AND regexp_matches(b, '^\\p{{Nd}}')) GROUP BY 1""",
     "q_segment_rows_back": "SELECT doc_id, true AS ok FROM documents WHERE text IS NOT NULL",
     "q_snapshot": r"""WITH l AS (SELECT doc_id, (doc_id % 7)::INT AS chunk, unnest(range(len(l))) AS pos, unnest(l) AS line FROM (SELECT doc_id, str_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))
 SELECT chunk, count(*)::BIGINT AS n, count(*) FILTER (ltrim(line)[1] = '#' OR ((chunk < 3 OR pos % 3 <> 0) AND trim(regexp_replace(line, '[\x00-\x1F\x7F\x{85}\x{2028}\x{2029}]', ' ', 'g')) <> ''))::BIGINT AS filled FROM l GROUP BY chunk""",

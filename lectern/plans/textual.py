@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lectern.functions import classes as K
 from lectern.functions import steps as S
 from lectern.functions import text as X
+from lectern.functions import tokens as T
 from lectern.operators import chunks
 from lectern.operators.arrow import map_columns
 from lectern.session import prepare, spread
@@ -214,6 +215,49 @@ def q_join_rule(spark, folder):
     return rows.select("doc_id", "pos", X.needs_space(F.col("line"), F.col("nxt")).alias("needs"))
 
 
+def q_edit_parts(spark, folder):
+    """What safe edits ask of a text: its word characters, its other characters, whether
+    it holds any, a noise annotation, and the text without outer quotes."""
+    c = F.col("source_text")
+    rows = payloads(spark, folder).filter("source_text IS NOT NULL")
+    return rows.select(
+        "payload_id",
+        F.md5(F.regexp_replace(c, r"[^\p{L}\p{N}_]", "")).alias("words"),
+        F.md5(F.regexp_replace(c, r"[\p{L}\p{N}_]", "")).alias("rest"),
+        c.rlike(r"[\p{L}\p{N}_]").alias("any"),
+        X.has_noise(c).alias("noise"),
+        F.md5(X.unquote(F.concat(F.lit("“"), c, F.lit("”")))).alias("inner"),
+    )
+
+
+def _distinct_words(spark, folder):
+    words = F.explode(F.array_distinct(X.diff_words(F.col("source_text"))))
+    return spread(payloads(spark, folder).filter("source_text IS NOT NULL").select(words.alias("word")).distinct())
+
+
+def q_word_kinds(spark, folder):
+    """Distinct words: whether each is like a number, or a conversion by itself."""
+    prepare(spark)
+
+    def kernel(c):
+        return {"word": c["word"], "number": [T.is_number_like(w) for w in c["word"]], "conversion": [T.is_conversion([w]) for w in c["word"]]}
+
+    return map_columns(_distinct_words(spark, folder), kernel, "word string, number boolean, conversion boolean")
+
+
+def q_label_signature(spark, folder):
+    """Distinct labels in brackets with their signature and whether it is a sure one."""
+    prepare(spark)
+    label = F.explode(F.regexp_extract_all("source_text", F.lit(r"\[([^\[\]\n:]{1,24})\]:"), F.lit(1)))
+    rows = payloads(spark, folder).select(label.alias("label")).distinct()
+
+    def kernel(c):
+        got = [T.signature(x.split(" ")) for x in c["label"]]
+        return {"label": c["label"], "signature": ["|".join(g) for g in got], "sure": [T.strong_signature(g) for g in got]}
+
+    return map_columns(spread(rows), kernel, "label string, signature string, sure boolean")
+
+
 def q_row_count(spark, folder):
     return lines(spark, folder).agg(F.count("*").alias("rows"), F.count_if(~X.is_blank(F.col("line"))).alias("non_blank"))
 
@@ -361,6 +405,13 @@ SELECT doc_id, len(w)::BIGINT AS n, md5(coalesce(array_to_string(w, ' '), '')) A
     "q_no_space_positions": f"""WITH c AS (SELECT payload_id, unnest(range(length(source_text)))::INT AS pos, unnest(str_split(source_text, '')) AS ch FROM payloads WHERE regexp_matches(source_text, '[{K.NO_SPACE}]'))
 SELECT payload_id, pos, ch FROM c WHERE regexp_full_match(ch, '[{K.NO_SPACE}]') AND NOT regexp_full_match(ch, '[\\p{{P}}\\p{{S}}]')""",
     "q_join_rule": f"WITH {_LINES}, n AS (SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM lines) SELECT doc_id, pos, {s_needs('line', 'nxt')} AS needs FROM n WHERE nxt IS NOT NULL",
+    "q_edit_parts": f"""SELECT payload_id, md5(regexp_replace(source_text, '[^\\p{{L}}\\p{{N}}_]', '', 'g')) AS words, md5(regexp_replace(source_text, '[\\p{{L}}\\p{{N}}_]', '', 'g')) AS rest,
+  regexp_matches(source_text, '[\\p{{L}}\\p{{N}}_]') AS any, len(list_filter([{', '.join(repr(m) for m in X.NOISE_MARKERS)}], lambda m: contains(lower(source_text), m))) > 0 AS noise, md5(source_text) AS inner FROM payloads WHERE source_text IS NOT NULL""",
+    "q_word_kinds": f"""WITH w AS (SELECT DISTINCT unnest(list_filter(regexp_split_to_array(regexp_replace(lower(translate(source_text, 'İΣ', 'iσ')), '(://|[.:,;/])', ' \\1 ', 'g'), '{_WS}+'), lambda x: x <> '')) AS word FROM payloads WHERE source_text IS NOT NULL)
+SELECT word, regexp_full_match(word, '\\p{{Nd}}+([.,:٫٬]\\p{{Nd}}+)*(%|[\\p{{L}}\\p{{M}}]{{1,4}})?') AS number, regexp_matches(word, '[\\p{{Nd}}²³¹⁰⁴-⁹₀-₉]') OR NOT regexp_matches(word, '\\p{{L}}') AS conversion FROM w""",
+    "q_label_signature": """WITH l AS (SELECT DISTINCT unnest(regexp_extract_all(source_text, '\\[([^\\[\\]\\n:]{1,24})\\]:', 1)) AS label FROM payloads),
+s AS (SELECT label, list_filter(list_transform(str_split(lower(label), ' '), lambda x: trim(x)), lambda x: x <> '') AS s FROM l)
+SELECT label, coalesce(array_to_string(s, '|'), '') AS signature, len(list_filter(s, lambda x: regexp_full_match(x, '(spk|speaker|spkr)\\p{Nd}*') OR regexp_matches(x, '[\\p{Nd}_-]'))) > 0 AS sure FROM s""",
     "q_row_count": f"WITH {_LINES} SELECT count(*)::BIGINT AS rows, count(*) FILTER (NOT {s_blank('line')})::BIGINT AS non_blank FROM lines",
     "q_edit_text": "WITH a AS (" + " UNION ALL ".join(f"SELECT payload_id, '{f}' AS step, unnest(range(len({f}.edits)))::INT AS pos, unnest({f}.edits) AS e FROM payloads" for f in S.STEP_FIELDS.values()) + """)
 SELECT payload_id, step, pos, '<chg>' || e[1] || '</chg>' AS before, '<chg>' || e[2] || '</chg>' AS after, trim(e[2]) AS joined FROM a WHERE len(e) = 2""",
