@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -406,10 +407,15 @@ def _restore(run: str, table: Pairs, left: str, right: str, odd: float) -> Trial
         elif cost and gain > cost:
             weak.append((mapping, out, gain - cost))
 
+    small: float | None = None
+
     def capitals() -> float:
         """What the run would gain in small letters."""
-        low = run.lower()
-        return max(0.0, table.log_likelihood(left + low + right) - table.log_likelihood(left + run + right)) if low != run else 0.0
+        nonlocal small
+        if small is None:
+            low = run.lower()
+            small = max(0.0, table.log_likelihood(left + low + right) - table.log_likelihood(left + run + right)) if low != run else 0.0
+        return small
 
     for wrong in readers(run):
         out = _unread(run, wrong)
@@ -580,19 +586,33 @@ def _together(weak: dict[str, list], found: list) -> list[tuple[int, int, str, s
     sure = {mapping for *_, mapping in found}
     best, extra = SURE, []
     out: list[tuple[int, int, str, str]] = []
-    free = lambda a, b, kept: not any(a < y and x < b for x, y, *_ in kept)
     for mapping, runs_ in weak.items():
         taken: list[tuple[int, int, str, str]] = []
-        total = 0.0
+        total, edge = 0.0, -1
+        free = _free(found)
         for a, b, new, gain in sorted(runs_, key=lambda r: (r[0], -r[1])):
-            if free(a, b, found) and free(a, b, taken):
+            if a >= edge and free(a, b):
                 taken.append((a, b, new, mapping))
-                total += gain
+                total, edge = total + gain, b
         if mapping in sure:
-            out += [x for x in taken if free(x[0], x[1], out)]
+            free = _free(out)
+            out += [x for x in taken if free(x[0], x[1])]
         elif total > best and not mapping.endswith(">utf-8"):
             best, extra = total, taken
-    return out + [x for x in extra if free(x[0], x[1], out)]
+    free = _free(out)
+    return out + [x for x in extra if free(x[0], x[1])]
+
+
+def _free(kept: list[tuple[int, int, str, str]]):
+    """Whether a stretch touches none of those kept, which do not touch each other."""
+    ends = sorted((x, y) for x, y, *_ in kept)
+    starts = [x for x, _ in ends]
+
+    def free(a: int, b: int) -> bool:
+        k = bisect_left(starts, b) - 1
+        return k < 0 or ends[k][1] <= a
+
+    return free
 
 
 def _kernel_with(shared):
