@@ -57,11 +57,16 @@ def despace(c: Column, hangul: bool = True) -> Column:
     return c
 
 
+#: Latin letters and digits, and letters of all other scripts; both with their marks.
+LATIN_OR_DIGIT = r"[\p{IsLatin}\p{Nd}²³¹⁰⁴-⁹]\p{M}*"
+OTHER_LETTER = r"[\p{L}&&[^\p{IsLatin}]]"
+
+
 def script_boundaries(c: Column) -> Column:
-    """A space between Latin letters or digits and letters of other scripts."""
-    other = r"[\p{L}\p{M}&&[^\p{IsLatin}\p{Mn}]]"
-    c = F.regexp_replace(c, rf"(?<=[\p{{IsLatin}}0-9])(?={other})", " ")
-    return F.regexp_replace(c, rf"(?<={other})(?=[\p{{IsLatin}}0-9])", " ")
+    """A space between Latin letters or digits and letters of other scripts. Marks belong
+    to the letter before them; punctuation and symbols keep both sides apart anyway."""
+    c = F.regexp_replace(c, f"({LATIN_OR_DIGIT})(?={OTHER_LETTER})", "$1 ")
+    return F.regexp_replace(c, rf"({OTHER_LETTER}\p{{M}}*)(?=[\p{{IsLatin}}\p{{Nd}}²³¹⁰⁴-⁹])", "$1 ")
 
 
 def all_upper(c: Column) -> Column:

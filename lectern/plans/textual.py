@@ -18,7 +18,6 @@ LIMIT = 300
 VERDICT_KEYS = ("！！", "……")
 MARKS = r".,;:!?\x{3002}\x{FF0C}\x{FF1B}\x{FF1A}\x{FF01}\x{FF1F}\x{3001}\x{00B7}\x{2026}\x{FF0E}"
 LEGIT = ("!!", "??", "!?", "?!", "..")
-_OTHER = "Cyrillic Arabic Devanagari Han Hiragana Katakana Hangul Thai".split()
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,10 +150,7 @@ def q_despace(spark, folder):
 
 
 def q_script_boundary(spark, folder):
-    other = "[" + "".join(f"\\p{{Is{s}}}" for s in _OTHER) + "]"
-    t = F.regexp_replace("source_text", rf"([\p{{IsLatin}}0-9])({other})", "$1 $2")
-    t = F.regexp_replace(t, rf"({other})([\p{{IsLatin}}0-9])", "$1 $2")
-    return payloads(spark, folder).filter("source_text IS NOT NULL").select("payload_id", t.alias("t"))
+    return payloads(spark, folder).filter("source_text IS NOT NULL").select("payload_id", X.script_boundaries(F.col("source_text")).alias("t"))
 
 
 def q_case_flags(spark, folder):
@@ -353,7 +349,6 @@ def s_needs(a: str, b: str) -> str:
 
 _CHARS = "chars AS (SELECT DISTINCT unnest(str_split(source_text, '')) AS ch FROM payloads WHERE source_text IS NOT NULL)"
 _GRP = "CASE " + " ".join(f"WHEN regexp_matches(ch, '^[{c}]') THEN '{n}'" for n, c in K.GROUPS.items()) + " END"
-_OTH = "[" + "".join(f"\\p{{{s}}}" for s in _OTHER) + "]"
 _FW = X.FIRST_WORD
 _MARK_SQL = r"regexp_extract({x}, '(\p{{P}})[ \t\n\r]*$', 1)"
 _PUNCT = f"found AS (SELECT doc_id, pos, unnest(regexp_extract_all(line, '([{MARKS}])[ \\t]*([{MARKS}])')) AS key FROM lines), kept AS (SELECT * FROM found WHERE replace(replace(key, ' ', ''), chr(9), '') NOT IN ({', '.join(repr(x) for x in LEGIT)}))"
@@ -389,7 +384,8 @@ SELECT doc_id, array_to_string(list_append(list_transform(c[1:-2], lambda x: tra
     "q_strip_emoji": f"""WITH s AS (SELECT payload_id, source_text, trim(regexp_replace(regexp_replace(source_text, '[{K.EMOJI}]+', '', 'g'), '{_WS}{{2,}}', ' ', 'g')) AS t FROM payloads WHERE source_text IS NOT NULL)
 SELECT payload_id, t, t <> source_text AS changed FROM s""",
     "q_despace": f"WITH s AS (SELECT payload_id, source_text, {s_despace('source_text')} AS t FROM payloads WHERE source_text IS NOT NULL) SELECT payload_id, t, t <> source_text AS changed FROM s",
-    "q_script_boundary": f"SELECT payload_id, regexp_replace(regexp_replace(source_text, '([\\p{{Latin}}0-9])({_OTH})', '\\1 \\2', 'g'), '({_OTH})([\\p{{Latin}}0-9])', '\\1 \\2', 'g') AS t FROM payloads WHERE source_text IS NOT NULL",
+    "q_script_boundary": r"""SELECT payload_id, regexp_replace(regexp_replace(source_text, '([\p{Latin}\p{Nd}²³¹⁰⁴-⁹]\p{M}*)([^\P{L}\p{Latin}])', '\1 \2', 'g'),
+  '([^\P{L}\p{Latin}]\p{M}*)([\p{Latin}\p{Nd}²³¹⁰⁴-⁹])', '\1 \2', 'g') AS t FROM payloads WHERE source_text IS NOT NULL""",
     "q_case_flags": f"""WITH f AS (SELECT doc_id, text, regexp_matches(text, '\\p{{Lu}}') AND NOT regexp_matches(text, '[\\p{{Ll}}\\p{{Lt}}]') AS upper, regexp_matches(text, '\\p{{Ll}}') AND NOT regexp_matches(text, '[\\p{{Lu}}\\p{{Lt}}]') AS lower FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, upper, lower, md5(CASE WHEN upper AND len(list_filter(regexp_split_to_array(text, '{_WS}+'), lambda w: regexp_matches(w, '[\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]'))) > 1 AND length(lower(text)) = length(text) THEN lower(text) ELSE text END) AS norm FROM f""",
     "q_terminal_punct": f"""WITH f AS (SELECT payload_id, source_text s, corrected_text c, {_MARK_SQL.format(x='corrected_text')} AS mark, {_MARK_SQL.format(x='source_text')} AS want FROM payloads WHERE source_text IS NOT NULL AND corrected_text IS NOT NULL),

@@ -318,3 +318,15 @@ def test_chunks_by_a_plain_fold(spark, monkeypatch, block):
         state[g] = (0, chunk + 1) if run >= 5 else (run, chunk)
     assert {r.k: r.chunk_id for r in chunks.chunk_ids(df, "g", "k", "e", 5).collect()} == want
     assert chunks.chunk_ids(df.limit(0), "g", "k", "e", 5).count() == 0
+
+
+def test_script_boundaries(spark):
+    from lectern.functions import text as X
+    from pyspark.sql import functions as F
+
+    cases = {
+        "hello你好world": "hello 你好 world", "123你好": "123 你好", "abc123def": "abc123def", "abc.123": "abc.123", "abc,你好": "abc,你好",
+        "ที่3km": "ที่ 3km", "éa日本1": "éa 日本 1", "мир你好": "мир你好", "": "", "é日": "é 日",
+    }
+    df = spark.createDataFrame(list(cases.items()), "t string, want string")
+    assert [r for r in df.select("t", "want", X.script_boundaries(F.col("t")).alias("got")).collect() if r.got != r.want] == []
