@@ -386,6 +386,7 @@ def q_decode(spark, folder):
 def q_read_table(spark, folder):
     """Table rows written to files and read back with the encoding, delimiter and header
     of their file."""
+    prepare(spark)
     path = files.scratch(spark, "table")
     tab_rows(spark, folder).select("row").write.text(path)
     got = files.read_table(spark, path).filter("NOT is_header")
@@ -431,6 +432,7 @@ def q_payload_files(spark, folder):
 
 def q_write_roundtrip(spark, folder):
     """Rows written as lines and as records in the shared folder and read back."""
+    prepare(spark)
     rows = documents(spark, folder).select("doc_id", X.sanitize(F.col("text")).alias("text"))
     path = files.scratch(spark, "lines")
     files.write_lines(rows.select("doc_id", F.concat_ws("\t", F.col("doc_id").cast("string"), "text").alias("line")), path, "line", "doc_id")

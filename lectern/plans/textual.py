@@ -68,12 +68,14 @@ CHUNK = 4
 def q_chunk_ids(spark, folder):
     """Chunks of a document's lines: a chunk closes on the line where its running
     estimate reaches the target, then the count starts again."""
+    prepare(spark)
     rows = lines(spark, folder).select("doc_id", "pos", X.estimate_segments(F.col("line"), LIMIT).alias("e"))
     return chunks.chunk_ids(rows, "doc_id", "pos", "e", CHUNK).groupBy("doc_id", "chunk_id").agg(F.count("*").alias("rows"))
 
 
 def q_file_chunks(spark, folder):
     """Chunks over whole files: the lines of all documents of a source in order."""
+    prepare(spark)
     rows = documents(spark, folder).select("doc_id", F.coalesce("source", F.lit("-")).alias("file"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     rows = rows.select("file", (F.col("doc_id") * (1 << 24) + F.col("pos")).alias("at"), X.estimate_segments(F.col("line"), LIMIT).alias("e"))
     got = chunks.chunk_ids(rows, "file", "at", "e", CHUNK)
