@@ -19,7 +19,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.clients import RateLimited
+from lectern.functions import text as X
+from lectern.operators import answers, segment
+from lectern.operators.arrow import map_columns
+from lectern.operators.clients import FakeClient, RateLimited
 
 #: Records of a file; files that one hash bucket is divided into.
 FILE_RECORDS, FILES_PER_BUCKET = 10_000, 8
@@ -91,8 +94,53 @@ def run(requests: DataFrame, make_client: Callable, pause: float = 30.0, size: i
     return files.groupBy("file").applyInPandas(work, "key string, outcome string, text string")
 
 
+MARKER = "%%PS%%"
+
+
+def segment_states(segs: DataFrame, results: DataFrame) -> DataFrame:
+    """(id, seg_no, state, text) of segments (id, seg_no, seg_text, key) and results (key,
+    outcome, text): an answer is read, checked and guarded; filtered segments pass through
+    as they are, all others that are not sound fail with their own text."""
+    joined = segs.join(results, "key", "left").select("id", "seg_no", "seg_text", "outcome", "text")
+
+    def kernel(columns: dict) -> dict:
+        out = {"id": columns["id"], "seg_no": columns["seg_no"], "state": [], "text": []}
+        for source, outcome, answer in zip(columns["seg_text"], columns["outcome"], columns["text"]):
+            payload = answers.respond(answer, source)[0] if outcome == "ok" else None
+            good = payload is not None and bool((payload.get("corrected_text") or "").strip())
+            out["state"].append("ok" if good or not source.strip() else "filtered" if outcome == "filtered" else "fail")
+            out["text"].append(payload["corrected_text"] if good else source)
+        return out
+
+    return map_columns(joined, kernel, "id bigint, seg_no int, state string, text string")
+
+
+def patch_lines(df: DataFrame, id_col: str, text_col: str, make_client: Callable, prior: DataFrame | None = None, limit: int = 300, size: int = FILE_RECORDS, pause: float = 30.0) -> DataFrame:
+    """(id, text, state) of all lines by bulk jobs. Lines that ``prior`` (id, text) has
+    done are taken over and not asked again; a line with a segment that failed comes out
+    as a marker of its segments' states, from which a later run goes on."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("line")).filter("line IS NOT NULL")
+    done = None
+    if prior is not None:
+        done = prior.filter(~F.col("text").startswith(MARKER) & F.col("text").rlike(r"\S")).select("id", "text")
+        rows = rows.join(done.select("id"), "id", "left_anti")
+    segs = segment.segments(rows, "id", "line", limit)
+    key = F.concat(F.col("id"), F.lit("_s"), F.col("seg_no"))
+    prompt = F.concat(F.lit("before: "), "prev_context", F.lit("; after: "), "next_context", F.lit("; text: "), "seg_text")
+    segs = segs.select("id", "seg_no", "seg_text", key.alias("key"), request_record(key, prompt).alias("record"))
+    states = segment_states(segs.drop("record"), run(segs.select("key", "record"), make_client, pause, size))
+    lines = states.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("seg_no", "state", "text"))).alias("parts"))  # the segments of one line
+    whole = ~F.exists("parts", lambda p: p["state"] == "fail")
+    kept = F.transform("parts", lambda p: F.struct(p["state"].alias("s"), p["text"].alias("t")))
+    marker = F.concat(F.lit(MARKER), F.to_json(F.struct(F.lit(limit).alias("limit"), kept.alias("parts"))))
+    text = F.when(whole, X.join_parts(F.transform("parts", lambda p: p["text"]))).otherwise(marker)
+    got = lines.select("id", text.alias("text"), F.when(whole, "done").otherwise("partial").alias("state"))
+    return got if done is None else got.unionByName(done.withColumn("state", F.lit("kept")))
+
+
 class FakeBulk:
-    """Deterministic service: jobs pass through two states; every fifth key is cut off."""
+    """Deterministic service: jobs pass through two states; of every tenth key the answer
+    is cut off, of another tenth it is filtered."""
 
     def __init__(self):
         self.jobs: dict[int, list] = {}
@@ -110,6 +158,7 @@ class FakeBulk:
         for line in self.jobs[job][0]:
             row = json.loads(line)
             n = sum(map(ord, row["custom_id"]))
-            choice = {"finish_reason": "length" if n % 5 == 0 else "stop", "message": {"content": row["body"]["messages"][0]["content"].removeprefix("text: ")}}
+            said = FakeClient().complete(row["body"]["messages"][0]["content"])
+            choice = {"finish_reason": ("length", "content_filter")[n % 2] if n % 5 == 0 else "stop", "message": {"content": said}}
             out.append(json.dumps({"custom_id": row["custom_id"], "response": {"status_code": 200, "body": {"choices": [choice]}}}, ensure_ascii=False))
         return out

@@ -17,7 +17,7 @@ from lectern.operators.arrow import map_columns
 from lectern.operators.clients import FakeClient, RateLimited, WrongModel
 from lectern.operators.segment import split
 
-__all__ = ["FakeClient", "Policy", "RateLimited", "WrongModel", "call", "corrected", "each", "no_wait", "patch", "patch_line", "seeded"]
+__all__ = ["FakeClient", "Policy", "RateLimited", "WrongModel", "call", "corrected", "each", "no_wait", "patch", "patch_line", "reminded", "seeded"]
 
 
 def seeded(*parts) -> float:
@@ -46,8 +46,9 @@ class Gate:
 
 @dataclass(frozen=True)
 class Policy:
-    """Retry limits, waits and the number of questions a task has under way at once.
-    ``sleep`` is a parameter so tests need not wait."""
+    """Retry limits, waits and the number of questions a task has under way at once. With
+    ``remind`` every attempt is marked and asks for JSON again, for services that keep a
+    conversation. ``sleep`` is a parameter so tests need not wait."""
 
     timeout_retries: int = 1
     empty_retries: int = 1
@@ -56,6 +57,7 @@ class Policy:
     jitter: float = 0.08
     concurrency: int = 5
     unit: float = 10.0
+    remind: bool = False
     sleep: Callable[[float], None] = time.sleep
     gate: Gate = field(default_factory=Gate, compare=False)
 
@@ -102,18 +104,25 @@ def each(work: Callable, items: Iterable, concurrency: int) -> list:
         return list(pool.map(work, items))
 
 
+def reminded(prompt: str, policy: Policy, key) -> str:
+    """The prompt of one attempt: no two attempts read alike where the policy says so."""
+    if not policy.remind:
+        return prompt
+    return f"request {int(seeded('mark', key) * 16**8):08x}; answer with the JSON object alone.\n{prompt}"
+
+
 def corrected(client, text: str, policy: Policy, key) -> tuple[dict | None, str, int]:
     """(payload, outcome, attempts): call, parse, repair once per attempt, retry."""
     prompt, outcome, tries = f"text: {text}", "failed", 0
     for attempt in range(policy.empty_retries + 1):
         tries += 1
-        content = call(client, prompt, policy, (key, attempt))
+        content = call(client, reminded(prompt, policy, (key, attempt)), policy, (key, attempt))
         if content is None:
             return None, "timeout", tries
         payload, error = answers.respond(content, text)
         if error and not error.startswith((answers.NON_REPAIRABLE, "Long-span", "JSON parse recursion")):
             tries += 1
-            content = call(client, prompt, policy, (key, attempt, "repair"))
+            content = call(client, reminded(prompt, policy, (key, attempt, "repair")), policy, (key, attempt, "repair"))
             payload, error = answers.respond(content, text)
         if error and error.startswith("Long-span"):
             return None, "long_span", tries  # the caller shortens the text

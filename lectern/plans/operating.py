@@ -201,6 +201,14 @@ def q_bulk_run(spark, folder):
     return bulk.run(_requests(spark, folder), bulk.FakeBulk, pause=0.0, size=2000).select("key", "outcome", F.md5("text").alias("h"))
 
 
+def q_bulk_patch(spark, folder):
+    """All texts by bulk jobs, then what is partial once more: texts and states."""
+    rows = _texts(spark, folder)
+    first = bulk.patch_lines(rows, "payload_id", "source_text", bulk.FakeBulk, limit=LIMIT, size=2000, pause=0.0)
+    again = bulk.patch_lines(rows, "payload_id", "source_text", bulk.FakeBulk, cut(first.select("id", "text")), LIMIT, 2000, 0.0)
+    return again.select(F.col("id").alias("payload_id"), F.md5("text").alias("h"), "state")
+
+
 def q_patch_fake(spark, folder):
     """All texts through the deterministic client."""
     return model.patch(_texts(spark, folder), "payload_id", "source_text", model.FakeClient, QUICK, limit=LIMIT)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lectern.functions import tokens as K
-from lectern.operators import aligned, bulk, clients, evaluation, guards, lookup, mining, model, pairing
+from lectern.operators import aligned, answers, bulk, clients, evaluation, guards, lookup, mining, model, pairing
 
 QUICK = model.Policy(sleep=model.no_wait)
 words = st.lists(st.sampled_from("a b c dd ee 我 你 ไป . , 12".split()), max_size=40)
@@ -172,7 +172,8 @@ def test_bulk():
     job = bulk.FakeBulk()
     lines = [json.dumps({"custom_id": f"idx-{k}", "body": {"messages": [{"content": f"text: {k}"}]}}) for k in range(20)]
     got = {x[0]: x for x in map(bulk.read_result, bulk.run_job(job, lines, 0.0, model.no_wait))}
-    assert len(got) == 20 and {x[1] for x in got.values()} == {"ok", "length"} and all(x[2] == k for k, x in got.items() if x[1] == "ok")
+    assert len(got) == 20 and {x[1] for x in got.values()} == {"ok", "length", "filtered"}
+    assert all(answers.respond(x[2], k)[0]["corrected_text"] == k for k, x in got.items() if x[1] == "ok")
     assert bulk.read_result("{") is None and bulk.read_result('{"custom_id":"idx-1","response":{"status_code":500}}') == ("1", "failed", None)
     tries = []
 
@@ -191,6 +192,37 @@ def test_bulk_files_hold_a_set_size(spark):
     assert sum(sizes) == 1000 and max(sizes) <= 30 and not bulk.in_files(rows.filter("key < '0'")).count()
 
 
+def test_bulk_lines(spark):
+    """Lines come out whole, filtered segments as they were, failed ones in a marker; what
+    an earlier run has done is kept."""
+    long = "One sentence is here. " * 60
+    rows = [(k, long if k % 7 == 0 else f"line {k}") for k in range(60)] + [(99, None), (100, "  ")]
+    df = spark.createDataFrame(rows, "id bigint, t string")
+    got = {r.id: r for r in bulk.patch_lines(df, "id", "t", bulk.FakeBulk, pause=0.0, size=20).collect()}
+    assert set(got) == {*range(60), 100} and {r.state for r in got.values()} == {"done", "partial"}
+    texts = dict(rows)
+    assert all(r.text.split() == texts[k].split() for k, r in got.items() if r.state == "done")
+    part = json.loads(next(r.text for k, r in got.items() if r.state == "partial" and k % 7 == 0).removeprefix(bulk.MARKER))
+    assert part["limit"] == 300 and {p["s"] for p in part["parts"]} >= {"fail"} and "".join(p["t"] for p in part["parts"]) == long
+    prior = spark.createDataFrame([(1, "kept"), (2, bulk.MARKER + "{}"), (3, " ")], "id bigint, text string")
+    again = {r.id: r for r in bulk.patch_lines(df, "id", "t", bulk.FakeBulk, prior, pause=0.0).collect()}
+    assert again[1].text == "kept" and again[1].state == "kept" and again[2].state != "kept" and len(again) == 61
+
+
+def test_reminders():
+    class Log(clients.FakeClient):
+        seen: list = []
+
+        def complete(self, prompt, temperature=0.0):
+            self.seen.append(prompt)
+            return super().complete(prompt, temperature)
+
+    client = Log({0: "prose"})
+    assert model.corrected(client, "hello there", model.Policy(sleep=model.no_wait, remind=True), 1)[1] == "ok"
+    assert len(set(client.seen)) == 2 and all("JSON" in p and p.endswith("text: hello there") for p in client.seen)
+    assert model.reminded("x", QUICK, 1) == "x"
+
+
 # ---------------------------------------------------------------- evaluation
 
 
