@@ -130,6 +130,53 @@ def q_guards_alone(spark, folder):
     return map_columns(_pairs(spark, folder), kernel, "payload_id bigint, " + ", ".join(f"{k} boolean" for k in kinds))
 
 
+#: Words that no text holds, put in and taken out to probe comparisons.
+STRANGE = " qvalpha qvbeta qvgamma qvdelta qvepsilon"
+
+
+def q_guard_probe(spark, folder):
+    """Guards on every text against itself, against itself with five strange words less,
+    and with five more."""
+
+    def kernel(c):
+        out = {"payload_id": c["payload_id"], "same": [], "less": [], "more": [], "alone_less": [], "alone_more": []}
+        for t in c["source_text"]:
+            out["same"].append(guards.check_parts(t, t, LIMIT)[0])
+            out["less"].append(guards.check_parts(t + STRANGE, t, LIMIT)[2])
+            out["more"].append(guards.check_parts(t, t + STRANGE, LIMIT)[2])
+            out["alone_less"].append(guards.guards_alone_parts(t + STRANGE, t, LIMIT)["long_span"])
+            out["alone_more"].append(guards.guards_alone_parts(t, t + STRANGE, LIMIT)["hallucination"])
+        return out
+
+    return map_columns(_texts(spark, folder), kernel, "payload_id bigint, same boolean, less string, more string, alone_less boolean, alone_more boolean")
+
+
+def q_edit_probe(spark, folder):
+    """Edits between every text and itself, and itself with one strange word put behind
+    and one before it; safe edits that take neither."""
+    word = STRANGE.split()[0]
+
+    def kernel(c):
+        out = {"payload_id": c["payload_id"], "same": [], "behind": [], "before": [], "kept": []}
+        for t in c["source_text"]:
+            out["same"].append(len(aligned.edits(t, t)))
+            for name, other in (("behind", f"{t} {word}"), ("before", f"{word} {t}")):
+                got = aligned.edits(t, other)
+                out[name].append(len(got) == 1 and f"<chg>{word}</chg>" in got[0])
+            out["kept"].append(word not in guards.safe_edits(t, f"{t} {word}", LIMIT))
+        return out
+
+    return map_columns(_texts(spark, folder), kernel, "payload_id bigint, same int, behind boolean, before boolean, kept boolean")
+
+
+def q_segment_limits(spark, folder):
+    """Characters and segments of every document, and whether all segments keep the limit."""
+    got = _segments(spark, folder).groupBy("doc_id").agg(
+        F.sum(F.length("seg_text")).alias("chars"), (F.max(F.length("seg_text")) <= LIMIT * 3 // 2).alias("fits"), (F.count("*") > 1).alias("cut"), F.max("end_off").alias("end")
+    )
+    return got.select("doc_id", "chars", "fits", "cut", "end")
+
+
 def q_safe_edits(spark, folder):
     """Corrections reduced to punctuation and case, with the number of edits followed,
     cleaned and rejected. Pairs are cut at common words and not at line breaks, which
@@ -465,6 +512,9 @@ QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 SQL: dict[str, str] = {
     "q_read_table": f"""WITH {_TAB}, c AS (SELECT row, CASE WHEN contains(row, chr(9)) THEN str_split(row, chr(9)) ELSE [row] END AS c FROM tab)
 SELECT c[1] AS first, list_filter(c[1:-2], lambda x: NOT {s_blank('x')})[-1] AS source_id, md5(trim(regexp_replace(c[-1], '(?i)</?(?:b|strong|em|i)>', '', 'g'))) AS h, ltrim(row)[1] = '#' AS is_comment, chr(9) AS delimiter FROM c""",
+    "q_guard_probe": """SELECT payload_id, true AS same, 'long_span' AS less, CASE WHEN regexp_matches(source_text, '[^\\s\\p{Z}\\p{P}]') THEN 'hallucination' END AS more, false AS alone_less, false AS alone_more FROM payloads WHERE source_text IS NOT NULL""",
+    "q_edit_probe": "SELECT payload_id, 0 AS same, true AS behind, true AS before, true AS kept FROM payloads WHERE source_text IS NOT NULL",
+    "q_segment_limits": f"SELECT doc_id, length(text)::BIGINT AS chars, true AS fits, length(text) > {LIMIT * 3 // 2} AS cut, length(text)::INT AS end FROM documents WHERE text IS NOT NULL",
     "q_retry_states": """WITH p AS (SELECT payload_id, (payload_id % 9)::INT AS fault, regexp_full_match(source_text, '[\\s\\x{A0}\\x{3000}\\x{2000}-\\x{200A}]*') AS blank FROM payloads WHERE source_text IS NOT NULL)
 SELECT payload_id, fault, CASE WHEN fault IN (2, 8) THEN 'timeout' WHEN fault = 6 THEN 'invalid' WHEN blank THEN 'empty' ELSE 'ok' END AS outcome,
   (CASE WHEN fault IN (2, 8) THEN 1 WHEN fault = 6 THEN 2 WHEN fault = 4 THEN CASE WHEN blank THEN 3 ELSE 2 END WHEN fault = 5 THEN 2 WHEN blank THEN 2 ELSE 1 END)::INT AS attempts FROM p""",
