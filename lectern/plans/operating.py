@@ -3,6 +3,7 @@ calls, mining and streaming. Tests hold them against golden cases and properties
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from lectern.functions import tokens as K
 from lectern.operators import aligned, answers, bulk, evaluation, guards, mining, model, pairing, segment
 from lectern.operators.arrow import map_columns
 from lectern.operators.lookup import salted
-from lectern.plans.textual import _LINES, _TAB, MARKS, VERDICT_KEYS, documents, lines, payloads, s_blank, s_sanitize, tab_rows
+from lectern.plans.textual import _LINES, _TAB, MARKS, VERDICT_KEYS, documents, lines, payloads, s_blank, s_needs, s_sanitize, tab_rows
 from lectern.session import cut, prepare, spread
 from lectern.sources import files
 from lectern.sources.tables import table
@@ -169,6 +170,51 @@ def q_edit_probe(spark, folder):
     return map_columns(_texts(spark, folder), kernel, "payload_id bigint, same int, behind boolean, before boolean, kept boolean")
 
 
+def q_mend_probe(spark, folder):
+    """Every text with one fault of each kind behind it, of which alone a verdict asks to
+    be mended."""
+    faults = {
+        "missing_space": ("qvone.Qvtwo", "qvone.qvtwo", "YES"), "letter_digit": ("qvword42", "qvword|42", "INSERT"),
+        "digit_letter": ("77 qvx", "77 qvx", "REMOVE"), "double_mark": ("qv;：", ";：", ";"),
+    }
+
+    def kernel(c):
+        out = {"payload_id": c["payload_id"]}
+        for kind, (fault, key, verdict) in faults.items():
+            out[kind] = [hashlib.md5(mining.apply_text(f"{t}\n{fault}", kind, {key: verdict})[0].encode()).hexdigest() for t in c["source_text"]]
+        return out
+
+    return map_columns(_texts(spark, folder), kernel, "payload_id bigint, " + ", ".join(f"{k} string" for k in faults))
+
+
+def q_label_probe(spark, folder):
+    """Every text with a label behind it that its source writes without space: that label
+    loses its space, those of the text stay as they are."""
+
+    def kernel(c):
+        got = [mining.unspace_labels(f"{t}\n[Qv 7]: b", mining.label_forms(f"{t}\n[Qv7]: a")) for t in c["source_text"]]
+        return {"payload_id": c["payload_id"], "t": got}
+
+    return map_columns(_texts(spark, folder), kernel, "payload_id bigint, t string")
+
+
+def q_answer_probe(spark, folder):
+    """Every text as JSON within fences, quotes, mark-up and prose, as text of a nested
+    response: whether it comes back."""
+
+    def kernel(c):
+        out = {"payload_id": c["payload_id"], "back": [], "nested": []}
+        for i, t in zip(c["payload_id"], c["source_text"]):
+            body = json.dumps({"a": t}, ensure_ascii=i % 2 == 0)
+            shape = (f"```json\n{body}\n```", f"~~~\n{body}\n~~~", f"> {body}", f"<pre><code>{body}</code></pre>", f"So: {body} Done.", f"> ```\n> {body}\n> ```")[i % 6]
+            plain = answers.unfence(shape)
+            out["back"].append(json.loads(answers.fix_escapes(answers.first_object(plain) or plain))["a"] == t)
+            out["nested"].append(answers.text_of({"message": {"content": [{"text": t}, None, ["!"]]}}) == t + "!")
+        return out
+
+    return map_columns(_texts(spark, folder), kernel, "payload_id bigint, back boolean, nested boolean")
+
+
 def q_segment_limits(spark, folder):
     """Characters and segments of every document, and whether all segments keep the limit."""
     got = _segments(spark, folder).groupBy("doc_id").agg(
@@ -409,6 +455,22 @@ def q_eval_fake(spark, folder):
     return got.select("payload_id", "passed", "rate", F.array_join("summary", "; ").alias("summary"), F.size("reasons").alias("reasons"))
 
 
+class _Strict:
+    """Evaluator that finds every edit with one strange word invalid and all others valid."""
+
+    def complete(self, prompt, temperature=0.0):
+        edits = json.loads(prompt.rsplit("extracted_edits:\n", 1)[1])
+        return json.dumps({"edits": [{"edit": e, "valid_step": None if "qvbeta" in e else "PUNCT", "rule": "R", "note": ""} for e in edits], "missing_edits": []})
+
+
+def q_eval_probe(spark, folder):
+    """Every text against itself with a word put behind it, judged by a known rule."""
+    odd = F.col("payload_id") % 2 == 1
+    rows = _texts(spark, folder).withColumn("t", F.concat("source_text", F.when(odd, " qvbeta").otherwise(" qvalpha")))
+    got = evaluation.judged(rows, "payload_id", "source_text", "t", _Strict, QUICK)
+    return got.select("payload_id", "passed", "rate", F.size("reasons").alias("reasons"), F.element_at("summary", 1).alias("summary"))
+
+
 def q_eval_outputs(spark, folder):
     """Score and summary files written for the recorded results and read back."""
     path = files.scratch(spark, "eval")
@@ -513,6 +575,17 @@ SQL: dict[str, str] = {
     "q_read_table": f"""WITH {_TAB}, c AS (SELECT row, CASE WHEN contains(row, chr(9)) THEN str_split(row, chr(9)) ELSE [row] END AS c FROM tab)
 SELECT c[1] AS first, list_filter(c[1:-2], lambda x: NOT {s_blank('x')})[-1] AS source_id, md5(trim(regexp_replace(c[-1], '(?i)</?(?:b|strong|em|i)>', '', 'g'))) AS h, ltrim(row)[1] = '#' AS is_comment, chr(9) AS delimiter FROM c""",
     "q_guard_probe": """SELECT payload_id, true AS same, 'long_span' AS less, CASE WHEN regexp_matches(source_text, '[^\\s\\p{Z}\\p{P}]') THEN 'hallucination' END AS more, false AS alone_less, false AS alone_more FROM payloads WHERE source_text IS NOT NULL""",
+    "q_eval_probe": """SELECT payload_id, payload_id % 2 = 0 AS passed, (payload_id % 2)::DOUBLE AS rate, (payload_id % 2)::INT AS reasons,
+  CASE payload_id % 2 WHEN 1 THEN 'edit_error_rate=100.00%; invalid=1; missing=0; opportunities=1' ELSE 'edit_error_rate=0.00%; invalid=0; missing=0; opportunities=1' END AS summary FROM payloads WHERE source_text IS NOT NULL""",
+    "q_patch_fake": r"""WITH p AS (SELECT payload_id, source_text, regexp_full_match(source_text, '[\s\x{A0}\x{3000}\x{2000}-\x{200A}]*') AS blank FROM payloads WHERE source_text IS NOT NULL)
+SELECT payload_id, CASE WHEN blank THEN '' ELSE source_text END AS text, CASE WHEN blank THEN 'blank' WHEN regexp_matches(source_text, '^\s*#') THEN 'comment' ELSE 'ok' END AS state FROM p""",
+    "q_merge_text": f"""WITH r AS (SELECT *, regexp_extract(custom_id, '^idx-(\\d+)', 1) AS line FROM payloads), f AS (SELECT * FROM r WHERE line <> '' QUALIFY row_number() OVER (PARTITION BY line, custom_id ORDER BY payload_id) = 1),
+g AS (SELECT line, list(coalesce(corrected_text, '') ORDER BY coalesce(seg_no, 0), coalesce(corrected_text, '')) AS l FROM f GROUP BY line)
+SELECT line, list_reduce(list_prepend('', l), lambda a, p: CASE WHEN p = '' THEN a WHEN a = '' THEN p WHEN {s_needs('a', 'p')} THEN a || ' ' || p ELSE a || p END) AS text FROM g""",
+    "q_mend_probe": """SELECT payload_id, md5(source_text || chr(10) || 'qvone. Qvtwo') AS missing_space, md5(source_text || chr(10) || 'qvword 42') AS letter_digit,
+  md5(source_text || chr(10) || '77qvx') AS digit_letter, md5(source_text || chr(10) || 'qv;') AS double_mark FROM payloads WHERE source_text IS NOT NULL""",
+    "q_label_probe": "SELECT payload_id, source_text || chr(10) || '[Qv7]: b' AS t FROM payloads WHERE source_text IS NOT NULL",
+    "q_answer_probe": "SELECT payload_id, true AS back, true AS nested FROM payloads WHERE source_text IS NOT NULL",
     "q_edit_probe": "SELECT payload_id, 0 AS same, true AS behind, true AS before, true AS kept FROM payloads WHERE source_text IS NOT NULL",
     "q_segment_limits": f"SELECT doc_id, length(text)::BIGINT AS chars, true AS fits, length(text) > {LIMIT * 3 // 2} AS cut, length(text)::INT AS end FROM documents WHERE text IS NOT NULL",
     "q_retry_states": """WITH p AS (SELECT payload_id, (payload_id % 9)::INT AS fault, regexp_full_match(source_text, '[\\s\\x{A0}\\x{3000}\\x{2000}-\\x{200A}]*') AS blank FROM payloads WHERE source_text IS NOT NULL)
