@@ -64,8 +64,12 @@ def _punctuated(spark: SparkSession, folder: str) -> DataFrame:
     return spread(rows.select("payload_id", F.inline(fields)).filter("text IS NOT NULL"))
 
 
-def _chain(spark: SparkSession, folder: str, bare: bool = False) -> sentences.Chain:
-    return sentences.train(table(spark, folder, "payloads").select("corrected_text", "ct_punct"), bare)
+def _chain(spark: SparkSession, folder: str, bare: bool = False, most: int = sentences.SAMPLE_ROWS) -> sentences.Chain:
+    return sentences.train(table(spark, folder, "payloads").select("corrected_text", "ct_punct"), bare, most)
+
+
+#: Labelled rows of the chain by which sentences of answers are only counted.
+COUNTING_ROWS = 2500
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,7 +108,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Defective answers with their defect."""
     prepare(spark)
     rows = table(spark, folder, "payloads").select("payload_id", "source_text", "corrected_text", "translation")
-    judge = pairs.Judge(_languages(spark, folder), _chain(spark, folder), pairs.usual_lengths(rows))
+    judge = pairs.Judge(_languages(spark, folder), _chain(spark, folder, most=COUNTING_ROWS), pairs.usual_lengths(rows))
     return pairs.defects(spread(rows), judge)
 
 

@@ -387,10 +387,11 @@ def bare_data(rows: list[tuple[str, list]]) -> list[tuple[list, list[bool]]]:
     return data
 
 
-def train(df: DataFrame, bare: bool = False) -> Chain:
-    """Fit on a bounded sample of labelled rows, picked by the hash of their text."""
+def train(df: DataFrame, bare: bool = False, most: int = SAMPLE_ROWS) -> Chain:
+    """Fit on a bounded sample of at most ``most`` labelled rows, picked by the hash of
+    their text."""
     rows = df.filter("corrected_text IS NOT NULL AND size(ct_punct.edits) > 0 ").filter(F.length("corrected_text") < SAMPLE_CHARS)
-    picked = bounded(rows.select("corrected_text", F.col("ct_punct.edits").alias("edits")), "corrected_text", SAMPLE_ROWS, "corrected_text", "edits")
+    picked = bounded(rows.select("corrected_text", F.col("ct_punct.edits").alias("edits")), "corrected_text", most, "corrected_text", "edits")
     rows = [(r.corrected_text, r.edits) for r in picked]
     chain = Chain().fit(training_data(rows))
     if bare:
