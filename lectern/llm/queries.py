@@ -69,7 +69,7 @@ def _chain(spark: SparkSession, folder: str, bare: bool = False, most: int = sen
 
 
 #: Labelled rows of the chain by which sentences of answers are only counted.
-COUNTING_ROWS = 2500
+COUNTING_ROWS = 5000
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
