@@ -298,8 +298,9 @@ def _sequence_masks() -> tuple[dict[str, int], dict[str, int]]:
 
 
 _TWO = re.compile("[^\x00-\x7f]{2,}")
-#: Runs of these letters alone are written so; as bytes of UTF-8 they would be symbols.
-_CYRILLIC = re.compile("[\u0410-\u044f\u0401\u0451\x00-\x7f]*")
+#: Runs of the letters of one of these scripts alone are written so; as bytes of UTF-8
+#: they would hold symbols or controls as well.
+_PLAIN = re.compile("[\u0410-\u044f\u0401\u0451\x00-\x7f]*|[\u0e01-\u0e5b\x00-\x7f]*")
 
 
 @lru_cache(1)
@@ -313,7 +314,7 @@ def _start() -> re.Pattern:
 def readers(run: str) -> list[str]:
     """Encodings by which the run can be UTF-8 read one byte a character: those in which
     two neighbours look like the start of a sequence."""
-    if _CYRILLIC.fullmatch(run) or not _start().search(run):
+    if _PLAIN.fullmatch(run) or not _start().search(run):
         return []
     first, later = _sequence_masks()
     mask = 0
