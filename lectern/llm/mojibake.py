@@ -303,6 +303,13 @@ _TWO = re.compile("[^\x00-\x7f]{2,}")
 _PLAIN = re.compile("[\u0410-\u044f\u0401\u0451\x00-\x7f]*|[\u0e01-\u0e5b\x00-\x7f]*")
 
 
+#: Lines of one of these scripts that no reader makes out of other text: bytes read as
+#: Arabic or Thai also give signs beside the letters, and no encoding here has Devanagari.
+_OWN = re.compile(
+    "[\x00-\x7f\u0621-\u0652\u0660-\u0669\u060c\u061b\u061f]*|[\x00-\x7f\u0e01-\u0e5b]*|[\x00-\x7f\u0900-\u097f]*"
+)
+
+
 @lru_cache(1)
 def _start() -> re.Pattern:
     first, later = _sequence_masks()
@@ -432,7 +439,7 @@ def _restore(run: str, table: Pairs, left: str, right: str, odd: float) -> Trial
                 offer(_invert(run, wrong, "utf-8"), f"{wrong}>utf-8", 6.0)
     if able and best is None and odd >= 0.5 and high >= 4 and high >= 0.35 * len("".join(run.split())):
         for wrong, true in DENSE:
-            if wrong in able:
+            if wrong in able and (wrong not in DOUBLE or _CJK.search(run)):
                 out = _invert(run, wrong, true)
                 if out is not None:  # a shorter text is likelier for its length alone, capitals are rare anyway
                     cost = COST * high + SHORTER * (len(run) - len(out)) + capitals()
@@ -541,6 +548,8 @@ def _worked(texts: list[str], table: Pairs):
     for x, y, k in zip(first[heavy].tolist(), last[heavy].tolist(), owner.tolist()):
         start = x + 1 - int(begins[k])
         text = texts[k][start : start + y - x - 1]
+        if _OWN.fullmatch(text):
+            continue
         line = table.lines.get(text)
         if line is None:
             if len(table.lines) >= HELD_LINES:
