@@ -402,16 +402,17 @@ def _restore(run: str, table: Pairs, left: str, right: str, odd: float) -> Trial
     best: tuple[float, str, str] | None = None
     weak: list[tuple[str, str, float]] = []
     base: float | None = None
-    seen = {run}
+    gains: dict[str, float] = {}  # several mappings may make the same of a run
 
     def offer(out: str | None, mapping: str, need: float, cost: float = 0.0) -> None:
         nonlocal best, base
-        if out is None or out in seen or _ODD.search(out):
+        if out is None or out == run or out not in gains and _ODD.search(out):
             return
-        seen.add(out)  # what several mappings make alike is the first one's
         if base is None:
             base = table.log_likelihood(left + run + right)
-        gain = 9.0 if out.startswith(_MARKED) and out[1:] in run else table.log_likelihood(left + out + right) - base
+        gain = gains.get(out)
+        if gain is None:
+            gain = gains[out] = 9.0 if out.startswith(_MARKED) and out[1:] in run else table.log_likelihood(left + out + right) - base
         if gain > need and (best is None or gain > best[0]):
             best = (gain, out, mapping)
         elif cost and gain > cost:
