@@ -409,7 +409,7 @@ SELECT payload_id, pos, ch FROM c WHERE regexp_full_match(ch, '[{K.NO_SPACE}]')
 SELECT word, regexp_full_match(word, '\\p{{Nd}}+([.,:٫٬]\\p{{Nd}}+)*(%|[\\p{{L}}\\p{{M}}]{{1,4}})?') AS number, regexp_matches(word, '[\\p{{Nd}}²³¹⁰⁴-⁹₀-₉]') OR NOT regexp_matches(word, '\\p{{L}}') AS conversion FROM w""",
     "q_label_signature": """WITH l AS (SELECT DISTINCT unnest(regexp_extract_all(source_text, '\\[([^\\[\\]\\n:]{1,24})\\]:', 1)) AS label FROM payloads),
 s AS (SELECT label, list_filter(list_transform(str_split(lower(label), ' '), lambda x: trim(x)), lambda x: x <> '') AS s FROM l)
-SELECT label, coalesce(array_to_string(s, '|'), '') AS signature, len(list_filter(s, lambda x: regexp_full_match(x, '(spk|speaker|spkr)\\p{Nd}*') OR regexp_matches(x, '[\\p{Nd}_-]'))) > 0 AS sure FROM s""",
+SELECT label, coalesce(array_to_string(s, '|'), '') AS signature, coalesce(array_to_string(s, ''), '') IN ('speaker', 'spk', 'spkr') OR regexp_matches(coalesce(array_to_string(s, ''), ''), '[\\p{Nd}_-]') AS sure FROM s""",
     "q_row_count": f"WITH {_LINES} SELECT count(*)::BIGINT AS rows, count(*) FILTER (NOT {s_blank('line')})::BIGINT AS non_blank FROM lines",
     "q_edit_text": "WITH a AS (" + " UNION ALL ".join(f"SELECT payload_id, '{f}' AS step, unnest(range(len({f}.edits)))::INT AS pos, unnest({f}.edits) AS e FROM payloads" for f in S.STEP_FIELDS.values()) + """)
 SELECT payload_id, step, pos, '<chg>' || e[1] || '</chg>' AS before, '<chg>' || e[2] || '</chg>' AS after, trim(e[2]) AS joined FROM a WHERE len(e) = 2""",

@@ -66,6 +66,25 @@ def test_tokens():
     assert K.strip_labels(K.tokenize("[SPK 1]: hi"))[0] == ["hi"]
 
 
+@pytest.mark.parametrize(
+    "text, labels, left",
+    [
+        ("[SPK 1]: hi", {("spk1",)}, ["hi"]), ("speaker 2: hi there", {("speaker2",)}, ["hi", "there"]), ("LWX: hi LWX: yes", {("lwx",)}, ["hi", "yes"]),
+        ("LWX: hi", set(), ["LWX", ":", "hi"]), ("王小明: 你好 ok 李四: 好", {("王小明",), ("李四",)}, ["你", "好", "ok", "好"]), ("José: a Zoë: b", {("josé",), ("zoë",)}, ["a", "b"]),
+        ("note: this", set(), ["note", ":", "this"]), ("[one two]: x", set(), ["[", "one", "two", "]", ":", "x"]), ("", set(), []),
+    ],
+)
+def test_labels(text, labels, left):
+    assert K.strip_labels(K.tokenize(text)) == (left, labels)
+    assert K.strip_known_labels(K.tokenize(text), labels) == left
+
+
+def test_label_like():
+    assert all(map(K.label_like, ("LWX", "S1", "spk_3", "USER-2", "a1", "小明", "Аня", "José", "élan2")))
+    assert not any(map(K.label_like, ("note", "1A", "", "élan", "foo-bar", "A" * 17, "д" * 13)))
+    assert K.strong_signature(("spk",)) and K.strong_signature(("a-b",)) and not K.strong_signature(("lwx",)) and not K.strong_signature(())
+
+
 def test_segments():
     flags = "🇩🇪🇫🇷"
     assert (segment.stabilize(flags, 0, 1, 4), segment.stabilize(flags, 0, 1, 1)) == (2, 1)
