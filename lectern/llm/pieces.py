@@ -127,7 +127,8 @@ def _overlap_start(text: str, cut: int, marks: dict[int, int], overlap: int, flo
 
 def chain(text: str, stops: list[tuple[int, int]], start: int, end: int, limit: int, overlap: int, first: int) -> list[tuple[int, int, int]]:
     """(start, end, rank of the end) of the pieces from cut ``first`` to ``end``; the
-    first piece starts at ``start``, which may lie before ``first``."""
+    first piece starts at ``start``, which may lie before ``first``, the others behind
+    ``first``, so that the first may also start there (``seam``)."""
     marks = dict(stops)
     order = sorted(marks)
     out, lo, cut, k = [], start, first, 0
@@ -147,7 +148,7 @@ def chain(text: str, stops: list[tuple[int, int]], start: int, end: int, limit:
             at = _visible_before(text, far, max(cut, lo + overlap)) or far
         rank = marks.get(at, VISIBLE)
         out.append((lo, at, rank))
-        lo, cut = _overlap_start(text, at, marks, overlap, lo), at
+        lo, cut = _overlap_start(text, at, marks, overlap, max(lo, first)), at
     out.append((lo, end, marks.get(end, VISIBLE)))
     return out
 
