@@ -60,3 +60,19 @@ def test_known_words_by_either_way(spark, monkeypatch):
     sent = sorted(r.word for r in K.known_words(texts, words).collect())
     monkeypatch.setattr(K, "SENT_WORDS", 1)
     assert sent == sorted(r.word for r in K.known_words(texts, words).collect()) == ["hot", "x"]
+
+
+def test_long_tokens_ask_the_vocabulary_too(spark, monkeypatch):
+    """A token of any length is repaired if its form is known, whichever way it is looked
+    up; one whose form is unknown stays."""
+    rows = []
+    for k, length in enumerate((40, 41, 60, 5000)):
+        word = "sweet" + "abcdefghij"[k] * (length - 5)
+        rows += [(k, word.replace("e", "\u0435") + " tooth", word), (10 + k, "un" + word.replace("e", "\u0435"), None)]
+    df = spark.createDataFrame(rows, "payload_id bigint, source_text string, corrected_text string")
+    want = sorted((i, t if i > 9 else w + " tooth", i < 10) for i, t, w in rows)
+    for most in (K.SENT_WORDS, 1):
+        monkeypatch.setattr(K, "SENT_WORDS", most)
+        assert sorted(tuple(r) for r in K.found(df).collect()) == [(k, "source_text") for k in range(4)]
+        got = K.clean(df).filter("field = 'source_text'").select("payload_id", "clean_text", "changed")
+        assert sorted(tuple(r) for r in got.collect()) == want
